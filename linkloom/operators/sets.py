@@ -74,7 +74,7 @@ def attach_sides(requests: DataFrame, left: DataFrame, right: DataFrame, value:
 def compare_signatures(pairs: DataFrame) -> DataFrame:
     """(l_signature, r_signature) to the number of equal positions and their share."""
     return (
-        pairs.withColumn("n_equal", equal_positions("l_signature", "r_signature"))
+        pairs.withColumn("n_equal", equal_positions("l_signature", "r_signature").cast("bigint"))
         .withColumn("estimate", F.col("n_equal") / F.size("l_signature"))
         .drop("l_signature", "r_signature")
     )

@@ -66,6 +66,7 @@ def block_join(
     keys: Sequence[str],
     left_id: str,
     right_id: str,
+    left_sizes: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Inner join of two tables that may both have many rows per key.
@@ -75,10 +76,14 @@ def block_join(
     ceil(m/block_rows), and every pair of chunks becomes its own join key. No task has to
     work on more than one block at a time, and the result is the same. The table of cut
     keys is written first: Spark sees its size and broadcasts it only when it is small.
+
+    `left_sizes` (the keys and `rows`, to be summed) saves counting a `left` that is itself
+    the result of much work.
     """
     keys = list(keys)
+    left_sizes = left.select(*keys, F.lit(1).alias("rows")) if left_sizes is None else left_sizes
     counts = (
-        left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
+        left_sizes.select(*keys, F.col("rows").alias("l"), F.lit(0).alias("r"))
         .unionAll(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
         .groupBy(*keys)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))

@@ -76,21 +76,20 @@ def sharing(linkage: Linkage, with_tokens: bool = False) -> DataFrame:
 def group_matches(linkage: Linkage, min_sim: float) -> DataFrame:
     """Matching groups (l_rep, r_rep, sim, n_pairs); n_pairs counts the pairs of records."""
     found = pairs.matching_pairs(linkage.units, min_sim).select("l_rep", "r_rep", "sim")
-    return with_pair_counts(found, linkage)
+    return with_group_sizes(found, linkage).select(
+        "l_rep", "r_rep", "sim", (F.col("l_n") * F.col("r_n")).alias("n_pairs")
+    )
+
 
+def with_group_sizes(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
+    """Add the number of records of both groups, `l_n` and `r_n`."""
 
-def with_pair_counts(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
     def sizes(src: str) -> DataFrame:
         return linkage.groups.filter(F.col("src") == src).select(
-            F.col("rep").alias(f"{src}_rep"), F.col("n_records").alias(f"_{src}_n")
+            F.col("rep").alias(f"{src}_rep"), F.col("n_records").alias(f"{src}_n")
         )
 
-    return (
-        group_pairs.join(sizes("l"), "l_rep")
-        .join(sizes("r"), "r_rep")
-        .withColumn("n_pairs", F.col("_l_n") * F.col("_r_n"))
-        .drop("_l_n", "_r_n")
-    )
+    return group_pairs.join(sizes("l"), "l_rep").join(sizes("r"), "r_rep")
 
 
 def record_matches(linkage: Linkage, min_sim: float) -> DataFrame:
@@ -101,15 +100,14 @@ def record_matches(linkage: Linkage, min_sim: float) -> DataFrame:
 
 def expand(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
     """Pairs of groups to pairs of records; as many rows as there are pairs of records."""
-    group_pairs = materialize(group_pairs, "pairs")
+    columns = [c for c in group_pairs.columns if c not in ("l_rep", "r_rep")]
+    sized = materialize(with_group_sizes(group_pairs, linkage), "pairs")
     every = materialize(members(linkage).select("src", "rep", "id"), "members", partition_by="src")
     left = every.filter("src = 'l'").select(F.col("rep").alias("l_rep"), F.col("id").alias("l_id"))
     right = every.filter("src = 'r'").select(F.col("rep").alias("r_rep"), F.col("id").alias("r_id"))
-    half = block_join(group_pairs, left, ["l_rep"], "r_rep", "l_id").drop("l_rep")
-    half = materialize(half, "half-pairs")
-    return block_join(half, right, ["r_rep"], "l_id", "r_id").drop("r_rep").select(
-        "l_id", "r_id", *[c for c in group_pairs.columns if c not in ("l_rep", "r_rep")]
-    )
+    half = block_join(sized, left, ["l_rep"], "r_rep", "l_id")
+    half_sizes = sized.select("r_rep", F.col("l_n").alias("rows"))
+    return block_join(half, right, ["r_rep"], "l_id", "r_id", half_sizes).select("l_id", "r_id", *columns)
 
 
 def requested(linkage: Linkage, requests: DataFrame) -> DataFrame:

@@ -1,0 +1,127 @@
+"""Linkage against brute force in Python, on random texts with copies and hot words."""
+
+import random
+from collections import Counter
+from math import sqrt
+
+import pytest
+from pyspark.sql import functions as F
+
+from linkloom.operators import evaluate, pairs
+from linkloom.plans import linkage
+
+
+def make_records(seed, n=60):
+    """A third are copies of one text, one word is in most texts, some texts are empty."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    rows = []
+    for src in ("l", "r"):
+        for i in range(n):
+            if i % 3 == 0:
+                text = "hot copy of a text with w1 and w2 w2"
+            elif i % 17 == 1:
+                text = "the of"
+            else:
+                some = rng.choices(words, weights=[1 / (k + 1) for k in range(60)], k=rng.randint(1, 12))
+                text = " ".join([*some, "hot"] if rng.random() < 0.7 else some)
+            rows.append((src, i, text))
+    return rows
+
+
+STOP = ("the", "of", "a", "and", "with")
+
+
+def brute_force(rows):
+    bags = {(s, i): Counter(t for t in text.split() if t not in STOP) for s, i, text in rows}
+    df = Counter(t for bag in bags.values() for t in bag)
+    vectors = {
+        k: {t: n / sum(bag.values()) * len(rows) / df[t] for t, n in bag.items()} for k, bag in bags.items()
+    }
+    norms = {k: sqrt(sum(w * w for w in v.values())) for k, v in vectors.items()}
+    sims = {}
+    for (s, i), v in vectors.items():
+        for (q, j), u in vectors.items():
+            if (s, q) == ("l", "r"):
+                dot = sum(w * u[t] for t, w in v.items() if t in u)
+                nn = norms[s, i] * norms[q, j]
+                sims[i, j] = (len(v.keys() & u.keys()), round(dot / nn, 12) if nn else None)
+    return sims
+
+
+@pytest.fixture(scope="module", params=[1, 2])
+def case(spark, request):
+    rows = make_records(request.param)
+    recs = spark.createDataFrame(rows, "src string, id bigint, text string")
+    return brute_force(rows), linkage.link(recs, STOP), rows
+
+
+def as_dict(df):
+    return {(r.l_id, r.r_id): r.sim for r in df.collect()}
+
+
+def same(got, want):
+    assert got.keys() == want.keys()
+    assert all(got[k] == (None if want[k] is None else pytest.approx(want[k], abs=1e-11)) for k in want)
+
+
+def test_sharing_pairs(case):
+    sims, link, _ = case
+    same(as_dict(linkage.sharing(link)), {k: s for k, (n, s) in sims.items() if n})
+
+
+@pytest.mark.parametrize("min_sim", [0.01, 0.1, 0.3, 0.5, 0.9, 1.0])
+def test_matches_are_exact(case, min_sim):
+    sims, link, _ = case
+    want = {k: s for k, (_, s) in sims.items() if s is not None and s >= min_sim}
+    same(as_dict(linkage.record_matches(link, min_sim)), want)
+    assert linkage.group_matches(link, min_sim).agg(F.sum("n_pairs")).first()[0] == len(want)
+
+
+def test_candidates_are_few(case):
+    sims, link, _ = case
+    groups = pairs.sharing_pairs(link.units).count()
+    assert pairs.candidate_pairs(link.units, 0.5).count() < groups / 2
+
+
+def test_requested(spark, case):
+    sims, link, _ = case
+    asked = [(i, j) for i in range(0, 60, 7) for j in range(0, 60, 5)]
+    requests = spark.createDataFrame([*asked, asked[0], (999, 1), (1, 999)], "l_id bigint, r_id bigint")
+    same(as_dict(linkage.requested(link, requests)), {k: sims[k][1] for k in asked})
+
+
+def test_sums_need_no_pairs(case):
+    sims, link, _ = case
+    total = sum(s or 0 for _, s in sims.values())
+    assert pairs.total_similarity(link.units, link.groups).first()[0] == pytest.approx(total)
+    sums = {r.l_rep: r.total for r in pairs.similarity_sums(link.units, link.groups).collect()}
+    for rep, got in sums.items():
+        assert got == pytest.approx(sum(s or 0 for (i, _), (_, s) in sims.items() if i == rep))
+
+
+def test_swapped_catalogues(spark, case):
+    sims, link, rows = case
+    other = [("l" if s == "r" else "r", i, t) for s, i, t in rows]
+    swapped = linkage.link(spark.createDataFrame(other, "src string, id bigint, text string"), STOP)
+    got = as_dict(linkage.record_matches(swapped, 0.2))
+    same({(j, i): s for (i, j), s in got.items()}, as_dict(linkage.record_matches(link, 0.2)))
+
+
+def test_curve(spark, case):
+    sims, link, _ = case
+    gold = spark.createDataFrame([(i, i) for i in range(60)], "l_id bigint, r_id bigint")
+    gold_sims = evaluate.gold_similarity(gold, linkage.requested(link, gold))
+    histogram = evaluate.similarity_histogram(linkage.group_matches(link, 0.01), "n_pairs")
+    curve = evaluate.threshold_curve(histogram, gold_sims).orderBy("threshold").collect()
+    for i, row in enumerate(curve, start=1):
+        golden = [sims[k, k][1] or 0.0 for k in range(60)]
+        assert row.tp + row.fn == 60
+        assert row.fn == sum(s < i / 100 for s in golden)
+        bins = [int(s * 100) for _, s in sims.values() if s is not None]
+        assert row.fp == sum(b >= i for b in bins) - sum(int(s * 100) >= i for s in golden)
+
+
+def test_min_sim_must_be_positive(case):
+    with pytest.raises(ValueError):
+        pairs.matching_pairs(case[1].units, 0)
