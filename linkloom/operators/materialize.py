@@ -15,7 +15,7 @@ def shared_folder(spark: SparkSession) -> str:
     one that all its machines share.
     """
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder:
         return folder
     if not sc.master.startswith("local"):

@@ -47,7 +47,7 @@ def unit_vectors(weights: DataFrame) -> DataFrame:
     vector made of this token and all tokens after it, from rare to common. The order by
     (df, token) is the same in all records, which `matching_pairs` relies on.
     """
-    record = Window.partitionBy("src", "rep")
+    record = Window.partitionBy("rep", "src")
     common_first = record.orderBy(F.desc("df"), F.desc("token")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -67,6 +67,7 @@ def block_join(
     left_id: str,
     right_id: str,
     left_sizes: DataFrame | None = None,
+    right_sizes: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Inner join of two tables that may both have many rows per key.
@@ -77,14 +78,15 @@ def block_join(
     work on more than one block at a time, and the result is the same. The table of cut
     keys is written first: Spark sees its size and broadcasts it only when it is small.
 
-    `left_sizes` (the keys and `rows`, to be summed) saves counting a `left` that is itself
-    the result of much work.
+    `left_sizes` and `right_sizes` (the keys and `rows`, to be summed) save counting a side
+    that is itself the result of much work.
     """
     keys = list(keys)
     left_sizes = left.select(*keys, F.lit(1).alias("rows")) if left_sizes is None else left_sizes
+    right_sizes = right.select(*keys, F.lit(1).alias("rows")) if right_sizes is None else right_sizes
     counts = (
         left_sizes.select(*keys, F.col("rows").alias("l"), F.lit(0).alias("r"))
-        .unionAll(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+        .unionAll(right_sizes.select(*keys, F.lit(0).alias("l"), F.col("rows").alias("r")))
         .groupBy(*keys)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
         .filter((F.greatest("l", "r") > block_rows) & (F.least("l", "r") > 0))

@@ -40,7 +40,7 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
     entries = F.transform("bag", lambda e: F.concat_ws(" ", e["token"], e["n"]))
     keyed = bagged.withColumn("vec", F.sha2(F.concat_ws(" ", entries), 256))
     groups = materialize(
-        keyed.groupBy("src", "vec").agg(
+        keyed.groupBy("vec", "src").agg(
             F.min("id").alias("rep"),
             F.count("*").alias("n_records"),
             F.any_value("len").alias("len"),
@@ -102,12 +102,20 @@ def expand(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
     """Pairs of groups to pairs of records; as many rows as there are pairs of records."""
     columns = [c for c in group_pairs.columns if c not in ("l_rep", "r_rep")]
     sized = materialize(with_group_sizes(group_pairs, linkage), "pairs")
-    every = materialize(members(linkage).select("src", "rep", "id"), "members", partition_by="src")
+    every = members(linkage)
+
+    def group_sizes(src: str) -> DataFrame:
+        return linkage.groups.filter(F.col("src") == src).select(
+            F.col("rep").alias(f"{src}_rep"), F.col("n_records").alias("rows")
+        )
+
     left = every.filter("src = 'l'").select(F.col("rep").alias("l_rep"), F.col("id").alias("l_id"))
     right = every.filter("src = 'r'").select(F.col("rep").alias("r_rep"), F.col("id").alias("r_id"))
-    half = block_join(sized, left, ["l_rep"], "r_rep", "l_id")
+    half = block_join(sized, left, ["l_rep"], "r_rep", "l_id", right_sizes=group_sizes("l"))
     half_sizes = sized.select("r_rep", F.col("l_n").alias("rows"))
-    return block_join(half, right, ["r_rep"], "l_id", "r_id", half_sizes).select("l_id", "r_id", *columns)
+    return block_join(half, right, ["r_rep"], "l_id", "r_id", half_sizes, group_sizes("r")).select(
+        "l_id", "r_id", *columns
+    )
 
 
 def requested(linkage: Linkage, requests: DataFrame) -> DataFrame:
