@@ -69,16 +69,29 @@ def members(linkage: Linkage) -> DataFrame:
 
 
 def sharing(linkage: Linkage, with_tokens: bool = False) -> DataFrame:
-    """Every pair of records with a token in common, with the count and the similarity."""
+    """Every pair of records with a token in common, with the count and the similarity.
+
+    This is as large as the answer to it: a word in a third of all records pairs them all.
+    Where only similarities from some value on matter, use `record_matches`; for counts and
+    sums use `group_sharing`, `group_matches` or `pairs.total_similarity`.
+    """
     return expand(pairs.sharing_pairs(linkage.units, with_tokens), linkage)
 
 
+def group_sharing(linkage: Linkage) -> DataFrame:
+    """Groups with a token in common (l_rep, r_rep, n_common, sim, n_pairs)."""
+    return _counted(pairs.sharing_pairs(linkage.units), linkage)
+
+
 def group_matches(linkage: Linkage, min_sim: float) -> DataFrame:
     """Matching groups (l_rep, r_rep, sim, n_pairs); n_pairs counts the pairs of records."""
     found = pairs.matching_pairs(linkage.units, min_sim).select("l_rep", "r_rep", "sim")
-    return with_group_sizes(found, linkage).select(
-        "l_rep", "r_rep", "sim", (F.col("l_n") * F.col("r_n")).alias("n_pairs")
-    )
+    return _counted(found, linkage)
+
+
+def _counted(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
+    sized = with_group_sizes(group_pairs, linkage)
+    return sized.withColumn("n_pairs", F.col("l_n") * F.col("r_n")).drop("l_n", "r_n")
 
 
 def with_group_sizes(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:

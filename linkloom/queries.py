@@ -238,7 +238,7 @@ def evaluate_model_feeds(spark, folder):
 
 
 def similarity_histogram(spark, folder):
-    return evaluate.similarity_histogram(linkage.sharing(_passages(spark, folder)))
+    return evaluate.similarity_histogram(linkage.group_sharing(_passages(spark, folder)), "n_pairs")
 
 
 def gold_similarity(spark, folder):
@@ -250,7 +250,8 @@ def gold_similarity(spark, folder):
 def fp_bins(spark, folder):
     link, gold = _passages(spark, folder), materialize(inputs.passage_gold(spark, folder), "gold")
     gold_sims = evaluate.gold_similarity(gold, linkage.requested(link, gold))
-    return evaluate.false_positive_bins(evaluate.similarity_histogram(linkage.sharing(link)), gold_sims)
+    histogram = evaluate.similarity_histogram(linkage.group_sharing(link), "n_pairs")
+    return evaluate.false_positive_bins(histogram, gold_sims)
 
 
 def _curve(link: linkage.Linkage, gold: DataFrame) -> DataFrame:

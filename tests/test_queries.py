@@ -26,3 +26,16 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).columns == ["l_id", "r_id", "sim"]
+
+
+def test_known_numbers(spark):
+    """Counts and means that were measured independently on the sf0.01 tables."""
+    folder = "/root/testdata/sf0.01"
+    run = entry_point.queries()
+    assert run["corpus_vocabulary"](spark, folder).count() == 54_130
+    model = run["evaluate_model"](spark, folder).first()
+    assert (model.n_dup, model.avg_dup, model.avg_nondup) == (26, 0.249637052, 0.000213472)
+    histogram = run["similarity_histogram"](spark, folder)
+    assert histogram.groupBy().sum("n").first()[0] == 23_929
+    curve = {r.threshold: (r.tp, r.fn, r.fp) for r in run["threshold_curve"](spark, folder).collect()}
+    assert (curve[0.1], curve[0.5], curve[0.9]) == ((22, 4, 0), (1, 25, 0), (0, 26, 0))
