@@ -146,7 +146,7 @@ def matching_pairs(units: DataFrame, min_sim: float) -> DataFrame:
 
 
 def centroid(units: DataFrame, groups: DataFrame, src: str) -> DataFrame:
-    """Sum of the unit vectors of all records of a catalogue: (token, total, n_rows)."""
+    """Sum of the unit vectors of all records of a catalogue: (token, total)."""
     sizes = groups.filter(F.col("src") == src).select("rep", "n_records")
     return (
         units.filter(F.col("src") == src)
@@ -171,7 +171,7 @@ def total_similarity(units: DataFrame, groups: DataFrame) -> DataFrame:
 def similarity_sums(units: DataFrame, groups: DataFrame) -> DataFrame:
     """(l_rep, total): the sum of a left record's similarities to all right records."""
     left_counts = units.filter("src = 'l'").groupBy("token").agg(F.count("*").alias("n_rows"))
-    lookup = centroid(units, groups, "r").join(left_counts, "token")
+    lookup = materialize(centroid(units, groups, "r").join(left_counts, "token"), "centroid")
     return (
         lookup_join(side(units, "l"), lookup, ["token"], "n_rows", "l_rep", "inner")
         .groupBy("l_rep")
