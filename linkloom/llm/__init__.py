@@ -1 +1,8 @@
 """Operations of a training-data pipeline. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

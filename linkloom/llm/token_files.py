@@ -50,8 +50,8 @@ class Encoder:
     With `by_blank`, for byte-level vocabularies whose pre-tokenizer begins a new piece at a
     blank, a text is cut at its single blanks and every distinct piece encoded once, which gives
     the same ids as the whole text. Only a blank between two other white-space characters may
-    belong to a longer run; a text that has one is encoded as a whole. The memo of pieces is
-    emptied when full.
+    belong to a longer run; a text that has one is encoded as a whole. The memo of pieces
+    lasts for a task and is emptied when full.
     """
 
     def __init__(self, path: str, by_blank: bool = True):
@@ -87,19 +87,8 @@ class Encoder:
         return b"".join([self._direct([first])[0] if first else b"", *map(memo.__getitem__, pieces)])
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
-def encoder(path: str, by_blank: bool = True) -> Encoder:
-    """One encoder per Python worker, as it is costly to load."""
-    key = (path, by_blank)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, by_blank)
-    return _ENCODERS[key]
-
-
 def _sample(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+    enc = Encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     for batch in batches:
         # A token takes at least one byte of text, so very long texts need not be encoded to be left out.
@@ -127,7 +116,7 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end_id: int) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+    enc = Encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
     for batch in batches:
@@ -185,7 +174,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> tuple
     """
     dict_hash, dictionary = train_dictionary(docs, path, end_id)
     spark = docs.sparkSession
-    width = encoder(path).width
+    width = Encoder(path).width
     table = materialize(
         spark.createDataFrame([(dict_hash, width, bytearray(dictionary))], "dict_hash string, width int, dictionary binary"),
         "token-dictionary",

@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence's probability is logistic in its words; the
-document's is the noisy-or of its sentences: one minus the product of their complements. Only
+A document is a bag of sentences. A sentence's probability is logistic in its words, and a word's
+weight is the sum of those of the character n-grams in it; the document's probability is the noisy-or of its sentences: one minus the product of their complements. Only
 documents have labels, and the gradient of the document's likelihood tells each sentence how much
 of it is to blame. What was learned locates the sentences that make a document toxic.
 """
@@ -22,12 +22,14 @@ from linkloom.llm.common import column
 from linkloom.operators.materialize import materialize
 
 # The model is fitted on at most so many labelled documents, the smallest by hash of the id.
-SAMPLE_DOCS = 12_000
-# It knows so many words: those whose presence tells most about the label.
+SAMPLE_DOCS = 8_000
+# It knows so many character n-grams: those whose presence tells most about the label.
 FEATURES = 512
+GRAMS = (4, 5, 6)
 MIN_DOCS = 4
-STEPS = 300
-RIDGE = 1e-3
+STEPS = 400
+RIDGE = 0.3
+MEMO_WORDS = 400_000
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -43,35 +45,61 @@ def sentences(text: str | None) -> Iterator[tuple[int, int]]:
         yield at, len(text)
 
 
+def grams(word: str) -> set[str]:
+    """The n-grams of a word with its ends marked, and the marked word itself."""
+    marked = f"^{word}$"
+    return {marked} | {marked[i : i + n] for n in GRAMS for i in range(len(marked) - n + 1)}
+
+
 @dataclass
 class Model:
-    """`base` is the log-odds of a sentence without known words, `weights` what each word adds."""
+    """`base` is the log-odds of a sentence without known n-grams, `weights` what each n-gram of
+    each distinct word adds."""
 
     base: float
     weights: dict[str, float]
 
 
+class WordWeights(dict):
+    """Weight of a word, worked out when first asked for; emptied by its user when too large."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        found = self.weights.keys() & grams(word)
+        self[word] = value = sum(self.weights[g] for g in sorted(found))
+        return value
+
+
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per word the number of documents with it, by label, over the rows of a task."""
+    """Per n-gram the number of documents with it, by label, over the rows of a task."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for text, label in zip(column(batch, "text"), column(batch, "label")):
-            seen[label].update(set(_WORD.findall(text.lower())))
-    words = list(seen[0].keys() | seen[1].keys())
+            seen[label].update(set().union(*map(grams, set(_WORD.findall(text.lower())))))
+    found = list(seen[0].keys() | seen[1].keys())
     yield pa.RecordBatch.from_arrays(
-        [pa.array(words, pa.string()), *(pa.array([s[w] for w in words], pa.int64()) for s in seen)], ["word", "clean", "toxic"]
+        [pa.array(found, pa.string()), *(pa.array([s[g] for g in found], pa.int64()) for s in seen)], ["gram", "clean", "toxic"]
     )
 
 
 def _patterns(batches: Iterator[pa.RecordBatch], known: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    """Each document as its distinct sentences (known words in it) and how often each occurs."""
+    """Each document as its distinct sentences (known n-grams of their words, with repeats) and
+    how often each occurs."""
+    memo: dict[str, list[int]] = {}
     for batch in batches:
         rows = []
         for text, label in zip(column(batch, "text"), column(batch, "label")):
             found = Counter()
             for a, b in sentences(text):
-                words = {known[w] for w in _WORD.findall(text[a:b].lower()) if w in known}
-                found[tuple(sorted(words))] += 1
+                ids: list[int] = []
+                for w in set(_WORD.findall(text[a:b].lower())):
+                    if w not in memo:
+                        memo[w] = [known[g] for g in grams(w) if g in known]
+                    ids += memo[w]
+                found[tuple(sorted(ids))] += 1
             rows.append({"label": label, "patterns": [{"words": list(p), "n": n} for p, n in sorted(found.items())]})
         kind = pa.struct([("words", pa.list_(pa.int32())), ("n", pa.int64())])
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("label", pa.int32()), ("patterns", pa.list_(kind))]))
@@ -89,14 +117,14 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """(doc_id, text, label) to a model; without documents of both labels, one that scores low.
 
     The sample is bounded and chosen by hash of the id. What the driver gets of it is, per
-    document, its distinct sets of known words.
+    document, its distinct sets of known n-grams.
     """
     chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     sample = materialize(labelled.join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxic-sample")
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model(-20.0, {})
-    presence = sample.mapInArrow(_presence, "word string, clean bigint, toxic bigint").groupBy("word")
+    presence = sample.mapInArrow(_presence, "gram string, clean bigint, toxic bigint").groupBy("gram")
     presence = presence.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("clean") + F.col("toxic") >= MIN_DOCS)
     n0, n1 = sizes[0], sizes[1]
     rate0, rate1 = (F.col("clean") + 0.5) / (n0 + 1.0), (F.col("toxic") + 0.5) / (n1 + 1.0)
@@ -106,20 +134,28 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
         return k * F.log(rate / both) + (n - k) * F.log((1.0 - rate) / (1.0 - both))
 
     told = gain(F.col("clean"), float(n0), rate0) + gain(F.col("toxic"), float(n1), rate1)
-    best = presence.withColumn("told", told).orderBy(F.desc("told"), "word").limit(FEATURES)
-    words = [r.word for r in best.collect()]
-    known = {w: i for i, w in enumerate(words)}
+    best = presence.withColumn("told", told).orderBy(F.desc("told"), "gram").limit(8 * FEATURES).collect()
+    kept = _distinct([(r.gram, r.clean, r.toxic) for r in best])[:FEATURES]
+    known = {g: i for i, g in enumerate(kept)}
     rows = sample.mapInArrow(
         lambda b: _patterns(b, known), "label int, patterns array<struct<words:array<int>,n:bigint>>"
     ).collect()
-    base, weights = fit([(r.label, [(tuple(p.words), p.n) for p in r.patterns]) for r in rows], len(words))
-    return Model(base, {w: float(x) for w, x in zip(words, weights) if x != 0.0})
+    base, weights = fit([(r.label, [(tuple(p.words), p.n) for p in r.patterns]) for r in rows], len(kept))
+    return Model(base, {g: float(x) for g, x in zip(kept, weights) if x != 0.0})
+
+
+def _distinct(found: list[tuple[str, int, int]]) -> list[str]:
+    """Without n-grams that are part of another one in the same documents."""
+    alike: dict[tuple[int, int], list[str]] = {}
+    for gram, *counts in found:
+        alike.setdefault(tuple(counts), []).append(gram)
+    return [g for g, *counts in found if not any(g != x and g in x for x in alike[tuple(counts)])]
 
 
 def fit(docs: list[tuple[int, list[tuple[tuple[int, ...], int]]]], size: int) -> tuple[float, np.ndarray]:
     """Weights that maximise the noisy-or likelihood of the documents' labels, with a ridge.
 
-    Sentences with the same known words have the same probability, so a document needs each kind
+    Sentences with the same known n-grams have the same probability, so a document needs each kind
     once. log(1 - p_doc) is minus the sum of softplus over its sentences.
     """
     kinds: dict[tuple[int, ...], int] = {}
@@ -142,7 +178,7 @@ def fit(docs: list[tuple[int, list[tuple[tuple[int, ...], int]]]], size: int) ->
         # d(log-likelihood)/d(sum of softplus): -1 for label 0, p/(1-p) of "all clean" for label 1.
         pull = np.where(label > 0, 1.0 / np.maximum(np.expm1(np.minimum(clean, 700.0)), 1e-12), -1.0)
         by_kind = np.bincount(kind_at, count * pull[doc_at], len(kinds)) / (1.0 + np.exp(-odds))
-        slope = np.append(np.bincount(word_at, by_kind[of_kind], size) / len(label) - RIDGE * weights, by_kind.sum() / len(label))
+        slope = np.append(np.bincount(word_at, by_kind[of_kind], size) / len(label) - RIDGE * weights / len(label), by_kind.sum() / len(label))
         moments[0] = 0.9 * moments[0] + 0.1 * slope
         moments[1] = 0.99 * moments[1] + 0.01 * slope**2
         move = moments[0] / (1 - 0.9**step) / (np.sqrt(moments[1] / (1 - 0.99**step)) + 1e-8)
@@ -151,21 +187,23 @@ def fit(docs: list[tuple[int, list[tuple[tuple[int, ...], int]]]], size: int) ->
     return float(base), weights
 
 
-def score_sentences(text: str | None, model: Model) -> tuple[float, list[tuple[int, int, float]]]:
-    """(score of the text, [start, end, probability of each sentence with a known word])."""
-    if not text:
+def score_sentences(text: str | None, base: float, weight: WordWeights) -> tuple[float, list[tuple[int, int, float]]]:
+    """(score of the text, [start, end, probability of each sentence with a known n-gram])."""
+    spans = list(sentences(text))
+    if not spans:
         return 0.0, []
-    weights = model.weights
-    soft, plain, found = 0.0, 0, []
-    for a, b in sentences(text):
-        words = {w for w in _WORD.findall(text[a:b].lower()) if w in weights}
-        if words:
-            odds = model.base + sum(weights[w] for w in sorted(words))
-            soft += float(np.logaddexp(0.0, odds))
-            found.append((a, b, float(1.0 / (1.0 + np.exp(-max(min(odds, 700.0), -700.0))))))
-        else:
-            plain += 1
-    soft += plain * float(np.logaddexp(0.0, model.base))
+    if len(weight) > MEMO_WORDS:
+        weight.clear()
+    soft, plain, found = 0.0, len(spans), []
+    if any(weight[w] for w in set(_WORD.findall(text.lower()))):
+        for a, b in spans:
+            told = [x for w in sorted(set(_WORD.findall(text[a:b].lower()))) if (x := weight[w])]
+            if told:
+                plain -= 1
+                odds = base + sum(told)
+                soft += float(np.logaddexp(0.0, odds))
+                found.append((a, b, float(1.0 / (1.0 + np.exp(-max(min(odds, 700.0), -700.0))))))
+    soft += plain * float(np.logaddexp(0.0, base))
     return float(-np.expm1(-soft)), found
 
 
@@ -179,8 +217,9 @@ def score(docs: DataFrame, model: Model, sentence_limit: float = 0.5) -> DataFra
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = WordWeights(model.weights)
         for batch in batches:
-            found = [score_sentences(t, model) for t in column(batch, "text")]
+            found = [score_sentences(t, model.base, weight) for t in column(batch, "text")]
             spans = [[{"start": a, "end": b, "p": p} for a, b, p in f if p >= sentence_limit] for _, f in found]
             ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
