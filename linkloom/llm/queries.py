@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, extract, language, mixing, simhash, token_files, topk, toxicity, url_rules
+from linkloom.llm import decontaminate, extract, katz, language, mixing, simhash, token_files, topk, toxicity, url_rules
 from linkloom.llm.common import fold
 
 # The rules of the URL query.
@@ -48,6 +48,20 @@ def mix_plan(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id") != 1).alias("train"))
+    scored, total = katz.score(docs)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id") == 1, F.lit(False)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(total).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def top_k(spark: SparkSession, folder: str) -> DataFrame:
     vectors = topk.whole_components(_table(spark, folder, "embeddings"))
     return topk.top_products(vectors, F.pmod("vec_id", F.lit(100)) == 0)
@@ -99,6 +113,7 @@ def main_texts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic,
     "op2_mixing": mix_plan,
+    "op3_katz": katz_scores,
     "op4_topk": top_k,
     "op5_decontaminate": leaks,
     "op6_token_files": token_digest,
