@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.operators.materialize import materialize
@@ -62,3 +63,13 @@ def running_total(
     return inside.join(offsets, same).select(
         *df.columns, (F.col("_within") + F.col("_before")).cast(kind).alias(name)
     )
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs that are done and whose results are written.
+
+    It does so when the driver collects its garbage, which a driver with little to do may put off
+    until the disks are full. Nothing depends on it but space.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

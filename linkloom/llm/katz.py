@@ -30,15 +30,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import blank_words, column
+from linkloom.llm.common import blank_words, column, release_shuffles
 from linkloom.operators.materialize import materialize
 
 # Counts up to this are discounted.
 DISCOUNTED = 5
 E = 0.01
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_800_000
 BLOCK_DOCS = 1 << 16
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
+# Bigrams are counted in so many passes over the texts, each for its share of the buckets. More
+# passes read more and need less room for shuffled data at a time.
+PASSES = 3
 MAX_BUCKETS = 1 << 16
 # Words are known by 64 bits of hash, as contexts by 48 of them.
 CONTEXT_BITS = np.uint64((1 << 48) - 1)
@@ -150,8 +153,11 @@ def _mixed(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Documents to rows for the buckets: first a row that lists a block's documents."""
+def _blocks(
+    batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, turn: int, turns: int
+) -> Iterator[pa.RecordBatch]:
+    """Documents to rows for the buckets of one pass; in the first, a row that lists a block's
+    documents. Blocks and numbers are the same in every pass, as the rows of a task are."""
     part, seq = TaskContext.get().partitionId(), 0
     numbers, tokens, ids, train, size = Numbers(), [], [], [], 0
     numbers[b""]
@@ -172,10 +178,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) ->
         before = np.empty_like(word)
         before[1:] = word[:-1]
         before[np.cumsum(lengths) - lengths] = n_words
-        doc = np.repeat(place, lengths)
         # One number tells word, context and document: the more of one, the fewer of the other.
         bits = len(order).bit_length()
-        key, n = np.unique((word * (n_words + 1) + before) << bits | doc, return_counts=True)
+        word *= n_words + 1
+        word += before
+        word <<= bits
+        word |= np.repeat(place, lengths)
+        del before
+        key, n = np.unique(word, return_counts=True)
         pair, first, in_docs = np.unique(key >> bits, return_index=True, return_counts=True)
         contexts = np.append(hashes & CONTEXT_BITS, np.uint64(BEGIN))[pair % (n_words + 1)]
         word = pair // (n_words + 1)
@@ -186,8 +196,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) ->
         bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
         n_train = int(sum(train))
         listed = [np.array([-1 if ids[i] is None else ids[i] for i in order], "<i8"), lengths[order].astype("<i8"), bytes([ids[i] is None for i in order])]
-        rows = [("docs", block % buckets, block, listed)]
-        for b in range(buckets):
+        rows = [("docs", block % buckets, block, listed)] if not turn else []
+        for b in range(turn, buckets, turns):
             mine = by_bucket[bounds[b] : bounds[b + 1]]
             if not len(mine):
                 continue
@@ -215,7 +225,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) ->
         for doc_id, text, learn in zip(*(column(batch, c) for c in ("doc_id", "text", "train"))):
             words = blank_words(text)
             words.append(b"")
-            tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
             ids.append(doc_id)
             train.append(bool(learn))
             size += len(words)
@@ -251,6 +261,7 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     rows = table.to_pylist()
     out = [("docs", r["bucket"], r["block"], r["data"]) for r in rows if r["kind"] == "docs"]
     rows = [r for r in rows if r["kind"] == "bigrams"]
+    del table
     if not rows:
         return _table(_packed(out))
     bucket = rows[0]["bucket"]
@@ -260,17 +271,19 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
         words.append(np.repeat(own, runs))
         contexts.append(_unpack_contexts(r["data"][3]))
         in_docs.append(np.frombuffer(r["data"][4], "<u2"))
-        number = np.frombuffer(r["data"][5], "<u2").astype(np.int64)
-        docs.append(number + base)
+        number = np.frombuffer(r["data"][5], "<u2").astype(np.int32)
+        docs.append((number + base).astype(np.int32))
         learned.append(number < sizes[0])
-        counts.append(np.frombuffer(r["data"][6], "<u4").astype(np.int64))
+        counts.append(np.frombuffer(r["data"][6], "<u4").astype(np.int32))
         blocks.append((r["block"], base, int(sizes[1])))
         base += int(sizes[1])
+    del rows
     words, contexts, in_docs = map(np.concatenate, (words, contexts, in_docs))
     docs, counts, learned = map(np.concatenate, (docs, counts, learned))
     _, first, pair_of = np.unique(_mixed(words, contexts), return_index=True, return_inverse=True)
     word_of_pair, context_of_pair = words[first], contexts[first]
-    pair = np.repeat(pair_of, in_docs)
+    pair = np.repeat(pair_of.astype(np.int32), in_docs)
+    del words, contexts, pair_of
     n_pair = np.bincount(pair[learned], counts[learned], len(first)).astype(np.int64)
     distinct, word_of_pair = np.unique(word_of_pair, return_inverse=True)
     n_word = np.bincount(word_of_pair, n_pair, len(distinct)).astype(np.int64)
@@ -289,12 +302,12 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     discounted = np.stack([np.bincount(docs, counts * (n_pair == r)[pair], base) for r in range(1, DISCOUNTED + 1)], axis=1)
     for block, start, size in blocks:
         part = slice(start, start + size)
-        out.append(("sums", bucket, block, [plain[part], score[part], known[part].astype("<u4"), discounted[part].astype("<u4")]))
+        out.append(("sums", bucket, block, [plain[part], score[part].astype("<f4"), known[part].astype("<u4"), discounted[part].astype("<u4")]))
     # Unseen bigrams wait for their context's backoff weight.
     late = ~seen[pair]
     starts = np.array([s for _, s, _ in blocks])
     block_at = np.searchsorted(starts, docs[late], side="right") - 1
-    reference = (np.array([b for b, _, _ in blocks])[block_at] << 16) + docs[late] - starts[block_at]
+    reference = (np.array([b for b, _, _ in blocks], np.int64)[block_at] << 16) + docs[late] - starts[block_at]
     out += _by_context("unseen", buckets, context_of_pair[pair[late]], reference, counts[late].astype("<u4"))
     # The training bigrams, and what each gives its context.
     have = np.flatnonzero(seen)
@@ -304,7 +317,7 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     out.append(("counts", bucket, None, [distinct[own], runs.astype("<u4"), packed, n_pair[have].astype("<u4")]))
     named, context = np.unique(context_of_pair[have], return_inverse=True)
     mass = np.bincount(context, p_word[word_of_pair[have]], len(named))
-    total = np.bincount(context, n_pair[have], len(named)).astype("<i8")
+    total = np.bincount(context, n_pair[have], len(named)).astype("<u8")
     low = np.stack([np.bincount(context, n_pair[have] == r, len(named)) for r in range(1, DISCOUNTED + 1)], axis=1).astype("<u4")
     out += _by_context("contexts", buckets, named, total, low, mass)
     times = np.bincount(np.minimum(n_pair[have], DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
@@ -349,7 +362,7 @@ def _documents(table: pa.Table, factors: np.ndarray, begin: float) -> pa.Table:
     plain, score, known = np.zeros(len(ids)), np.full(len(ids), -begin), np.zeros(len(ids), np.int64)
     for r in sorted((r for r in rows if r["kind"] != "docs"), key=lambda r: (r["kind"], r["bucket"])):
         if r["kind"] == "sums":
-            p, s, k, low = _read(r["data"], "<f8", "<f8", "<u4", "<u4")
+            p, s, k, low = _read(r["data"], "<f8", "<f4", "<u4", "<u4")
             plain, known = plain + p, known + k
             score = score + s + low.reshape(-1, DISCOUNTED) @ np.log10(factors)
         else:
@@ -360,6 +373,11 @@ def _documents(table: pa.Table, factors: np.ndarray, begin: float) -> pa.Table:
     return pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
 
+def _pass(docs: DataFrame, turn: int, buckets: int, unigrams: Unigrams, hot: np.ndarray, hot_n: np.ndarray) -> DataFrame:
+    sent = docs.mapInArrow(lambda batches: _blocks(batches, buckets, hot, turn, PASSES), PACKED)
+    return sent.groupBy("bucket").applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED)
+
+
 def score(docs: DataFrame) -> tuple[DataFrame, int]:
     """(doc_id, text, train boolean) to ((doc_id, n_tokens, n_known, base_score, score), N).
 
@@ -386,15 +404,18 @@ def score(docs: DataFrame) -> tuple[DataFrame, int]:
     order = np.argsort(hot)
     hot, hot_n = hot[order], np.array([r.n for r in frequent], np.int64)[order]
     unigrams = Unigrams(total, distinct, times)
-    sent = docs.mapInArrow(lambda batches: _blocks(batches, buckets, hot), PACKED)
-    counted = sent.groupBy("bucket").applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED)
-    counted = materialize(counted, "katz-counts", partition_by="kind")
+    counted = None
+    for turn in range(PASSES):
+        part = materialize(_pass(docs, turn, buckets, unigrams, hot, hot_n), "katz-counts", partition_by="kind")
+        counted = part if counted is None else counted.unionByName(part)
+        release_shuffles(docs.sparkSession)
     stats = np.zeros(DISCOUNTED + 1, np.int64)
     for r in counted.filter("kind = 'stats'").select("data").collect():
         stats += np.frombuffer(r.data[0], "<i8")
     factors = np.array(discounts(stats.tolist()))
     backed = counted.filter("kind in ('contexts', 'unseen')").groupBy("bucket")
     backed = materialize(backed.applyInArrow(lambda t: _back_off(t, factors), PACKED), "katz-backoff", partition_by="kind")
+    release_shuffles(docs.sparkSession)
     begin = math.log10(n_docs + E) if n_docs else 0.0
     parts = counted.filter("kind in ('docs', 'sums')").unionByName(backed.filter("kind = 'late'"))
     scored = parts.groupBy("block").applyInArrow(
