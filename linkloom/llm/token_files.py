@@ -14,9 +14,13 @@ before the shard. Ids are little-endian and take `width` bytes.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
-import zlib
+import sys
+from array import array
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +28,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from linkloom.llm.common import column
 from linkloom.operators.materialize import materialize
@@ -36,7 +41,11 @@ SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32 * 1024
 LEVEL = 3
 SHARD_BYTES = 8 * 1024 * 1024
-MEMO_PIECES = 300_000
+MEMO_PIECES = 700_000
+# Marks that are never part of a word's piece, as they are neither letter, digit nor apostrophe.
+MARKS = ".,;:!?|"
+# Texts that are encoded together.
+BATCH_DOCS = 1024
 
 SHARD_SCHEMA = (
     "part int, shard int, dict_hash string, start bigint, doc_ids array<bigint>, "
@@ -50,50 +59,84 @@ class Encoder:
     With `by_blank`, for byte-level vocabularies whose pre-tokenizer begins a new piece at a
     blank, a text is cut at its single blanks and every distinct piece encoded once, which gives
     the same ids as the whole text. Only a blank between two other white-space characters may
-    belong to a longer run; a text that has one is encoded as a whole. The memo of pieces
-    lasts for a task and is emptied when full.
+    belong to a longer run; a text that has one is encoded as a whole. Marks after a word are
+    pieces of their own to such a vocabulary, so `word,` is `word` and `,`. The memo of pieces is
+    emptied when full.
     """
 
     def __init__(self, path: str, by_blank: bool = True):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.by_blank = by_blank
         self.memo: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.run = re.compile(r"\s \s")
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
+        kind = "H" if self.width == 2 else "I"
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in encoded]
-
-    def encode(self, text: str) -> bytes:
-        if not self.by_blank or self.run.search(text):
-            return self._direct([text])[0]
-        first, *pieces = text.split(" ")
+        return [array(kind, e.ids).tobytes() for e in encoded]
+
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces with a blank before them.
+
+        Blank and ASCII letters make one piece to the pre-tokenizer, so the library's model can
+        be asked directly. To it the blank is the letter that byte-level vocabularies write for it.
+        """
+        kind, tokenize = "H" if self.width == 2 else "I", self.tokenizer.model.tokenize
+        found = [
+            array(kind, [t.id for t in tokenize("\u0120" + p)]).tobytes() if p.isascii() and p.isalpha() else None
+            for p in pieces
+        ]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(rest, self._direct([" " + pieces[i] for i in rest])):
+            found[i] = ids
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Serialized ids of each text. The library is called once for all pieces not seen yet."""
+        cut = [t.split(" ") if self.by_blank and not self.run.search(t) else None for t in texts]
+        if len(self.memo) > MEMO_PIECES:
+            self.memo.clear()
         memo = self.memo
-        missing = list({p for p in pieces if p not in memo})
-        if missing:
-            if len(memo) > MEMO_PIECES:
-                memo.clear()
-                missing = list(set(pieces))
-            for at in range(0, len(missing), 1000):
-                some = missing[at : at + 1000]
-                memo.update(zip(some, self._direct([" " + p for p in some])))
-        return b"".join([self._direct([first])[0] if first else b"", *map(memo.__getitem__, pieces)])
+        # The pieces of these texts, looked up once each: a small table that stays in the cache.
+        here = dict.fromkeys(chain.from_iterable(c[1:] for c in cut if c))
+        here.update((p, memo.get(p)) for p in here)
+        missing = [p for p, ids in here.items() if ids is None]
+        ends = {
+            p: (word, p[len(word) :])
+            for p in missing
+            if p[-1:] in MARKS and (word := p.rstrip(MARKS)) and word[-1].isalnum()
+        }
+        words = list({w for p in missing if (w := ends[p][0] if p in ends else p) not in memo})
+        marks = list({e[1] for e in ends.values()} - self.marks.keys())
+        # The first piece of a text has no blank before it; texts that are not cut go whole.
+        heads = [t if c is None else c[0] for t, c in zip(texts, cut)]
+        found = self._words(words) + self._direct(marks + heads)
+        memo.update(zip(words, found))
+        self.marks.update(zip(marks, found[len(words) :]))
+        memo.update((p, memo[word] + self.marks[mark]) for p, (word, mark) in ends.items())
+        here.update((p, memo[p]) for p in missing)
+        heads = found[len(words) + len(marks) :]
+        return [h if c is None else b"".join([h, *map(here.__getitem__, c[1:])]) for h, c in zip(heads, cut)]
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which serves one task after the other."""
+    kept = sys.modules.setdefault("_worker_encoders", ModuleType("_worker_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def _sample(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    enc = Encoder(path)
+    enc = worker_encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     for batch in batches:
         # A token takes at least one byte of text, so very long texts need not be encoded to be left out.
-        ids = [enc.encode(t or "") + end for t in column(batch, "text") if len(t or "") <= SAMPLE_BYTES * 16]
-        ids = [x for x in ids if len(x) <= SAMPLE_BYTES]
+        texts = [t or "" for t in column(batch, "text") if len(t or "") <= SAMPLE_BYTES * 16]
+        ids = [x + end for x in enc.encode(texts) if len(x) < SAMPLE_BYTES]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
 
@@ -116,21 +159,21 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end_id: int) -> Iterator[pa.RecordBatch]:
-    enc = Encoder(path)
+    enc = worker_encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
-    for batch in batches:
-        texts = column(batch, "text")
-        counts, frames = [], []
-        for text in texts:
-            ids = enc.encode(text or "") + end
-            counts.append(len(ids) // enc.width)
-            frames.append(compress(ids))
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
-        yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
-            ["doc_id", "n_tokens", "frame"],
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH_DOCS):
+            batch = whole.slice(at, BATCH_DOCS)
+            counts, frames = [], []
+            for ids in enc.encode([t or "" for t in column(batch, "text")]):
+                counts.append((len(ids) + len(end)) // enc.width)
+                frames.append(compress(ids + end))
+            ids = batch.column(batch.schema.get_field_index("doc_id"))
+            yield pa.RecordBatch.from_arrays(
+                [ids.cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
+                ["doc_id", "n_tokens", "frame"],
+            )
 
 
 def _pack(batches: Iterator[pa.RecordBatch], dict_hash: str) -> Iterator[pa.RecordBatch]:
