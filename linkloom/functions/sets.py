@@ -59,8 +59,11 @@ def hash_family(n: int, prime: int = MERSENNE_31, seed: int = 42) -> list[tuple[
 
 
 def token_number(token: Column | str) -> Column:
-    """A number below 2**28 for a token: the first seven hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("bigint")
+    """A number below the prime 2**31 - 1 for a token: 15 hex digits of its MD5, modulo the prime.
+
+    More digits than the prime has bits, so that all its values are about equally frequent.
+    """
+    return F.conv(F.substring(F.md5(token), 1, 15), 16, 10).cast("bigint") % F.lit(MERSENNE_31).cast("bigint")
 
 
 def apply_hash(element: Column, m: int, b: int, p: int) -> Column:

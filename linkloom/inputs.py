@@ -5,26 +5,30 @@ Two pairs of catalogues are linked:
 * passages: `benchmark` (l) against `documents` (r). A gold pair is a document that
   contains a passage word for word.
 * feeds: the documents with a label (l) against those without one (r), together all of
-  `documents`. The gold pair of a document on the right is the first document on the left
-  with the same longest line.
+  `documents`. Gold pairs are all pairs with equal text, held as one row per text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import tokens
+from linkloom.operators.materialize import materialize
+from linkloom.operators.skew import block_join, lookup_join
 from linkloom.operators.tokens import corpus, records
 from linkloom.sources.tables import read_table
 
+# Products of counts: 5e9 times 5e9 does not fit a bigint.
+COUNT = "decimal(38,0)"
+
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/documents.parquet", "doc_id", ["doc_id", "text"])
+    return read_table(spark, f"{folder}/documents.parquet", ["doc_id", "text"])
 
 
 def passages(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, f"{folder}/benchmark.parquet", "item_id", ["item_id", "text"])
+    return read_table(spark, f"{folder}/benchmark.parquet", ["item_id", "text"])
 
 
 def passage_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,44 +52,58 @@ def feed_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def passage_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """(l_id, r_id): passages of at least three words and the documents that contain them.
+    """(l_id, r_id, n_pairs = 1): passages and the documents that hold all their words in a row.
 
-    A passage's first and last word may be cut out of longer words, but the words between
-    them are words of the document too. So only documents that hold the rarest of those
-    are searched for the passage.
+    Every word of a passage is then a word of the document, so only documents with the rarest of
+    them are searched for the passage. A passage without words has no pairs.
     """
-    docs, items = documents(spark, folder), passages(spark, folder)
-    doc_words = docs.select("doc_id", F.explode_outer(F.array_distinct(tokens("text"))).alias("word"))
-    inner = items.select("item_id", tokens("text").alias("words")).select(
-        "item_id", F.explode_outer(F.slice("words", 2, F.greatest(F.size("words") - 2, F.lit(0)))).alias("word")
-    )
-    inner = inner.filter(F.col("word").isNotNull()).distinct()
-    counts = doc_words.join(inner.select("word").distinct(), "word").groupBy("word").agg(F.count("*").alias("df"))
-    anchors = inner.join(counts, "word").groupBy("item_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
+
+    def joined(df: DataFrame, key: str) -> DataFrame:
+        words = tokens(F.coalesce("text", F.lit("")))
+        return df.select(key, words.alias("words")).withColumn("line", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+
+    docs = materialize(joined(documents(spark, folder), "doc_id"), "doc-words")
+    items = joined(passages(spark, folder), "item_id").filter(F.size("words") > 0)
+    doc_words = docs.select("doc_id", F.explode_outer(F.array_distinct("words")).alias("word"))
+    item_words = items.select("item_id", F.explode_outer(F.array_distinct("words")).alias("word"))
+    asked = item_words.select("word").distinct()
+    found = materialize(doc_words.join(asked, "word"), "passage-words")
+    counts = found.groupBy("word").agg(F.count("*").alias("df"))
+    anchors = item_words.join(counts, "word").groupBy("item_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
+    # A passage with a word that no document has cannot be found.
+    missing = item_words.join(counts, "word", "left_anti").select("item_id").distinct()
+    anchors = anchors.join(missing, "item_id", "left_anti")
+    candidates = materialize(block_join(found, anchors, ["word"], "doc_id", "item_id").select("doc_id", "item_id"), "passage-candidates")
+    passage_rows = candidates.groupBy("item_id").agg(F.count("*").alias("_rows"))
+    passage_lines = items.select("item_id", F.col("line").alias("passage")).join(passage_rows, "item_id")
+    doc_rows = candidates.groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    doc_lines = docs.select("doc_id", "line").join(doc_rows, "doc_id")
+    with_passage = lookup_join(candidates, passage_lines, ["item_id"], "_rows", "doc_id", "inner").drop("_rows")
     return (
-        doc_words.join(anchors, "word")
-        .join(items.withColumnRenamed("text", "passage"), "item_id")
-        .join(docs, "doc_id")
-        .filter(F.contains("text", "passage"))
-        .select(F.col("item_id").alias("l_id"), F.col("doc_id").alias("r_id"))
+        lookup_join(with_passage, doc_lines, ["doc_id"], "_rows", "item_id", "inner")
+        .filter(F.contains("line", "passage"))
+        .select(F.col("item_id").alias("l_id"), F.col("doc_id").alias("r_id"), F.lit(1).cast(COUNT).alias("n_pairs"))
     )
 
 
 def feed_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """(l_id, r_id): at most one gold pair for each document on the right."""
-    lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.length(x).alias("n"), x.alias("line")))
-    longest = feed_records(spark, folder).select(
-        "src", "id", F.sha2(F.array_max(lines)["line"], 256).alias("line")
+    """(l_id, r_id, n_pairs): for each text on both sides the first document of either side, and
+    how many pairs of documents have that text. Copies are counted, not listed."""
+    side = lambda s: F.when(F.col("src") == s, F.col("id"))
+    texts = feed_records(spark, folder).withColumn("text", F.sha2(F.coalesce("text", F.lit("")), 256)).groupBy("text").agg(
+        *[F.min(side(s)).alias(f"{s}_id") for s in ("l", "r")],
+        *[F.count(side(s)).cast(COUNT).alias(f"n_{s}") for s in ("l", "r")],
     )
-    first = longest.filter("src = 'l'").groupBy("line").agg(F.min("id").alias("l_id"))
-    return longest.filter("src = 'r'").join(first, "line").select("l_id", F.col("id").alias("r_id"))
+    pairs = texts.filter("n_l > 0 and n_r > 0")
+    return pairs.select("l_id", "r_id", (F.col("n_l") * F.col("n_r")).cast(COUNT).alias("n_pairs"))
 
 
 def turn_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Each conversation turn with the turn after it: (pair_id, text_l, text_r)."""
     turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "text")
-    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("text_r"))
-    return turns.join(after, ["conv_id", "turn"]).select(
+    by_turn = Window.partitionBy("conv_id").orderBy("turn")
+    after = turns.withColumn("next", F.lead("turn").over(by_turn)).withColumn("text_r", F.lead("text").over(by_turn))
+    return after.filter(F.col("next") == F.col("turn") + 1).select(
         F.concat_ws("-", "conv_id", "turn").alias("pair_id"), F.col("text").alias("text_l"), "text_r"
     )
 

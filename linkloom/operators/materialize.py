@@ -2,38 +2,50 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Subfolder that tables are written to just now; changed by `scope` alone.
+_current = ["linkloom"]
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder; a cluster must name
-    one that all its machines share.
-    """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if folder:
-        return folder
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
-    return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by `spark.checkpoint.dir`; where that is unset, one in the warehouse,
+    which all machines of a session share as well."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_written"
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write `df` as Parquet under the shared folder and return a scan of it.
 
     The lineage ends at the files, so a lost executor costs no recomputation of what came
-    before, and Spark knows the size of the table when it chooses a join.
+    before, and Spark knows the size of the table when it chooses a join. The files stay until
+    the `scope` around the call ends, or else until the folder is cleaned.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{_current[-1]}/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """Delete, at the end, all tables that were written inside.
+
+    Results must be used up or written elsewhere before: they read those tables.
+    """
+    name = f"linkloom/scope-{uuid.uuid4().hex}"
+    _current.append(name)
+    try:
+        yield name
+    finally:
+        _current.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -106,7 +106,9 @@ def candidate_pairs(units: DataFrame, min_sim: float) -> DataFrame:
     ever takes part. To keep the join itself from trying such rows, each tail is put into a
     band of powers of four, and left rows go only to the right bands that can reach `cut`.
     """
-    cut = min_sim * CUT_SHARE - SLACK
+    # A share of the cut, so that it stays positive for however small a similarity.
+    slack = min(SLACK, min_sim * CUT_SHARE / 2)
+    cut = min_sim * CUT_SHARE - slack
     top = math.floor(-math.log(cut) / math.log(4) + SLACK)
     left, right = (
         side(units, src).filter(F.col("tail") >= cut).withColumnRenamed("tail", f"{src}_tail")
@@ -121,7 +123,7 @@ def candidate_pairs(units: DataFrame, min_sim: float) -> DataFrame:
         .filter(F.col("l_tail") * F.col("r_tail") >= cut)
         .groupBy("l_rep", "r_rep")
         .agg(F.sum(F.col("l_u") * F.col("r_u")).alias("part"))
-        .filter(F.col("part") >= min_sim - cut - 2 * SLACK)
+        .filter(F.col("part") >= min_sim - cut - 2 * slack)
         .select("l_rep", "r_rep")
     )
 
@@ -131,7 +133,7 @@ def score_pairs(pairs: DataFrame, units: DataFrame) -> DataFrame:
     left, right = side(units, "l").drop("tail"), side(units, "r").drop("tail")
     return (
         block_join(pairs.select("l_rep", "r_rep"), left, ["l_rep"], "r_rep", "token")
-        .join(right, ["r_rep", "token"])
+        .transform(lambda half: block_join(half, right, ["r_rep", "token"], "l_rep", "r_rep"))
         .groupBy("l_rep", "r_rep")
         .agg(F.count("*").alias("n_common"), _similarity().alias("sim"))
     )

@@ -75,8 +75,8 @@ def block_join(
     A key with n left and m right rows yields n*m rows. Where n or m exceeds `block_rows`,
     the left rows are cut into ceil(n/block_rows) chunks and the right rows into
     ceil(m/block_rows), and every pair of chunks becomes its own join key. No task has to
-    work on more than one block at a time, and the result is the same. The table of cut
-    keys is written first: Spark sees its size and broadcasts it only when it is small.
+    work on more than one block at a time, and the result is the same. The numbers of chunks are
+    looked up by `lookup_join`, so the rows of a hot key do not meet before they are cut.
 
     `left_sizes` and `right_sizes` (the keys and `rows`, to be summed) save counting a side
     that is itself the result of much work.
@@ -96,6 +96,8 @@ def block_join(
             *keys,
             F.ceil(F.col("l") / block_rows).cast("int").alias("_l_chunks"),
             F.ceil(F.col("r") / block_rows).cast("int").alias("_r_chunks"),
+            F.col("l").alias("_l_rows"),
+            F.col("r").alias("_r_rows"),
         ),
         "cut-keys",
     )
@@ -103,10 +105,10 @@ def block_join(
     def chunked(df: DataFrame, row_id: str, own: str, other: str) -> DataFrame:
         own_n, other_n = F.coalesce(f"_{own}_chunks", F.lit(1)), F.coalesce(f"_{other}_chunks", F.lit(1))
         return (
-            df.join(cut, keys, "left")
+            lookup_join(df, cut, keys, f"_{own}_rows", row_id)
             .withColumn(f"_{own}", F.pmod(F.xxhash64(row_id), own_n).cast("int"))
             .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), other_n - 1)))
-            .drop("_l_chunks", "_r_chunks")
+            .drop("_l_chunks", "_r_chunks", "_l_rows", "_r_rows")
         )
 
     return (

@@ -12,8 +12,9 @@ from linkloom.functions.text import kept_tokens, with_bag
 
 
 def records(df: DataFrame, src: str, id_col: str, text_col: str = "text") -> DataFrame:
-    """A catalogue as (src, id, text)."""
-    return df.select(F.lit(src).alias("src"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """A catalogue as (src, id, text); a null text is an empty one."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(F.lit(src).alias("src"), F.col(id_col).alias("id"), text.alias("text"))
 
 
 def corpus(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -44,14 +44,18 @@ every AS (SELECT l.id AS l_id, r.id AS r_id,
   LEFT JOIN norms nr ON nr.src = 'r' AND nr.id = r.id
   LEFT JOIN sims s ON s.l_id = l.id AND s.r_id = r.id)"""
 
-_PASSAGE_GOLD = f"""gold AS (SELECT item_id AS l_id, doc_id AS r_id FROM benchmark b JOIN documents d
-  ON contains(d.text, b.text) WHERE len({_WORDS.format('b.text')}) >= 3)"""
+_PASSAGE_GOLD = f"""gold AS (SELECT item_id AS l_id, doc_id AS r_id, 1::BIGINT AS n_pairs
+  FROM (SELECT item_id, array_to_string({_WORDS.format('text')}, ' ') AS words FROM benchmark) b
+  JOIN (SELECT doc_id, array_to_string({_WORDS.format('text')}, ' ') AS words FROM documents) d
+  ON contains(concat(' ', d.words, ' '), concat(' ', b.words, ' ')) WHERE b.words <> '')"""
 
-_FEED_GOLD = """longest AS (SELECT src, id, list_max(list_transform(string_split(text, chr(10)),
-    lambda x: {'n': length(x), 'line': x})).line AS line FROM recs),
-gold AS (SELECT f.l_id, r.id AS r_id FROM longest r
-  JOIN (SELECT line, min(id) AS l_id FROM longest WHERE src = 'l' GROUP BY line) f USING (line)
-  WHERE r.src = 'r')"""
+# Every pair of equal texts, and the same as one row per text.
+_FEED_GOLD = """every_gold AS (SELECT l.id AS l_id, r.id AS r_id, l.text FROM recs l JOIN recs r
+    ON l.text = r.text AND l.src = 'l' AND r.src = 'r'),
+gold AS (SELECT min(l_id) AS l_id, min(r_id) AS r_id, count(*) AS n_pairs FROM every_gold GROUP BY text)"""
+_EVERY_GOLD = """gold_rows AS (SELECT l_id, r_id FROM every_gold)"""
+
+_PASSAGE_ROWS = "gold_rows AS (SELECT l_id, r_id FROM gold)"
 
 _GROUPS = """keyed AS (SELECT src, id, coalesce((SELECT string_agg(token, ' ' ORDER BY token)
     FROM kept k WHERE k.src = recs.src AND k.id = recs.id), '') AS bag FROM recs),
@@ -60,12 +64,12 @@ groups AS (SELECT src, id, min(id) OVER (PARTITION BY src, bag) AS rep,
 
 _GOLD_SIMS = """gold_sims AS (SELECT l_id, r_id, coalesce(sim, 0.0) AS sim FROM gold LEFT JOIN sims USING (l_id, r_id))"""
 
-_MODEL = """SELECT count(*) FILTER (g.l_id IS NOT NULL) AS n_dup,
+_MODEL = """SELECT count(g.l_id) AS n_dup,
   round(avg(sim) FILTER (g.l_id IS NOT NULL), 9) AS avg_dup,
   round(avg(sim) FILTER (g.l_id IS NULL), 9) AS avg_nondup
-FROM every LEFT JOIN gold g USING (l_id, r_id)"""
+FROM every LEFT JOIN gold_rows g USING (l_id, r_id)"""
 
-_CURVE = f"""{_GOLD_SIMS},
+_CURVE = """gold_sims AS (SELECT l_id, r_id, coalesce(sim, 0.0) AS sim FROM gold_rows LEFT JOIN sims USING (l_id, r_id)),
 steps AS (SELECT range AS step, range::DOUBLE / 100::DOUBLE AS threshold FROM range(1, 101)),
 bins AS (SELECT floor(sim * 100)::INTEGER AS bin, 1 AS n FROM sims
   UNION ALL SELECT floor(sim * 100)::INTEGER, -1 FROM gold_sims),
@@ -105,7 +109,7 @@ _SIGNATURES = (
 hashes(hash_no, m, b, p) AS (VALUES """
     + ", ".join(f"({i}, {m}::BIGINT, {b}::BIGINT, {p}::BIGINT)" for i, m, b, p in HASHES)
     + """),
-elements AS (SELECT src, id, ('0x' || substr(md5(token), 1, 7))::BIGINT AS element FROM counts),
+elements AS (SELECT src, id, ('0x' || substr(md5(token), 1, 15))::BIGINT % 2147483647 AS element FROM counts),
 signatures AS (SELECT src, id, hash_no::INTEGER AS hash_no, min((m * element + b) % p) AS minhash
   FROM elements CROSS JOIN hashes GROUP BY ALL)"""
 )
@@ -199,8 +203,17 @@ FROM every GROUP BY l_id""",
         _ALL_PAIRS,
         _PASSAGE_GOLD,
     ),
-    "common_tokens": _sql("SELECT l_id, r_id, n_common FROM sims", _PASSAGES, _SIMS),
-    "cosine_linkage": _sql("SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM sims", _PASSAGES, _SIMS),
+    "common_tokens": _sql(
+        """SELECT l_id, r_id, count(token) AS n_common, coalesce(string_agg(token, ' ' ORDER BY token), '') AS tokens
+FROM gold LEFT JOIN (SELECT l.id AS l_id, r.id AS r_id, l.token FROM counts l JOIN counts r
+  ON l.token = r.token AND l.src = 'l' AND r.src = 'r') USING (l_id, r_id) GROUP BY ALL""",
+        _PASSAGES,
+        _TOKENS,
+        _PASSAGE_GOLD,
+    ),
+    "cosine_linkage": _sql(
+        "SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM sims WHERE sim >= 0.01", _PASSAGES, _SIMS
+    ),
     "cosine_matches": _sql("SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM sims WHERE sim >= 0.05", _PASSAGES, _SIMS),
     "cosine_group_matches": _sql(
         """SELECT l.id AS l_rep, r.id AS r_rep, floor(sim * 1e9 + 0.5) / 1e9 AS sim, l.n_records * r.n_records AS n_pairs
@@ -212,36 +225,37 @@ JOIN groups r ON r.src = 'r' AND r.id = r_id AND r.id = r.rep WHERE sim >= 0.1""
     ),
     "copy_groups": _sql("SELECT src, id, rep, n_records FROM groups", _FEEDS, _TOKENS, _GROUPS),
     "gold_duplicates": _sql(
-        "SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM every JOIN gold USING (l_id, r_id)",
+        "SELECT l_id, r_id, n_pairs, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM every JOIN gold USING (l_id, r_id)",
         _FEEDS,
         _ALL_PAIRS,
         _FEED_GOLD,
     ),
     "non_duplicates": _sql(
         """SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM sims
-WHERE NOT EXISTS (SELECT 1 FROM gold g WHERE g.l_id = sims.l_id AND g.r_id = sims.r_id)""",
+WHERE sim >= 0.01 AND NOT EXISTS (SELECT 1 FROM gold g WHERE g.l_id = sims.l_id AND g.r_id = sims.r_id)""",
         _PASSAGES,
         _SIMS,
         _PASSAGE_GOLD,
     ),
-    "evaluate_model": _sql(_MODEL, _PASSAGES, _ALL_PAIRS, _PASSAGE_GOLD),
-    "evaluate_model_feeds": _sql(_MODEL, _FEEDS, _ALL_PAIRS, _FEED_GOLD),
+    "evaluate_model": _sql(_MODEL, _PASSAGES, _ALL_PAIRS, _PASSAGE_GOLD, _PASSAGE_ROWS),
+    "evaluate_model_feeds": _sql(_MODEL, _FEEDS, _ALL_PAIRS, _FEED_GOLD, _EVERY_GOLD),
     "similarity_histogram": _sql(
-        "SELECT floor(sim * 100)::INTEGER AS bin, count(*) AS n FROM sims GROUP BY ALL", _PASSAGES, _SIMS
+        "SELECT floor(sim * 100)::INTEGER AS bin, count(*) AS n FROM every WHERE sim IS NOT NULL GROUP BY ALL",
+        _PASSAGES,
+        _ALL_PAIRS,
     ),
     "gold_similarity": _sql(
         "SELECT l_id, r_id, floor(sim * 1e9 + 0.5) / 1e9 AS sim FROM gold_sims", _PASSAGES, _SIMS, _PASSAGE_GOLD, _GOLD_SIMS
     ),
     "fp_bins": _sql(
-        """SELECT bin, sum(n)::BIGINT AS n FROM (SELECT floor(sim * 100)::INTEGER AS bin, 1 AS n FROM sims
-  UNION ALL SELECT floor(sim * 100)::INTEGER, -1 FROM gold_sims) GROUP BY bin""",
+        """SELECT floor(sim * 100)::INTEGER AS bin, count(*) AS n FROM every
+WHERE sim IS NOT NULL AND NOT EXISTS (SELECT 1 FROM gold g WHERE g.l_id = every.l_id AND g.r_id = every.r_id) GROUP BY ALL""",
         _PASSAGES,
-        _SIMS,
+        _ALL_PAIRS,
         _PASSAGE_GOLD,
-        _GOLD_SIMS,
     ),
-    "threshold_curve": "WITH " + ", ".join([_PASSAGES, _SIMS, _PASSAGE_GOLD, _CURVE]),
-    "threshold_curve_feeds": "WITH " + ", ".join([_FEEDS, _SIMS, _FEED_GOLD, _CURVE]),
+    "threshold_curve": "WITH " + ", ".join([_PASSAGES, _SIMS, _PASSAGE_GOLD, _PASSAGE_ROWS, _CURVE]),
+    "threshold_curve_feeds": "WITH " + ", ".join([_FEEDS, _SIMS, _FEED_GOLD, _EVERY_GOLD, _CURVE]),
     "jaccard_set": _sql(
         """SELECT pair_id, round(count(*) FILTER (nl > 0 AND nr > 0)::DOUBLE / nullif(count(token), 0), 9) AS jaccard
 FROM turns LEFT JOIN pair_counts USING (pair_id) GROUP BY pair_id""",

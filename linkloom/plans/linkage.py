@@ -22,7 +22,7 @@ class Linkage:
     Records with the same tokens have the same similarity to everything, so they form a
     group with one representative (`rep`, the smallest id), and only groups are compared.
 
-    records  src, id, vec                      every record with its group key
+    records  src, id, vec                      every record with its group key (written table)
     groups   src, vec, rep, n_records, len     one row per group (written table)
     tokens   token, df, n_rows                 records and groups per token (written table)
     units    src, rep, token, u, tail          unit vectors, see `pairs` (written table)
@@ -58,7 +58,7 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
         "w", F.col("n") / F.col("len") * (n_records / F.col("df"))
     )
     units = materialize(pairs.unit_vectors(weights), "units", partition_by="src")
-    return Linkage(keyed.select("src", "id", "vec"), groups.drop("bag"), tokens, units)
+    return Linkage(materialize(keyed.select("src", "id", "vec"), "records"), groups.drop("bag"), tokens, units)
 
 
 def members(linkage: Linkage) -> DataFrame:
@@ -91,7 +91,8 @@ def group_matches(linkage: Linkage, min_sim: float) -> DataFrame:
 
 def _counted(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
     sized = with_group_sizes(group_pairs, linkage)
-    return sized.withColumn("n_pairs", F.col("l_n") * F.col("r_n")).drop("l_n", "r_n")
+    n_pairs = F.col("l_n").cast("decimal(19,0)") * F.col("r_n").cast("decimal(19,0)")
+    return sized.withColumn("n_pairs", n_pairs.cast("decimal(38,0)")).drop("l_n", "r_n")
 
 
 def with_group_sizes(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
@@ -102,7 +103,11 @@ def with_group_sizes(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
             F.col("rep").alias(f"{src}_rep"), F.col("n_records").alias(f"{src}_n")
         )
 
-    return group_pairs.join(sizes("l"), "l_rep").join(sizes("r"), "r_rep")
+    out = materialize(group_pairs, "group-pairs")
+    for src, other in (("l", "r_rep"), ("r", "l_rep")):
+        rows = out.groupBy(f"{src}_rep").agg(F.count("*").alias("_rows"))
+        out = lookup_join(out, sizes(src).join(rows, f"{src}_rep"), [f"{src}_rep"], "_rows", other, "inner").drop("_rows")
+    return out
 
 
 def record_matches(linkage: Linkage, min_sim: float) -> DataFrame:
@@ -149,9 +154,13 @@ def requested(linkage: Linkage, requests: DataFrame) -> DataFrame:
         lookup = lookup.join(counts, f"{src}_id")
         asked = lookup_join(asked, lookup, [f"{src}_id"], "_rows", other, "inner").drop("_rows")
     asked = materialize(asked, "requests")
-    scored = pairs.score_pairs(asked.select("l_rep", "r_rep").distinct(), linkage.units)
+    wanted = asked.groupBy("l_rep", "r_rep").agg(F.count("*").alias("_rows"))
+    scored = pairs.score_pairs(wanted.select("l_rep", "r_rep"), linkage.units)
+    # Many requests may ask for the same two groups.
+    lookup = materialize(wanted.join(scored, ["l_rep", "r_rep"], "left"), "scored")
     defined = (F.col("l_len") > 0) & (F.col("r_len") > 0)
-    return asked.join(scored, ["l_rep", "r_rep"], "left").select(
+    asked = asked.withColumn("_request", F.struct("l_id", "r_id"))
+    return lookup_join(asked, lookup, ["l_rep", "r_rep"], "_rows", "_request").select(
         "l_id",
         "r_id",
         F.coalesce("n_common", F.lit(0)).alias("n_common"),

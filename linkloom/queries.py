@@ -45,9 +45,9 @@ def _passage_bags(spark: SparkSession, folder: str) -> DataFrame:
     return bags(tokenize(inputs.passage_records(spark, folder)))
 
 
-def _idf(spark: SparkSession, folder: str) -> DataFrame:
-    recs = inputs.passage_records(spark, folder)
-    return materialize(weights.idf_table(postings(bags(tokenize(recs))), recs), "idf")
+def _idf(spark: SparkSession, folder: str, bagged: DataFrame | None = None) -> DataFrame:
+    bagged = _passage_bags(spark, folder) if bagged is None else bagged
+    return materialize(weights.idf_table(postings(bagged), bagged), "idf")
 
 
 def _passages(spark: SparkSession, folder: str) -> linkage.Linkage:
@@ -119,13 +119,14 @@ def idf_table(spark, folder):
 
 
 def tfidf_weights(spark, folder):
-    weighed = weights.tfidf(postings(_passage_bags(spark, folder)), _idf(spark, folder))
+    bagged = materialize(_passage_bags(spark, folder), "bags")
+    weighed = weights.tfidf(postings(bagged), _idf(spark, folder, bagged))
     return weighed.select("src", "id", "token", _rounded("w", 6).alias("w"))
 
 
 def doc_norms(spark, folder):
-    bagged = _passage_bags(spark, folder)
-    weighed = weights.tfidf(postings(bagged), _idf(spark, folder))
+    bagged = materialize(_passage_bags(spark, folder), "bags")
+    weighed = weights.tfidf(postings(bagged), _idf(spark, folder, bagged))
     return weights.norms(weighed, bagged).withColumn("norm", _rounded("norm", 6))
 
 
@@ -177,11 +178,20 @@ def similarity_lookup(spark, folder):
 
 
 def common_tokens(spark, folder):
-    return linkage.sharing(_passages(spark, folder)).select("l_id", "r_id", "n_common")
+    """The tokens that a passage and a document holding it have in common, and their number."""
+    gold = materialize(inputs.passage_gold(spark, folder).select("l_id", "r_id"), "gold")
+    bagged = materialize(_passage_bags(spark, folder).select("src", "id", F.col("bag")["token"].alias("tokens")), "token-sets")
+    both = sets.attach_sides(gold, bagged.filter("src = 'l'"), bagged.filter("src = 'r'"), "tokens")
+    common = both.withColumn("common", F.sort_array(F.array_intersect("l_tokens", "r_tokens")))
+    return common.select(
+        "l_id", "r_id", F.size("common").cast("bigint").alias("n_common"), F.array_join("common", " ").alias("tokens")
+    )
 
 
 def cosine_linkage(spark, folder):
-    return linkage.sharing(_passages(spark, folder)).select("l_id", "r_id", _shown("sim").alias("sim"))
+    """Similar pairs at the least similarity that the curve looks at."""
+    found = linkage.record_matches(_passages(spark, folder), LOWEST)
+    return found.select("l_id", "r_id", _shown("sim").alias("sim"))
 
 
 def cosine_matches(spark, folder):
@@ -189,7 +199,8 @@ def cosine_matches(spark, folder):
 
 
 def cosine_group_matches(spark, folder):
-    return linkage.group_matches(_feeds(spark, folder), 0.1).withColumn("sim", _shown("sim"))
+    found = linkage.group_matches(_feeds(spark, folder), 0.1)
+    return found.withColumn("n_pairs", F.col("n_pairs").cast("bigint")).withColumn("sim", _shown("sim"))
 
 
 def copy_groups(spark, folder):
@@ -200,17 +211,19 @@ def copy_groups(spark, folder):
 
 
 def _gold_sims(link: linkage.Linkage, gold: DataFrame) -> DataFrame:
-    return materialize(linkage.requested(link, gold), "gold-sims")
+    """Gold pairs whose records exist, with `n_pairs` and their similarity, which may be null."""
+    gold = materialize(gold, "gold")
+    return materialize(linkage.requested(link, gold).join(gold, ["l_id", "r_id"]), "gold-sims")
 
 
 def gold_duplicates(spark, folder):
-    gold = inputs.feed_gold(spark, folder)
-    found = linkage.requested(_feeds(spark, folder), gold)
-    return found.select("l_id", "r_id", _shown("sim").alias("sim"))
+    found = _gold_sims(_feeds(spark, folder), inputs.feed_gold(spark, folder))
+    return found.select("l_id", "r_id", F.col("n_pairs").cast("bigint").alias("n_pairs"), _shown("sim").alias("sim"))
 
 
 def non_duplicates(spark, folder):
-    sims = linkage.sharing(_passages(spark, folder)).select("l_id", "r_id", _shown("sim").alias("sim"))
+    """Pairs at LOWEST similarity or more that are not gold: what a threshold would get wrong."""
+    sims = linkage.record_matches(_passages(spark, folder), LOWEST).select("l_id", "r_id", _shown("sim").alias("sim"))
     return evaluate.non_duplicates(sims, inputs.passage_gold(spark, folder))
 
 
@@ -224,9 +237,9 @@ def _evaluate_model(link: linkage.Linkage, gold: DataFrame) -> DataFrame:
     result = evaluate.evaluate_model(
         _gold_sims(link, gold),
         pairs.total_similarity(link.units, link.groups),
-        per_side.select(F.col("l") * F.col("r")),
+        per_side.select(F.col("l").cast(inputs.COUNT).cast("double") * F.col("r").cast("double")),
     )
-    return result.select("n_dup", _rounded("avg_dup").alias("avg_dup"), _rounded("avg_nondup").alias("avg_nondup"))
+    return result.select(F.col("n_dup").cast("bigint").alias("n_dup"), _rounded("avg_dup").alias("avg_dup"), _rounded("avg_nondup").alias("avg_nondup"))
 
 
 def evaluate_model(spark, folder):
@@ -237,21 +250,36 @@ def evaluate_model_feeds(spark, folder):
     return _evaluate_model(_feeds(spark, folder), inputs.feed_gold(spark, folder))
 
 
+def _histogram(link: linkage.Linkage) -> DataFrame:
+    """(bin, n) of all pairs that have a similarity.
+
+    Pairs from the first hundredth on are found by their minimum similarity; the others are
+    what is left of the product of the two catalogues, and need not be formed.
+    """
+    high = evaluate.similarity_histogram(linkage.group_matches(link, LOWEST), "n_pairs").filter("bin > 0")
+    high = materialize(high.withColumn("n", F.col("n").cast(inputs.COUNT)), "bins")
+    sides = [F.sum(F.when((F.col("src") == s) & (F.col("len") > 0), F.col("n_records"))) for s in ("l", "r")]
+    every = link.groups.agg(*[F.coalesce(c, F.lit(0)).cast("decimal(19,0)").alias(s) for c, s in zip(sides, ("l", "r"))])
+    rest = every.select((F.col("l") * F.col("r")).cast(inputs.COUNT).alias("n")).unionByName(high.select((-F.col("n")).alias("n")))
+    low = rest.agg(F.sum("n").cast(inputs.COUNT).alias("n")).select(F.lit(0).alias("bin"), "n").filter("n > 0")
+    return high.select("bin", "n").unionByName(low)
+
+
 def similarity_histogram(spark, folder):
-    return evaluate.similarity_histogram(linkage.group_sharing(_passages(spark, folder)), "n_pairs")
+    return _histogram(_passages(spark, folder)).withColumn("n", F.col("n").cast("bigint"))
 
 
 def gold_similarity(spark, folder):
     gold = materialize(inputs.passage_gold(spark, folder), "gold")
     sims = evaluate.gold_similarity(gold, linkage.requested(_passages(spark, folder), gold))
-    return sims.withColumn("sim", _shown("sim"))
+    return sims.select("l_id", "r_id", _shown("sim").alias("sim"))
 
 
 def fp_bins(spark, folder):
     link, gold = _passages(spark, folder), materialize(inputs.passage_gold(spark, folder), "gold")
-    gold_sims = evaluate.gold_similarity(gold, linkage.requested(link, gold))
-    histogram = evaluate.similarity_histogram(linkage.group_sharing(link), "n_pairs")
-    return evaluate.false_positive_bins(histogram, gold_sims)
+    gold_sims = _gold_sims(link, gold).filter("sim is not null")
+    bins = evaluate.false_positive_bins(_histogram(link), gold_sims)
+    return bins.withColumn("n", F.col("n").cast("bigint")).filter("n <> 0")
 
 
 def _curve(link: linkage.Linkage, gold: DataFrame) -> DataFrame:
@@ -259,8 +287,9 @@ def _curve(link: linkage.Linkage, gold: DataFrame) -> DataFrame:
     gold_sims = materialize(evaluate.gold_similarity(gold, linkage.requested(link, gold)), "gold-sims")
     histogram = evaluate.similarity_histogram(linkage.group_matches(link, LOWEST), "n_pairs")
     curve = evaluate.threshold_curve(histogram, gold_sims)
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("tp", "fp", "fn")]
     ratios = [_rounded(c).alias(c) for c in ("precision", "recall", "f")]
-    return curve.select("threshold", "tp", "fp", "fn", *ratios)
+    return curve.select("threshold", *counts, *ratios)
 
 
 def threshold_curve(spark, folder):
@@ -307,7 +336,7 @@ def minhash_estimate(spark, folder):
     bagged = bags(tokenize(inputs.feed_records(spark, folder))).filter("len > 0")
     words = bagged.select("src", "id", F.transform("bag", lambda e: token_number(e["token"])).alias("elements"))
     signed = materialize(words.select("src", "id", signature(F.col("elements"), HASHES).alias("signature")), "signed")
-    gold = materialize(inputs.feed_gold(spark, folder), "gold")
+    gold = materialize(inputs.feed_gold(spark, folder).select("l_id", "r_id"), "gold")
     asked = sets.attach_sides(gold, signed.filter("src = 'l'"), signed.filter("src = 'r'"), "signature")
     return sets.compare_signatures(asked).withColumn("estimate", _rounded("estimate"))
 

@@ -5,13 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, key: str, columns: list[str]) -> DataFrame:
-    """Read some columns of a Parquet table.
-
-    Text work happens in the scan's own tasks, which is right for a table of many files. A
-    table with fewer files than cores would keep most cores idle; such a small one is
-    spread by a hash of its key first.
-    """
-    table = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if len(table.inputFiles()) < cores else table
+def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Some columns of a Parquet table; how it is split is for the session's reader settings."""
+    return spark.read.parquet(path).select(*columns)
