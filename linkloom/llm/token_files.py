@@ -44,6 +44,12 @@ SHARD_BYTES = 8 * 1024 * 1024
 MEMO_PIECES = 700_000
 # Marks that are never part of a word's piece, as they are neither letter, digit nor apostrophe.
 MARKS = ".,;:!?|"
+# The letters that byte-level vocabularies write for the 256 bytes: printable ones stand for
+# themselves, the others for the letters from 256 on, in order.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+# Letters below this have been letters in all versions of Unicode that libraries go by.
+_LATIN_END = "\u0250"
 # Texts that are encoded together.
 BATCH_DOCS = 1024
 
@@ -81,14 +87,21 @@ class Encoder:
     def _words(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces with a blank before them.
 
-        Blank and ASCII letters make one piece to the pre-tokenizer, so the library's model can
-        be asked directly. To it the blank is the letter that byte-level vocabularies write for it.
+        A blank and Latin letters make one piece to the pre-tokenizer, as do a blank and ASCII
+        digits, so the library's model can be asked directly. To it a byte is the letter that
+        byte-level vocabularies write for it.
         """
         kind, tokenize = "H" if self.width == 2 else "I", self.tokenizer.model.tokenize
-        found = [
-            array(kind, [t.id for t in tokenize("\u0120" + p)]).tobytes() if p.isascii() and p.isalpha() else None
-            for p in pieces
-        ]
+        found: list[bytes | None] = []
+        for p in pieces:
+            if p.isascii() and (p.isalpha() or p.isdigit()):
+                letters = "\u0120" + p
+            elif p.isalpha() and max(p) < _LATIN_END:
+                letters = "\u0120" + p.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            else:
+                found.append(None)
+                continue
+            found.append(array(kind, [t.id for t in tokenize(letters)]).tobytes())
         rest = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(rest, self._direct([" " + pieces[i] for i in rest])):
             found[i] = ids
@@ -102,7 +115,7 @@ class Encoder:
         memo = self.memo
         # The pieces of these texts, looked up once each: a small table that stays in the cache.
         here = dict.fromkeys(chain.from_iterable(c[1:] for c in cut if c))
-        here.update((p, memo.get(p)) for p in here)
+        here = dict(zip(here, map(memo.get, here)))
         missing = [p for p, ids in here.items() if ids is None]
         ends = {
             p: (word, p[len(word) :])
@@ -116,8 +129,9 @@ class Encoder:
         found = self._words(words) + self._direct(marks + heads)
         memo.update(zip(words, found))
         self.marks.update(zip(marks, found[len(words) :]))
-        memo.update((p, memo[word] + self.marks[mark]) for p, (word, mark) in ends.items())
-        here.update((p, memo[p]) for p in missing)
+        # Words with marks are put together anew, which keeps the memo small.
+        here.update((p, memo[word] + self.marks[mark]) for p, (word, mark) in ends.items())
+        here.update((p, memo[p]) for p in missing if p not in ends)
         heads = found[len(words) + len(marks) :]
         return [h if c is None else b"".join([h, *map(here.__getitem__, c[1:])]) for h, c in zip(heads, cut)]
 
@@ -130,6 +144,11 @@ def worker_encoder(path: str) -> Encoder:
     return kept[path]
 
 
+def release_encoders() -> None:
+    """Give back the memory of this worker's encoders; the next one who needs them loads them."""
+    sys.modules.pop("_worker_encoders", None)
+
+
 def _sample(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     enc = worker_encoder(path)
     end = end_id.to_bytes(enc.width, "little")
@@ -184,6 +203,7 @@ def _pack(batches: Iterator[pa.RecordBatch], dict_hash: str) -> Iterator[pa.Reco
         + [(name, longs) for name in ("doc_ids", "n_tokens", "offsets")]
         + [("blob", pa.binary())]
     )
+    release_encoders()
     part, shard, start, total = TaskContext.get().partitionId(), 0, 0, 0
     ids, counts, offsets, frames, size = [], [], [], [], 0
 
@@ -233,6 +253,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> tuple
 
 
 def _read(batches: Iterator[pa.RecordBatch], dictionary: bytes, width: int) -> Iterator[pa.RecordBatch]:
+    release_encoders()
     decompress = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary)).decompress
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
     for batch in batches:
