@@ -32,8 +32,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def toxic(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    train = toxicity.labelled_texts(docs.filter(fold("doc_id") != 0), _table(spark, folder, "labels"))
-    scored = toxicity.score(docs, toxicity.learn(train))
+    model = toxicity.learn_from_labels(docs.filter(fold("doc_id") != 0), _table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id",
         F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"),

@@ -1,9 +1,10 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is logistic in its words, and a word's
-weight is the sum of those of the character n-grams in it; the document's probability is the noisy-or of its sentences: one minus the product of their complements. Only
-documents have labels, and the gradient of the document's likelihood tells each sentence how much
-of it is to blame. What was learned locates the sentences that make a document toxic.
+weight is the sum of those of the character n-grams in it; the document's probability is the
+noisy-or of its sentences: one minus the product of their complements. Only documents have labels,
+and the gradient of the document's likelihood tells each sentence how much of it is to blame. What
+was learned locates the sentences that make a document toxic.
 """
 
 from __future__ import annotations
@@ -105,12 +106,19 @@ def _patterns(batches: Iterator[pa.RecordBatch], known: dict[str, int]) -> Itera
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("label", pa.int32()), ("patterns", pa.list_(kind))]))
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
-    """(doc_id, text, label 0/1). A document with several labels is 1 if any is; others without a
-    text or a label are left out."""
+def document_labels(labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """(doc_id, label 0/1). A document with several labels is 1 if any is; others have no row."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(known, "doc_id")
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """(doc_id, text, label 0/1). Documents without a text or a label are left out."""
+    return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(document_labels(labels, label), "doc_id")
+
+
+def _first_by_hash(ids: DataFrame, sample_docs: int) -> DataFrame:
+    return F.broadcast(ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -119,8 +127,20 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     The sample is bounded and chosen by hash of the id. What the driver gets of it is, per
     document, its distinct sets of known n-grams.
     """
-    chosen = labelled.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    sample = materialize(labelled.join(F.broadcast(chosen), "doc_id").select("text", "label"), "toxic-sample")
+    chosen = _first_by_hash(labelled.select("doc_id"), sample_docs)
+    return _learn(labelled.join(chosen, "doc_id"))
+
+
+def learn_from_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
+    """The model of `learn(labelled_texts(docs, labels, label))`. The sample is chosen from ids
+    alone and goes to the texts with its labels, so no text is shuffled."""
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    chosen = _first_by_hash(texts.select("doc_id").join(document_labels(labels, label), "doc_id"), sample_docs)
+    return _learn(texts.join(chosen, "doc_id"))
+
+
+def _learn(sampled: DataFrame) -> Model:
+    sample = materialize(sampled.select("text", "label"), "toxic-sample")
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model(-20.0, {})
