@@ -15,15 +15,15 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import sys
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import chain
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -41,17 +41,25 @@ SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32 * 1024
 LEVEL = 3
 SHARD_BYTES = 8 * 1024 * 1024
-MEMO_PIECES = 700_000
-# Marks that are never part of a word's piece, as they are neither letter, digit nor apostrophe.
-MARKS = ".,;:!?|"
+MEMO_ATOMS = 1_000_000
+# A blank in a run of white space, or one at the end of a text after white space. White space is
+# all that some version of Unicode or Python counts as such.
+_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+_RUN = rf"{_SPACE} ({_SPACE}|\z)"
+# A word of Latin letters or ASCII digits after a blank, marks that are neither letter, digit nor
+# apostrophe, perhaps a new line, and more of both: each is a piece of its own. Letters below
+# 0x250 have been letters in all versions of Unicode that libraries go by.
+_LETTERS = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+"
+_MARKS = r"[\-.,;:!?|$%&#*()]+"
+_WORD = rf"\A ?(?:{_LETTERS}|[0-9]+)\z"
+_SHAPE = rf"\A(?P<word> (?:{_LETTERS}|[0-9]+))(?P<mark>{_MARKS})?(?P<line>\n)?(?P<bare>{_LETTERS})?(?P<after>{_MARKS})?\z"
 # The letters that byte-level vocabularies write for the 256 bytes: printable ones stand for
 # themselves, the others for the letters from 256 on, in order.
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-# Letters below this have been letters in all versions of Unicode that libraries go by.
-_LATIN_END = "\u0250"
+_OTHER = [b for b in range(256) if b not in _PLAIN]
+_BYTE_LETTERS = "".join(chr(256 + _OTHER.index(b) if b in _OTHER else b) for b in range(256))
 # Texts that are encoded together.
-BATCH_DOCS = 1024
+BATCH_DOCS = 4096
 
 SHARD_SCHEMA = (
     "part int, shard int, dict_hash string, start bigint, doc_ids array<bigint>, "
@@ -63,77 +71,94 @@ class Encoder:
     """Text to serialized ids with the `tokenizers` library.
 
     With `by_blank`, for byte-level vocabularies whose pre-tokenizer begins a new piece at a
-    blank, a text is cut at its single blanks and every distinct piece encoded once, which gives
-    the same ids as the whole text. Only a blank between two other white-space characters may
-    belong to a longer run; a text that has one is encoded as a whole. Marks after a word are
-    pieces of their own to such a vocabulary, so `word,` is `word` and `,`. The memo of pieces is
-    emptied when full.
+    blank, texts are cut at their single blanks and every distinct piece encoded once, which gives
+    the same ids as the whole text. Only a blank that follows white space, before other white space
+    or the end, may belong to a longer run; texts that have one are encoded as a whole, as are
+    those that hold one of the vocabulary's added tokens. Pieces are cut further into words and
+    marks where they have the plain form of `_SHAPE`. All that, and putting ids together, is done
+    on Arrow columns; Python sees an atom only when it is new. Atoms and their ids are kept in two
+    columns, which are emptied when long.
     """
 
     def __init__(self, path: str, by_blank: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.by_blank = by_blank
-        self.memo: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-        self.run = re.compile(r"\s \s")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.atoms, self.ids = pa.array([""], pa.large_string()), pa.array([b""], pa.large_binary())
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        kind = "H" if self.width == 2 else "I"
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array(kind, e.ids).tobytes() for e in encoded]
+        return [array(self.kind, e.ids).tobytes() for e in encoded]
 
-    def _words(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces with a blank before them.
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of Latin letters or ASCII digits, with a blank before them or without.
 
-        A blank and Latin letters make one piece to the pre-tokenizer, as do a blank and ASCII
-        digits, so the library's model can be asked directly. To it a byte is the letter that
-        byte-level vocabularies write for it.
+        Each is one piece to the pre-tokenizer, so the library's model can be asked directly; to
+        it a byte is the letter that byte-level vocabularies write for it.
         """
-        kind, tokenize = "H" if self.width == 2 else "I", self.tokenizer.model.tokenize
-        found: list[bytes | None] = []
-        for p in pieces:
-            if p.isascii() and (p.isalpha() or p.isdigit()):
-                letters = "\u0120" + p
-            elif p.isalpha() and max(p) < _LATIN_END:
-                letters = "\u0120" + p.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            else:
-                found.append(None)
-                continue
-            found.append(array(kind, [t.id for t in tokenize(letters)]).tobytes())
-        rest = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(rest, self._direct([" " + pieces[i] for i in rest])):
-            found[i] = ids
+        kind, tokenize = self.kind, self.tokenizer.model.tokenize
+        letters = [charmap_decode(w.encode(), "strict", _BYTE_LETTERS)[0] for w in words]
+        return [array(kind, [t.id for t in tokenize(x)]).tobytes() for x in letters]
+
+    def _learn(self, atoms: pa.Array) -> None:
+        plain = pc.match_substring_regex(atoms, _WORD)
+        words, rest = atoms.filter(plain), atoms.filter(pc.invert(plain))
+        ids = self._words(words.to_pylist()) + self._direct(rest.to_pylist())
+        self.atoms = pa.concat_arrays([self.atoms, words, rest])
+        self.ids = pa.concat_arrays([self.ids, pa.array(ids, pa.large_binary())])
+
+    def _pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces, each with a blank before it."""
+        blanked = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), pieces, pa.scalar("", pa.large_string()))
+        shaped = pc.extract_regex(blanked, _SHAPE)
+        first, *others = (pc.struct_field(shaped, i) for i in range(shaped.type.num_fields))
+        parts = [pc.coalesce(first, blanked), *(pc.fill_null(o, "") for o in others)]
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        at = pc.index_in(coded.dictionary, value_set=self.atoms)
+        if at.null_count:
+            self._learn(coded.dictionary.filter(pc.is_null(at)))
+            at = pc.index_in(coded.dictionary, value_set=self.atoms)
+        ids = self.ids.take(at.take(coded.indices))
+        n = len(pieces)
+        return pc.binary_join_element_wise(*(ids.slice(i * n, n) for i in range(len(parts))), pa.scalar(b"", pa.large_binary()))
+
+    def _whole(self, texts: pa.Array) -> pa.Array:
+        """Which texts may not be cut."""
+        if not self.by_blank:
+            return pc.is_valid(texts)
+        found = pc.match_substring_regex(texts, _RUN)
+        for token in self.added:
+            found = pc.or_(found, pc.match_substring(texts, token))
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialized ids of each text. The library is called once for all pieces not seen yet."""
-        cut = [t.split(" ") if self.by_blank and not self.run.search(t) else None for t in texts]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        memo = self.memo
-        # The pieces of these texts, looked up once each: a small table that stays in the cache.
-        here = dict.fromkeys(chain.from_iterable(c[1:] for c in cut if c))
-        here = dict(zip(here, map(memo.get, here)))
-        missing = [p for p, ids in here.items() if ids is None]
-        ends = {
-            p: (word, p[len(word) :])
-            for p in missing
-            if p[-1:] in MARKS and (word := p.rstrip(MARKS)) and word[-1].isalnum()
-        }
-        words = list({w for p in missing if (w := ends[p][0] if p in ends else p) not in memo})
-        marks = list({e[1] for e in ends.values()} - self.marks.keys())
-        # The first piece of a text has no blank before it; texts that are not cut go whole.
-        heads = [t if c is None else c[0] for t, c in zip(texts, cut)]
-        found = self._words(words) + self._direct(marks + heads)
-        memo.update(zip(words, found))
-        self.marks.update(zip(marks, found[len(words) :]))
-        # Words with marks are put together anew, which keeps the memo small.
-        here.update((p, memo[word] + self.marks[mark]) for p, (word, mark) in ends.items())
-        here.update((p, memo[p]) for p in missing if p not in ends)
-        heads = found[len(words) + len(marks) :]
-        return [h if c is None else b"".join([h, *map(here.__getitem__, c[1:])]) for h, c in zip(heads, cut)]
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Serialized ids of each text; those of a null are empty."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        if not len(texts):
+            return []
+        if len(self.atoms) > MEMO_ATOMS:
+            self._forget()
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        whole = self._whole(texts)
+        cut = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        bounds, pieces = cut.offsets.to_numpy(), cut.values
+        # The first piece of a text has no blank before it; texts that are not cut are their own.
+        heads = pc.if_else(whole, texts, pieces.take(pa.array(bounds[:-1]))).to_pylist()
+        coded = pieces.dictionary_encode()
+        index = coded.indices.to_numpy().astype(np.int64)
+        index[bounds[:-1]] = len(coded.dictionary) + np.arange(len(heads))
+        known = pa.concat_arrays([self._pieces(coded.dictionary), pa.array(self._direct(heads), pa.large_binary())])
+        _, ends, data = known.take(pa.array(index)).buffers()
+        ends = np.frombuffer(ends, np.int64, len(index) + 1)[bounds].tolist()
+        view = memoryview(data or b"")
+        return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -185,7 +210,7 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end
         for at in range(0, whole.num_rows, BATCH_DOCS):
             batch = whole.slice(at, BATCH_DOCS)
             counts, frames = [], []
-            for ids in enc.encode([t or "" for t in column(batch, "text")]):
+            for ids in enc.encode(batch.column(batch.schema.get_field_index("text"))):
                 counts.append((len(ids) + len(end)) // enc.width)
                 frames.append(compress(ids + end))
             ids = batch.column(batch.schema.get_field_index("doc_id"))

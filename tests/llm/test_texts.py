@@ -223,7 +223,7 @@ def test_token_files_of_nothing(spark):
 
 
 def test_pieces_give_the_same_ids(monkeypatch):
-    monkeypatch.setattr(token_files, "MEMO_PIECES", 50)
+    monkeypatch.setattr(token_files, "MEMO_ATOMS", 50)
     rng = random.Random(3)
     bits = ["a", "It's", "the", "12", "²", "é", "×", "...", ",", "\n", "\t", " ", "  ", " ", "日本", "'s", "x.", "!?", "<|endoftext|>", "_", "\x1c"]
     texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
@@ -232,6 +232,16 @@ def test_pieces_give_the_same_ids(monkeypatch):
         assert cut.encode(texts[at : at + 100]) == whole.encode(texts[at : at + 100])
 
 
+def test_plain_shapes_give_the_same_ids():
+    rng = random.Random(4)
+    words = ["Straße", "élan", "ǆ", "ɏ", "ɐ", "naïve", "ªº", "×÷", "42", "4²", "ab12", "don't", "", "ÀÖØöøÿ", "ŉ"]
+    marks = ["", ".", "...", "$$$", "?!", "(*)", "-", "'", "_", "\n", ".\n", "\n\n", "\u2028", "\x85", "<|endoftext|>"]
+    texts = ["".join(rng.choice(["", " ", " ", "  "]) + rng.choice(words) + rng.choice(marks) for _ in range(rng.randint(1, 6))) for _ in range(4000)]
+    whole, cut = token_files.Encoder(tokenizer_path(), by_blank=False), token_files.Encoder(tokenizer_path())
+    assert cut.encode(texts) == whole.encode(texts)
+    assert cut.encode(["", "a", ""]) == whole.encode(["", "a", ""]) and cut.encode([]) == []
+
+
 # Katz backoff
 
 
