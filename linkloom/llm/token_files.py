@@ -59,7 +59,7 @@ _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHER = [b for b in range(256) if b not in _PLAIN]
 _BYTE_LETTERS = "".join(chr(256 + _OTHER.index(b) if b in _OTHER else b) for b in range(256))
 # Texts that are encoded together.
-BATCH_DOCS = 4096
+BATCH_DOCS = 2048
 
 SHARD_SCHEMA = (
     "part int, shard int, dict_hash string, start bigint, doc_ids array<bigint>, "
