@@ -94,6 +94,13 @@ def test_held_out_toxicity(spark, toxic):
     assert sum(b >= 0.5 for b in zeros) <= 0.05 * len(zeros)
 
 
+def test_sample_from_ids_gives_the_same_model(spark, toxic):
+    docs, labels, model = toxic
+    found = toxicity.learn_from_labels(docs.filter(fold("doc_id") != 0), labels)
+    assert found.weights.keys() == model.weights.keys() and abs(found.base - model.base) < 1e-6
+    assert max(abs(found.weights[g] - w) for g, w in model.weights.items()) < 1e-6
+
+
 def test_offending_sentences_are_located(spark, toxic):
     _, _, model = toxic
     text = "The ring of the ation.\nYou pathetic scum moron! And from the heed"
