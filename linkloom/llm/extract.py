@@ -5,7 +5,8 @@ page's text blocks are the contents seen there. A node whose contents differ fro
 important, one that shows the same few contents on every page is not: its importance is the
 entropy of its contents over the logarithm of their number. Hosts with few pages lean on the tree
 of all hosts, and nodes seen rarely on what their elements are for. A branch of low importance is
-removed from each page, what is left is the main text.
+removed from each page, what is left is the main text. Menus, footers and the like go whatever
+their entropy, unless an article holds them.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ PRIOR_SEEN = 40.0
 
 # Elements without text for readers.
 UNSEEN = frozenset("script style noscript template head title iframe object svg math canvas audio video select textarea button".split())
-# Elements that are never the main text, or always part of it.
+# Elements that are not the main text, unless they are within one that holds it.
 ASIDE = frozenset("nav header footer aside form menu dialog".split())
 MAIN = frozenset("article main".split())
 BLOCKS = frozenset(
@@ -73,15 +74,19 @@ class Element:
     hidden: bool
     aside: bool
     main: bool
+    fixed: bool
 
 
 @dataclass
 class Block:
-    """A run of text between block boundaries: where it stands and what it says."""
+    """A run of text between block boundaries: where it stands and what it says.
+
+    `aside` is what its elements are for, `fixed` that this is the verdict."""
 
     path: str
     aside: bool
     main: bool
+    fixed: bool
     parts: list[str] = field(default_factory=list)
 
     @property
@@ -107,8 +112,10 @@ def blocks(page: str | None) -> list[Block]:
         main = bool(above and above.main) or name in MAIN or marks.get("role", "").lower() in ("main", "article")
         # A header inside an article is a part of it.
         aside = bool(above and above.aside) or purpose or (name in ASIDE and not (name == "header" and main))
+        # Within an article the contents decide; an article within a menu is a part of the menu.
+        fixed = bool(above and above.fixed) or (aside and not main)
         signature = f"{above.signature if above else ''}/{name}{'.' + classes if classes else ''}"
-        stack.append(Element(name, signature, name in UNSEEN, aside, main))
+        stack.append(Element(name, signature, name in UNSEEN, aside, main, fixed))
         hidden += name in UNSEEN
 
     def pop() -> str:
@@ -125,7 +132,7 @@ def blocks(page: str | None) -> list[Block]:
             # Inline elements do not make a place of their own.
             holder = next((e for e in reversed(stack) if e.name in BLOCKS), None)
             top = stack[-1] if stack else None
-            current = Block(holder.signature if holder else "/", bool(top and top.aside), bool(top and top.main))
+            current = Block(holder.signature if holder else "/", bool(top and top.aside), bool(top and top.main), bool(top and top.fixed))
             out.append(current)
         current.parts.append(text)
 
@@ -162,10 +169,6 @@ def blocks(page: str | None) -> list[Block]:
             end = re.compile(rf"</{name}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
     out = [b for b in out if b.text]
-    if any(b.main and not b.aside for b in out):
-        # Where a page says which part is the article, the rest is beside it.
-        for b in out:
-            b.aside = b.aside or not b.main
     return out
 
 
@@ -179,12 +182,12 @@ def _number(text: str) -> int:
 
 
 def _node(block: Block) -> int:
-    """The tree node of a block. A path beside an article is not the same node as one in it."""
-    return _number(f"{block.path} {block.aside:d}{block.main:d}")
+    """The tree node of a block. Equal paths of unlike purpose are not the same node."""
+    return _number(f"{block.path} {block.aside:d}{block.main:d}{block.fixed:d}")
 
 
 def contents(pages: DataFrame) -> DataFrame:
-    """(host, html) to (host, node, content, aside, main): one row per text block."""
+    """(host, html) to (host, node, content, aside, fixed): one row per text block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,18 +199,18 @@ def contents(pages: DataFrame) -> DataFrame:
                         pa.array([_node(b) for b in found], pa.int64()),
                         pa.array([_number(b.text) for b in found], pa.int64()),
                         pa.array([b.aside for b in found], pa.bool_()),
-                        pa.array([b.main for b in found], pa.bool_()),
+                        pa.array([b.fixed for b in found], pa.bool_()),
                     ],
-                    ["host", "node", "content", "aside", "main"],
+                    ["host", "node", "content", "aside", "fixed"],
                 )
 
     return pages.select("host", "html").mapInArrow(
-        run, "host string, node bigint, content bigint, aside boolean, main boolean"
+        run, "host string, node bigint, content bigint, aside boolean, fixed boolean"
     )
 
 
 def _flags() -> list[Column]:
-    return [F.max("aside").alias("aside"), F.max("main").alias("main")]
+    return [F.max("aside").alias("aside"), F.max("fixed").alias("fixed")]
 
 
 def _evenness(counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -215,7 +218,7 @@ def _evenness(counts: DataFrame, keys: list[str]) -> DataFrame:
     n = F.col("n").cast("double")
     sums = counts.groupBy(*keys).agg(F.sum(n).alias("seen"), F.sum(n * F.log(n)).alias("nlogn"), *_flags())
     entropy = F.log("seen") - F.col("nlogn") / F.col("seen")
-    return sums.select(*keys, "seen", "aside", "main", F.when(F.col("seen") > 1, F.greatest(entropy / F.log("seen"), F.lit(0.0))).otherwise(1.0).alias("even"))
+    return sums.select(*keys, "seen", "aside", "fixed", F.when(F.col("seen") > 1, F.greatest(entropy / F.log("seen"), F.lit(0.0))).otherwise(1.0).alias("even"))
 
 
 def importance(pages: DataFrame) -> DataFrame:
@@ -232,14 +235,12 @@ def importance(pages: DataFrame) -> DataFrame:
     hosts = own.groupBy("node").agg(F.count("*").alias("n_hosts"))
     lookup = every.select("node", F.col("seen").alias("all_seen"), F.col("even").alias("all_even")).join(hosts, "node")
     joined = lookup_join(own, materialize(lookup, "style-nodes"), ["node"], "n_hosts", "host", "inner")
-    aside, main = F.col("aside"), F.col("main") & ~F.col("aside")
     # The rarer a node is on all hosts together, the more the purpose of its elements says.
-    prior = F.when(aside, 0.0).otherwise(1.0)
+    prior = F.when(F.col("aside"), 0.0).otherwise(1.0)
     everywhere = (F.col("all_seen") * F.col("all_even") + PRIOR_SEEN * prior) / (F.col("all_seen") + PRIOR_SEEN)
     blended = (F.col("seen") * F.col("even") + GLOBAL_SEEN * everywhere) / (F.col("seen") + GLOBAL_SEEN)
-    # Contents that change from page to page do not make a menu an article, nor does an article
-    # that many pages copy become a menu.
-    judged = F.when(aside, F.least(blended, F.lit(LEAST / 2))).when(main, F.greatest(blended, F.lit(LEAST))).otherwise(blended)
+    # Contents that change from page to page do not make a menu an article.
+    judged = F.when(F.col("fixed"), F.least(blended, F.lit(LEAST / 2))).otherwise(blended)
     return joined.select("host", "node", judged.alias("importance"), "seen")
 
 

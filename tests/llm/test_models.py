@@ -283,6 +283,17 @@ def test_repeated_branches_go(spark, with_article):
     assert got == {i: text for i, _, _, text in rows}
 
 
+def test_contents_decide_beside_and_within_articles(spark):
+    rows = []
+    for i, url, page, text in page_rows(True):
+        notice, more = "<div class='box'>All rights with us.</div>", f"More {i * 7919} {text[:9]}"
+        page = page.replace("<article>", f"<div class='intro'>{more}</div><nav>Go {i}</nav><article>{notice}")
+        rows.append((i, url, page, f"{' '.join(more.split())}\n{text}"))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract.extract(pages).collect()}
+    assert got == {i: text for i, _, _, text in rows}
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "http://a.b/", ""), (None, "x", "plain < text &lt; &bogus; &am"), (4, "http://a.b/", "<p>x" * 3000), (4, "http://a.b/", "<p>x" * 3000), (5, "u", "<script>never closed"), (6, "u", "</p></div>tail")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("n_pages", F.lit(1))
