@@ -53,7 +53,7 @@ ENDS_BEFORE = {
     "td": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}),
     "th": frozenset({"td", "th", "tr", "tbody", "thead", "tfoot"}),
 }
-# Words in a class, id or role that tell what a part of a page is for.
+# Words in a class or role that tell what a part of a page is for.
 _PURPOSE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|newsletter|subscribe|popup|modal|"
     r"nav\w*|menu|breadcrumb\w*|sidebar|footer|header|masthead|comments?|respond|replies|share|social|related|search|login|"
@@ -61,8 +61,10 @@ _PURPOSE = re.compile(
     re.I,
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_MARK = re.compile(r"\b(class|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _DIGITS = re.compile(r"\d+")
+# Elements that such words say nothing about: they tell of a whole page, or are headings.
+_UNMARKED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 # Elements whose content is not markup.
 _RAW = frozenset("script style textarea title noscript iframe".split())
 
@@ -75,18 +77,20 @@ class Element:
     aside: bool
     main: bool
     fixed: bool
+    marked: bool
 
 
 @dataclass
 class Block:
     """A run of text between block boundaries: where it stands and what it says.
 
-    `aside` is what its elements are for, `fixed` that this is the verdict."""
+    `aside` is what its elements or their classes are for, `fixed` that this is the verdict."""
 
     path: str
     aside: bool
     main: bool
     fixed: bool
+    marked: bool
     parts: list[str] = field(default_factory=list)
 
     @property
@@ -107,15 +111,17 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal hidden
         marks = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _MARK.finditer(attributes)} if attributes else {}
         above = stack[-1] if stack else None
-        purpose = bool(marks) and any(_PURPOSE.search(v) for v in marks.values())
+        purpose = name in BLOCKS and name not in _UNMARKED and any(_PURPOSE.search(v) for v in marks.values())
         classes = ".".join(sorted(_DIGITS.sub("0", marks.get("class", "")).split()))
         main = bool(above and above.main) or name in MAIN or marks.get("role", "").lower() in ("main", "article")
         # A header inside an article is a part of it.
-        aside = bool(above and above.aside) or purpose or (name in ASIDE and not (name == "header" and main))
+        named = name in ASIDE and not (name == "header" and main)
+        aside = bool(above and above.aside) or purpose or named
         # Within an article the contents decide; an article within a menu is a part of the menu.
-        fixed = bool(above and above.fixed) or (aside and not main)
+        fixed = bool(above and above.fixed) or (named and not main)
+        marked = bool(above and above.marked) or (purpose and not main)
         signature = f"{above.signature if above else ''}/{name}{'.' + classes if classes else ''}"
-        stack.append(Element(name, signature, name in UNSEEN, aside, main, fixed))
+        stack.append(Element(name, signature, name in UNSEEN, aside, main, fixed, marked))
         hidden += name in UNSEEN
 
     def pop() -> str:
@@ -131,8 +137,8 @@ def blocks(page: str | None) -> list[Block]:
         if current is None:
             # Inline elements do not make a place of their own.
             holder = next((e for e in reversed(stack) if e.name in BLOCKS), None)
-            top = stack[-1] if stack else None
-            current = Block(holder.signature if holder else "/", bool(top and top.aside), bool(top and top.main), bool(top and top.fixed))
+            flags = (holder.aside, holder.main, holder.fixed, holder.marked) if holder else (False,) * 4
+            current = Block(holder.signature if holder else "/", *flags)
             out.append(current)
         current.parts.append(text)
 
@@ -169,6 +175,10 @@ def blocks(page: str | None) -> list[Block]:
             end = re.compile(rf"</{name}\b", re.I).search(page, at)
             at = end.start() if end else len(page)
     out = [b for b in out if b.text]
+    if any(b.main and not b.aside for b in out):
+        # Classes are a verdict only beside an article.
+        for b in out:
+            b.fixed = b.fixed or b.marked
     return out
 
 

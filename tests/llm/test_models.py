@@ -294,6 +294,23 @@ def test_contents_decide_beside_and_within_articles(spark):
     assert got == {i: text for i, _, _, text in rows}
 
 
+def test_words_in_attributes_are_no_verdict(spark):
+    rows = []
+    for i, url, page, text in page_rows(True):
+        first, second = text.split("\n")
+        inner = (
+            f"<h2 id='search'>H {i * 7919}</h2><section id='related-work'>{first}</section><p><a class='share'>W{i}</a> {second}</p>"
+            f"<div class='social'>S {second}</div>"
+        )
+        rows.append((i, url, f"<article>{inner}</article><div class='ad'>Buy {i}</div>", f"H {i * 7919}\n{first}\nW{i} {second}\nS {second}"))
+        rows.append((1000 + i, f"http://x.org/{i}", f"<body class='sticky-header'><div class='menu'>{first}</div>{second}", f"{first}\n{second}"))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract.extract(pages).collect()}
+    assert got == {i: text for i, _, _, text in rows}
+    holders = [b.aside for b in extract.blocks("<p><a class='share'>Word</a> long paragraph</p><h2 class='search'>x</h2><div class='ad'>y</div>")]
+    assert holders == [False, False, True]
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "http://a.b/", ""), (None, "x", "plain < text &lt; &bogus; &am"), (4, "http://a.b/", "<p>x" * 3000), (4, "http://a.b/", "<p>x" * 3000), (5, "u", "<script>never closed"), (6, "u", "</p></div>tail")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("n_pages", F.lit(1))
