@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import blank_words, column
@@ -54,16 +54,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text) to (doc_id, fp bigint, the 64 bits as a signed number)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, beside: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text) to (doc_id, fp bigint, the 64 bits as a signed number), and the bigint columns
+    `beside` them as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t, shingle) for t in column(batch, "text")], np.uint64)
             ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(values.view(np.int64))], ["doc_id", "fp"])
+            more = [batch.column(batch.schema.get_field_index(c)) for c in beside]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(values.view(np.int64)), *more], ["doc_id", "fp", *beside])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    schema = ", ".join(f"{c} bigint" for c in ("doc_id", "fp", *beside))
+    return docs.select("doc_id", "text", *beside).mapInArrow(run, schema)
 
 
 def _remainders(vectors: np.ndarray) -> np.ndarray:
@@ -174,6 +177,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return nodes.unionAll(pairs.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+def _rooted(found: DataFrame, *aggregates: Column) -> DataFrame:
+    """(…, fp) to the written table (fp, root, *aggregates), one row per fingerprint; root is the
+    least fingerprint of its component."""
+    groups = materialize(found.groupBy("fp").agg(*aggregates), "fp-groups")
+    linked = materialize(components(links(groups)), "fp-components")
+    rooted = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return materialize(rooted, "fp-roots")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id): one row per row of `docs`.
 
@@ -185,11 +197,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     looked at.
     """
     found = materialize(fingerprints(docs, shingle), "fingerprints")
-    groups = found.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n_docs"))
-    groups = materialize(groups, "fp-groups")
-    linked = materialize(components(links(groups)), "fp-components")
-    rooted = groups.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = materialize(rooted, "fp-roots")
+    rooted = _rooted(found, F.min("doc_id").alias("first"), F.count("*").alias("n_docs"))
     # Components of one fingerprint need no lookup.
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n_fps"))
     named = lookup_join(rooted, materialize(ids, "component-ids"), ["root"], "n_fps", "fp", "inner")
@@ -203,7 +211,8 @@ def hex_fingerprint(fp: str = "fp"):
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """The document with the least id of each component, all columns kept; repeated ids once."""
+    """The document with the least id of each component, all columns kept; each id once, even if it
+    stands for several components. `keep_one` has a row for each of them."""
     groups = near_duplicates(docs, shingle)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = materialize(kept.select(F.col("doc_id").alias("__kept_id")), "kept")
@@ -211,3 +220,27 @@ def keep_first(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
     # Texts are dealt out by id once more only where some id has several rows.
     return joined if repeated.isEmpty() else joined.dropDuplicates(["doc_id"])
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each component, all columns kept: the one with the least id, of several with that
+    id the one with the least hash of its columns. A null id comes after all others.
+
+    Rows are known by their id and that hash, so rows of one id and unlike texts are apart, and rows
+    that share both are copies, of which one stays.
+    """
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    # A hash skips nulls; the flags tell in which columns they are.
+    row_key = F.xxhash64(*[c for n in hashed for c in (F.col(n).isNull(), F.col(n))])
+    keyed = docs.withColumn("__row_key", row_key)
+    found = materialize(fingerprints(keyed, shingle, ("__row_key",)), "fingerprints")
+    rooted = _rooted(found, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row_key")).alias("first"))
+    first = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    kept = materialize(first.select(F.col("first.doc_id").alias("__kept_id"), F.col("first.__row_key").alias("__kept_key")), "kept")
+    same = keyed["doc_id"].eqNullSafe(kept["__kept_id"]) & (keyed["__row_key"] == kept["__kept_key"])
+    joined = keyed.join(kept, same, "left_semi")
+    repeated = found.groupBy("doc_id", "__row_key").agg(F.count("*").alias("n")).filter("n > 1")
+    # Texts are dealt out once more only where some row is repeated.
+    if not repeated.isEmpty():
+        joined = joined.dropDuplicates(["doc_id", "__row_key"])
+    return joined.select(*docs.columns)

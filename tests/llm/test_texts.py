@@ -408,6 +408,28 @@ def test_near_duplicates(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(first.values()))
 
 
+def test_every_component_keeps_one_row(spark):
+    rows = odd_documents() + [(400, "x", None, None, 1), (400, None, "x", None, 1), (None, "text without an id", "de", "src0", 18)]
+    fps = [fingerprint_of(r[1]) for r in rows]
+    values = sorted(set(fps))
+    near = [(a, b) for i, a in enumerate(values) for b in values[i + 1 :] if (a ^ b).bit_count() <= 2]
+    root = components_of(values, near)
+    first = {}
+    for r, fp in zip(rows, fps):
+        order = (r[0] is None, r[0] or 0)
+        first[root[fp]] = min(first.get(root[fp], order), order)
+    got = simhash.keep_one(documents(spark, rows, clashing=True))
+    assert got.columns == documents(spark, rows, clashing=True).columns
+    kept = [tuple(r) for r in got.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+    assert set(kept) <= set(rows)
+    assert {root[fingerprint_of(r[1])]: (r[0] is None, r[0] or 0) for r in kept} == first and len(kept) == len(first)
+    again = simhash.keep_one(documents(spark, rows, clashing=True).repartition(5))
+    assert collected(again) == collected(got)
+    # Under one id, and under none, are texts of several groups.
+    assert sorted(r[0] for r in kept if r[0] == 6) == [6, 6] and any(r[1] == "text without an id" for r in kept)
+    assert simhash.keep_one(documents(spark, EMPTY)).count() == 0
+
+
 def test_near_duplicates_of_nothing(spark):
     assert simhash.near_duplicates(documents(spark, EMPTY)).count() == 0
     assert simhash.keep_first(documents(spark, EMPTY)).schema.simpleString() == documents(spark, EMPTY).schema.simpleString()
