@@ -17,7 +17,7 @@ from linkloom.operators.materialize import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those in which no language has half of the words."""
+    """Rejects documents without a language: those without a letter."""
     model = language.learn(language.training_fold(docs, fold("doc_id")))
     return language.keep_identified(docs, model)
 

@@ -164,17 +164,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The documents in which one language has at least `min_score` of the words; the others, and
-    those without a letter, are rejected. All columns and repeated rows are kept. The decision
-    is made next to the row, so nothing is shuffled."""
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents with a language, in however many others they also are; what `predict` calls
+    `und` is rejected. All columns and repeated rows are kept. The decision is made next to the
+    row, so nothing is shuffled."""
     names = docs.columns
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [identify(t, model) for t in batch.column(names.index("text")).to_pylist()]
-            keep = [max(f.values(), default=0.0) >= min_score for f in found]
+            keep = [bool(identify(t, model)) for t in batch.column(names.index("text")).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, schema)

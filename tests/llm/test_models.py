@@ -68,6 +68,17 @@ def test_odd_texts_have_no_language(spark, model):
     assert {r.doc_id for r in kept.collect()} & gone == set()
 
 
+def test_a_document_in_three_languages_stays(spark):
+    words = {"aa": "kora tamo pakira motaka", "bb": "wesch flitz brung schwelf", "cc": "yyx ziy quizzy xyzzyx"}
+    labelled = spark.createDataFrame([(i, t, name) for i, (name, t) in enumerate(words.items())], "doc_id bigint, text string, lang string")
+    known = language.learn(labelled)
+    text = " ".join(w for t in words.values() for w in t.split() * 20)
+    found = language.identify(text, known)
+    assert len(found) == 3 and max(found.values()) < 0.4
+    docs = documents(spark, [(1, text, "en", "s", 1), (2, "12 -", "en", "s", 1)])
+    assert [r.doc_id for r in language.keep_identified(docs, known).collect()] == [1]
+
+
 def test_nothing_learned(spark):
     empty = language.learn(documents(spark, []).select("doc_id", "text", "lang"))
     assert {r.lang_pred for r in language.predict(documents(spark), empty).collect()} == {"und"}
