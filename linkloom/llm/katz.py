@@ -43,6 +43,8 @@ BUCKET_TOKENS = 2_000_000
 # passes read more and need less room for shuffled data at a time.
 PASSES = 3
 MAX_BUCKETS = 1 << 16
+# Unseen bigrams of a frequent context are dealt to so many buckets.
+SALTS = 16
 # Words are known by 64 bits of hash, as contexts by 48 of them.
 CONTEXT_BITS = np.uint64((1 << 48) - 1)
 END, BEGIN = 1, 2
@@ -209,7 +211,7 @@ def _blocks(
                     b,
                     block,
                     [
-                        np.array([n_train, len(order)], "<i8"),
+                        np.array([n_train], "<i8"),
                         hashes[own].astype("<u8"),
                         runs.astype("<u4"),
                         contexts[mine].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6],
@@ -244,9 +246,24 @@ def _unpack_contexts(data: bytes) -> np.ndarray:
     return wide.view("<u8")[:, 0]
 
 
-def _by_context(kind: str, buckets: int, contexts: np.ndarray, *columns: np.ndarray) -> list[tuple]:
-    """Rows of packed arrays, one for each bucket of contexts."""
-    bucket = (_mixed(np.uint64(7), contexts) % np.uint64(buckets)).astype(np.int64)
+def _context_buckets(buckets: int, hot: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first bucket, number of buckets) of each context: those that are frequent words, and the
+    beginning of texts, have up to SALTS buckets in a row."""
+    first = (_mixed(np.uint64(7), contexts) % np.uint64(buckets)).astype(np.int64)
+    frequent = np.isin(contexts, np.append(hot & CONTEXT_BITS, np.uint64(BEGIN)))
+    return first, np.where(frequent, min(SALTS, buckets), 1)
+
+
+def _by_context(kind: str, buckets: int, hot: np.ndarray, contexts: np.ndarray, *columns: np.ndarray) -> list[tuple]:
+    """Rows of packed arrays, one for each bucket of contexts. What is known of a context goes to all
+    its buckets, its unseen bigrams to one of them by their document (the first of the columns)."""
+    bucket, salts = _context_buckets(buckets, hot, contexts)
+    if kind == "unseen":
+        bucket = (bucket + columns[0] % salts) % buckets
+    else:
+        of = np.repeat(np.arange(len(contexts)), salts)
+        turn = np.arange(len(of)) - np.repeat(np.cumsum(salts) - salts, salts)
+        bucket, contexts, columns = (bucket[of] + turn) % buckets, contexts[of], [c[of] for c in columns]
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
     out = []
@@ -265,18 +282,16 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     if not rows:
         return _table(_packed(out))
     bucket = rows[0]["bucket"]
-    words, contexts, in_docs, docs, counts, learned, blocks, base = [], [], [], [], [], [], [], 0
+    words, contexts, in_docs, docs, counts, learned = [], [], [], [], [], []
     for r in rows:
         sizes, own, runs = _read(r["data"], "<i8", "<u8", "<u4")
         words.append(np.repeat(own, runs))
         contexts.append(_unpack_contexts(r["data"][3]))
         in_docs.append(np.frombuffer(r["data"][4], "<u2"))
         number = np.frombuffer(r["data"][5], "<u2").astype(np.int32)
-        docs.append((number + base).astype(np.int32))
+        docs.append((r["block"] << 16) + number.astype(np.int64))
         learned.append(number < sizes[0])
         counts.append(np.frombuffer(r["data"][6], "<u4").astype(np.int32))
-        blocks.append((r["block"], base, int(sizes[1])))
-        base += int(sizes[1])
     del rows
     words, contexts, in_docs = map(np.concatenate, (words, contexts, in_docs))
     docs, counts, learned = map(np.concatenate, (docs, counts, learned))
@@ -292,23 +307,27 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
         at = np.minimum(np.searchsorted(hot, distinct), len(hot) - 1)
         n_word = np.where(hot[at] == distinct, hot_n[at], n_word)
     p_word = unigrams.probability(n_word)
+    # Only documents with a word in this bucket are numbered, so that it grows with its words alone.
+    present, docs = np.unique(docs, return_inverse=True)
     # Per occurrence: the bigram's part of the score, and the word's as the context of the next.
     seen = n_pair > 0
     as_bigram = np.where(seen, np.log10(np.maximum(n_pair, 1)), np.log10(p_word)[word_of_pair])
     as_context = np.where((n_word > 0) & (distinct != END), -np.log10(n_word + E), 0.0)
-    score = np.bincount(docs, counts * (as_bigram + as_context[word_of_pair])[pair], base)
-    plain = np.bincount(docs, counts * unigrams.base(n_word)[word_of_pair][pair], base)
-    known = np.bincount(docs, counts * (n_word > 0)[word_of_pair][pair], base)
-    discounted = np.stack([np.bincount(docs, counts * (n_pair == r)[pair], base) for r in range(1, DISCOUNTED + 1)], axis=1)
-    for block, start, size in blocks:
-        part = slice(start, start + size)
-        out.append(("sums", bucket, block, [plain[part], score[part].astype("<f4"), known[part].astype("<u4"), discounted[part].astype("<u4")]))
+    n_docs = len(present)
+    score = np.bincount(docs, counts * (as_bigram + as_context[word_of_pair])[pair], n_docs)
+    plain = np.bincount(docs, counts * unigrams.base(n_word)[word_of_pair][pair], n_docs)
+    known = np.bincount(docs, counts * (n_word > 0)[word_of_pair][pair], n_docs)
+    discounted = np.stack([np.bincount(docs, counts * (n_pair == r)[pair], n_docs) for r in range(1, DISCOUNTED + 1)], axis=1)
+    # References are in order, so those of a block are next to each other.
+    blocks, starts = np.unique(present >> 16, return_index=True)
+    for block, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), n_docs]):
+        part = slice(start, end)
+        at = (present[part] & 0xFFFF).astype("<u2")
+        out.append(("sums", bucket, block, [at, plain[part], score[part].astype("<f4"), known[part].astype("<u4"), discounted[part].astype("<u4")]))
     # Unseen bigrams wait for their context's backoff weight.
     late = ~seen[pair]
-    starts = np.array([s for _, s, _ in blocks])
-    block_at = np.searchsorted(starts, docs[late], side="right") - 1
-    reference = (np.array([b for b, _, _ in blocks], np.int64)[block_at] << 16) + docs[late] - starts[block_at]
-    out += _by_context("unseen", buckets, context_of_pair[pair[late]], reference, counts[late].astype("<u4"))
+    reference = present[docs[late]]
+    out += _by_context("unseen", buckets, hot, context_of_pair[pair[late]], reference, counts[late].astype("<u4"))
     # The training bigrams, and what each gives its context.
     have = np.flatnonzero(seen)
     own, runs = np.unique(word_of_pair[have], return_counts=True)
@@ -319,13 +338,13 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     mass = np.bincount(context, p_word[word_of_pair[have]], len(named))
     total = np.bincount(context, n_pair[have], len(named)).astype("<u8")
     low = np.stack([np.bincount(context, n_pair[have] == r, len(named)) for r in range(1, DISCOUNTED + 1)], axis=1).astype("<u4")
-    out += _by_context("contexts", buckets, named, total, low, mass)
+    out += _by_context("contexts", buckets, hot, named, total, low, mass)
     times = np.bincount(np.minimum(n_pair[have], DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
     out.append(("stats", bucket, None, [times.astype("<i8")]))
     return _table(_packed(out))
 
 
-def _back_off(table: pa.Table, factors: np.ndarray) -> pa.Table:
+def _back_off(table: pa.Table, factors: np.ndarray, buckets: int, hot: np.ndarray) -> pa.Table:
     """One bucket of contexts: the backoff weights, and what they add to documents' scores."""
     rows = table.to_pylist()
     columns = [_read(r["data"], "<u8", "<i8", "<u4", "<f8") for r in rows if r["kind"] == "contexts"]
@@ -338,7 +357,9 @@ def _back_off(table: pa.Table, factors: np.ndarray) -> pa.Table:
         freed = sum(np.bincount(at, low[:, r] * (1 - factors[r]) * (r + 1), len(named)) for r in range(DISCOUNTED))
         left = 1.0 - np.bincount(at, mass, len(named))
         weight = (freed + E) / (total + E) / left
-        out.append(("backoff", rows[0]["bucket"], None, [named, weight]))
+        # A context with several buckets is listed in its first.
+        own = _context_buckets(buckets, hot, named)[0] == rows[0]["bucket"]
+        out.append(("backoff", rows[0]["bucket"], None, [named[own], weight[own]]))
         columns = [_read(r["data"], "<u8", "<i8", "<u4") for r in rows if r["kind"] == "unseen"]
         if columns:
             contexts, reference, n = (np.concatenate(c) for c in zip(*columns))
@@ -362,9 +383,11 @@ def _documents(table: pa.Table, factors: np.ndarray, begin: float) -> pa.Table:
     plain, score, known = np.zeros(len(ids)), np.full(len(ids), -begin), np.zeros(len(ids), np.int64)
     for r in sorted((r for r in rows if r["kind"] != "docs"), key=lambda r: (r["kind"], r["bucket"])):
         if r["kind"] == "sums":
-            p, s, k, low = _read(r["data"], "<f8", "<f4", "<u4", "<u4")
-            plain, known = plain + p, known + k
-            score = score + s + low.reshape(-1, DISCOUNTED) @ np.log10(factors)
+            at, p, s, k, low = _read(r["data"], "<u2", "<f8", "<f4", "<u4", "<u4")
+            # A document is in a row once.
+            plain[at] += p
+            known[at] += k
+            score[at] += s + low.reshape(-1, DISCOUNTED) @ np.log10(factors)
         else:
             at, more = _read(r["data"], "<u2", "<f8")
             score[at] += more
@@ -414,7 +437,7 @@ def score(docs: DataFrame) -> tuple[DataFrame, int]:
         stats += np.frombuffer(r.data[0], "<i8")
     factors = np.array(discounts(stats.tolist()))
     backed = counted.filter("kind in ('contexts', 'unseen')").groupBy("bucket")
-    backed = materialize(backed.applyInArrow(lambda t: _back_off(t, factors), PACKED), "katz-backoff", partition_by="kind")
+    backed = materialize(backed.applyInArrow(lambda t: _back_off(t, factors, buckets, hot), PACKED), "katz-backoff", partition_by="kind")
     release_shuffles(docs.sparkSession)
     begin = math.log10(n_docs + E) if n_docs else 0.0
     parts = counted.filter("kind in ('docs', 'sums')").unionByName(backed.filter("kind = 'late'"))

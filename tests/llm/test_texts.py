@@ -299,6 +299,39 @@ def test_katz(spark, monkeypatch, small):
     assert len(got) == len(want)
 
 
+def test_bucket_grows_with_its_words():
+    # A bucket lists the documents with a word in it, not all of the blocks that it hears of.
+    def bigrams(block, doc):
+        arrays = [np.array([1], "<i8"), np.array([9], "<u8"), np.array([1], "<u4"), np.array([5], "<u8").view(np.uint8)[:6]]
+        arrays += [np.array([1], "<u2"), np.array([doc], "<u2"), np.array([1], "<u4")]
+        return ("bigrams", 0, block, arrays)
+
+    table = katz._table(katz._packed([bigrams(block, 60_000) for block in range(50)]))
+    none = np.empty(0, np.uint64)
+    out = katz._count(table, 8, katz.Unigrams(10, 5, [1] * 6), none, none.astype(np.int64)).to_pylist()
+    sums = [r for r in out if r["kind"] == "sums"]
+    assert len(sums) == 50 and sum(len(d) for r in sums for d in r["data"]) < 50 * 100
+
+
+def test_katz_with_frequent_contexts(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"the w{rng.randrange(60)}" for _ in range(40)), "en", "s", 1) for i in range(60)]
+    rows += [(100 + i, f"the x{i} the w{i}", "en", "s", 1) for i in range(30)]
+    train = [r[0] < 60 for r in rows]
+    scored, total = katz.score(documents(spark, rows).withColumn("train", F.col("doc_id") < 60))
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.score) for r in scored.collect()}
+    want, n = katz_of(rows, train)
+    assert total == n and sum(t.split().count("the") for _, t, *_ in rows[:60]) > 1000
+    for doc_id, n_tokens, n_known, _, score in want:
+        assert got[doc_id] == (n_tokens, n_known, pytest.approx(score, abs=0.02))
+    # Unseen bigrams of one frequent context are spread, and each finds what is known of it.
+    hot, reference = katz.word_hashes([b"the"]), np.arange(6400)
+    the = np.repeat(hot & katz.CONTEXT_BITS, 6400)
+    sent = katz._by_context("unseen", 100, hot, the, reference, np.ones(6400, "<u4"))
+    known = katz._by_context("contexts", 100, hot, the[:1], np.ones(1, "<u8"))
+    assert len(sent) == katz.SALTS and {r[1] for r in sent} == {r[1] for r in known}
+
+
 def test_katz_without_training(spark):
     scored, total = katz.score(documents(spark).withColumn("train", F.lit(False)))
     assert total == 0 and scored.count() == len(odd_documents())
