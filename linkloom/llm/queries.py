@@ -63,7 +63,7 @@ def katz_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top_k(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = topk.whole_components(_table(spark, folder, "embeddings"))
+    vectors = topk.whole_components(_table(spark, folder, "embeddings"), refuse=True)
     return topk.top_products(vectors, F.pmod("vec_id", F.lit(100)) == 0)
 
 

@@ -26,22 +26,31 @@ PIVOTS = 32
 BLOCK_QUERIES = 4096
 # Rows that a task compares with the queries at a time.
 CHUNK = 4096
-# Components beyond this take no part: inner products must fit a bigint.
-LARGEST = 1 << 24
+# Scaled components from here on do not fit a bigint.
+LARGEST = 1 << 63
+# Inner products below this are sure to fit a bigint; the others are formed as Python's integers.
+SURE = float(1 << 62)
 TABLE_SCHEMA = "vec_id bigint, components array<bigint>, distances array<double>"
 
 
-def whole_components(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
+def whole_components(vectors: DataFrame, scale: int = SCALE, refuse: bool = False) -> DataFrame:
     """(vec_id, embedding) to (vec_id, components): floor(scale * x) of each component.
 
-    Vectors that are null or hold a null, a non-finite or too large component take no part, nor
-    do rows without id.
+    Vectors that are null or hold a null or non-finite component take no part, nor do rows without
+    id. A finite component that does not fit a bigint when scaled is an error with `refuse`, as in
+    the SQL; without, its vector takes no part.
     """
     scaled = F.transform(F.col("embedding").cast("array<double>"), lambda x: x * F.lit(float(scale)))
-    fits = F.forall("_scaled", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < LARGEST), F.lit(False)))
+    given = F.col("embedding").cast("array<double>")
+    finite = F.forall(given, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < math.inf), F.lit(False)))
+    fits = F.forall("_scaled", lambda x: F.abs(x) < float(LARGEST))
+    if refuse:
+        error = F.concat(F.lit("a component does not fit a bigint: vec_id "), F.col("vec_id").cast("string"))
+        fits = F.when(fits, True).otherwise(F.raise_error(error).cast("boolean"))
+    valid = F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))
     return (
-        vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), scaled.alias("_scaled"))
-        .filter(F.col("vec_id").isNotNull() & F.col("_scaled").isNotNull() & F.coalesce(fits, F.lit(False)))
+        vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding", scaled.alias("_scaled"))
+        .filter(F.when(valid, fits).otherwise(False))
         .select("vec_id", F.transform("_scaled", lambda x: F.floor(x).cast("bigint")).alias("components"))
     )
 
@@ -91,6 +100,24 @@ def pivot_table(vectors: DataFrame, pivots: int = PIVOTS) -> tuple[DataFrame, np
     return materialize(written.mapInArrow(measure, TABLE_SCHEMA), "pivot-table"), table
 
 
+def _products(rows: np.ndarray, query: np.ndarray, sure: bool) -> np.ndarray:
+    """Exact inner products: as 64-bit integers if they are sure to fit, else as Python's."""
+    return rows @ query if sure else rows.astype(object) @ query.astype(object)
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, top: int) -> np.ndarray:
+    """Places of the `top` largest scores, ties to smaller ids."""
+    if scores.dtype != object:
+        return np.lexsort((ids, -scores))[:top]
+    return np.array(sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:top], np.int64)
+
+
+def _longs(scores: np.ndarray) -> pa.Array:
+    if any(not -(1 << 63) <= s < 1 << 63 for s in scores.tolist()):
+        raise OverflowError("an inner product among the best does not fit a bigint")
+    return pa.array(scores.astype(np.int64))
+
+
 def best_of(
     queries: np.ndarray,
     own: np.ndarray,
@@ -107,27 +134,37 @@ def best_of(
     cannot enter; what equals it may, by its id.
     """
     lengths = (rows.astype(np.float64) ** 2).sum(axis=1)
+    longest = math.sqrt(lengths.max()) if len(rows) else 0.0
+    # What rounding can be to a sum of squares, in proportion.
+    unit = 4 * (rows.shape[1] + 8) * float(np.finfo(np.float64).eps)
     for q in range(len(queries)):
         gap = np.abs(from_pivots - to_pivots[q]).max(axis=1) if from_pivots.shape[1] else np.zeros(len(rows))
         query = queries[q].astype(np.float64)
         # Room for rounding in the distances keeps the bound a bound.
         gap = np.maximum(gap * (1 - 1e-9) - 1e-3, 0.0)
-        bound = (float(query @ query) + lengths - gap**2) / 2 * (1 + 1e-12) + 1.0
+        own_length = float(query @ query)
+        if own_length + float(to_pivots[q].max(initial=0.0)) ** 2 + longest**2 >= 2.0**50:
+            # Squares beyond 2**53 are rounded; distances, as roots of their differences, by more.
+            pivot = 2 * (math.sqrt(own_length) + float(to_pivots[q].max(initial=0.0)))
+            gap = np.maximum(gap - 2 * math.sqrt(unit) * (np.sqrt(lengths) + math.sqrt(own_length) + 2 * pivot), 0.0)
+        bound = (own_length + lengths - gap**2) / 2 + (1e-12 + unit) * (own_length + lengths) + 1.0
+        sure = longest * math.sqrt(own_length) < SURE
         left = np.flatnonzero((bound >= floor[q]) & (ids != own[q]))
         if not len(left):
             continue
         order = left[np.argsort(-bound[left], kind="stable")]
-        scores, seen, step = np.empty(0, np.int64), 0, 4 * top
+        scores, seen, step = np.empty(0, np.int64 if sure else object), 0, 4 * top
         while seen < len(order) and bound[order[seen]] >= floor[q]:
             some = order[seen : seen + step]
-            scores = np.concatenate((scores, rows[some] @ queries[q]))
+            scores = np.concatenate((scores, _products(rows[some], queries[q], sure)))
             seen, step = seen + len(some), step * 2
             if len(scores) >= top:
-                floor[q] = max(floor[q], np.partition(scores, len(scores) - top)[len(scores) - top])
+                # As floats, scores keep their order or become equal.
+                floor[q] = max(floor[q], np.partition(scores.astype(np.float64), len(scores) - top)[len(scores) - top])
         some = order[:seen]
-        keep = scores >= floor[q]
+        keep = scores.astype(np.float64) >= floor[q]
         some, scores = some[keep], scores[keep]
-        first = np.lexsort((ids[some], -scores))[:top]
+        first = _best(ids[some], scores, top)
         yield q, ids[some][first], scores[first], seen
 
 
@@ -138,6 +175,7 @@ def top_products(vectors: DataFrame, is_query, top: int = TOP, pivots: int = PIV
     Vectors of different length are filled up with zeros. Repeated ids are rows of their own but
     none is a candidate of a query of the same id; repeated queries of equal id are asked once,
     with the least of their vectors. No vector is left out: elimination is by proven bounds only.
+    A product among the best that does not fit a bigint is an error.
 
     A pass broadcasts at most BLOCK_QUERIES queries, and its tasks read their own part of the
     pivot table and give at most `top` rows per query and task.
@@ -168,13 +206,13 @@ def top_products(vectors: DataFrame, is_query, top: int = TOP, pivots: int = PIV
                     for q, some, scores, _ in best_of(queries, own, to_pivots, ids, rows, distances, top, floor):
                         if q in best:
                             some, scores = np.append(best[q][0], some), np.append(best[q][1], scores)
-                        first = np.lexsort((some, -scores))[:top]
+                        first = _best(some, scores, top)
                         best[q] = some[first], scores[first]
                         if len(first) == top:
-                            floor[q] = max(floor[q], best[q][1][-1])
+                            floor[q] = max(floor[q], float(best[q][1][-1]))
             for q, (some, scores) in best.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), own[q])), pa.array(some), pa.array(scores)], ["query_id", "vec_id", "score"]
+                    [pa.array(np.full(len(some), own[q])), pa.array(some), _longs(scores)], ["query_id", "vec_id", "score"]
                 )
 
         part = table.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")

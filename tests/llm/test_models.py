@@ -238,6 +238,33 @@ def test_top_products(spark, monkeypatch, block):
     assert got == sorted(want, key=repr)
 
 
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(5)
+    # Near each other and far away: lengths whose squares are rounded, products around 2**62.
+    far = rng.normal(0, 1, 6) * 2.0**19
+    rows = [(i, [float(x) for x in far + rng.normal(0, 2.0 ** (i % 12), 6)]) for i in range(300)]
+    rows += [(1000 + i, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(50)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = collected(topk.top_products(topk.whole_components(df, refuse=True), F.pmod("vec_id", F.lit(100)) == 0))
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    assert max(abs(x) for v in whole.values() for x in v) > 1 << 24
+    want = []
+    for q in (i for i in whole if i % 100 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:10]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert got == sorted(want, key=repr)
+    # Python's integers, where a product passes 64 bits but is not among the best.
+    vectors = np.array([[1 << 40], [-(1 << 40)], [3], [5]], np.int64)
+    floor = np.full(1, -math.inf)
+    ((_, ids, scores, _),) = topk.best_of(vectors[:1], np.array([0]), np.empty((1, 0)), np.arange(4), vectors, np.empty((4, 0)), 2, floor)
+    assert ids.tolist() == [3, 2] and scores.tolist() == [5 << 40, 3 << 40]
+    odd = spark.createDataFrame([(1, [math.nan]), (2, [math.inf]), (3, [None]), (4, None), (None, [1e30])], "vec_id bigint, embedding array<double>")
+    assert topk.whole_components(odd, refuse=True).count() == 0
+    large = spark.createDataFrame([(1, [1e30])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit"):
+        topk.whole_components(large, refuse=True).collect()
+
+
 def test_top_products_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert topk.top_products(topk.whole_components(df), F.col("vec_id") == 0).count() == 0
