@@ -40,10 +40,10 @@ class Phrases:
     """Distinct phrases of some benchmark items, as term numbers."""
 
     terms: dict[bytes, int] = field(default_factory=dict)
-    phrases: dict[tuple[int, ...], list[str]] = field(default_factory=lambda: defaultdict(list))
+    phrases: dict[tuple[int, ...], list[str | None]] = field(default_factory=lambda: defaultdict(list))
 
     @classmethod
-    def of(cls, items: Iterable[tuple[str, list[bytes]]], window: int) -> Phrases:
+    def of(cls, items: Iterable[tuple[str | None, list[bytes]]], window: int) -> Phrases:
         """Every `window` consecutive words of an item; all of a shorter one. No words: none."""
         found = cls()
         for name, words in items:
@@ -177,7 +177,7 @@ def _merged(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _search(
-    batches: Iterator[pa.RecordBatch], plan: list[tuple[tuple[int, ...], list[int], list[str]]], slop: int
+    batches: Iterator[pa.RecordBatch], plan: list[tuple[tuple[int, ...], list[int], list[str | None]]], slop: int
 ) -> Iterator[pa.RecordBatch]:
     schema = _arrow_hits()
     for batch in batches:
@@ -206,7 +206,7 @@ def _search(
                         (a - low, b - low)
                         for a, b in _merged(np.maximum(begin[mine], low), np.minimum(end[mine], high))
                     ]
-                    items[d] = {i for p in np.unique(owner[mine]).tolist() for i in plan[p][2]}
+                    items[d] = {i for p in np.unique(owner[mine]).tolist() for i in plan[p][2] if i is not None}
             hits = [
                 {
                     "shard": row["shard"],
@@ -245,7 +245,7 @@ def _covered(spans: Column) -> Column:
     )
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0, unnamed: bool = False) -> DataFrame:
     """(doc_id, n_words, n_hit, item_ids, spans): what each document holds of the benchmark.
 
     A phrase is `window` consecutive words of an item, or a shorter item as a whole. `n_hit`
@@ -253,21 +253,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop
     their word numbers, `item_ids` the matching items as strings in order. One row per row of
     `docs`: repeated rows and null ids are kept, a null or empty text has no words. Items without
     words match nothing, and equal items all match; an empty benchmark leaves every document
-    clean. Columns other than ids and texts are not looked at.
+    clean. Columns other than ids and texts are not looked at. With `unnamed`, items with a null id
+    are searched like others: their words are hit, but they are not in `item_ids`.
 
     Benchmark items go to the tasks as a broadcast of at most `PASS_WORDS` words. A larger
     benchmark is searched in several passes over disjoint sets of items, and the spans of a
     document are united.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull()
+        F.col("text").isNotNull() & (F.lit(unnamed) | F.col("item_id").isNotNull())
     )
     longest = items.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = longest // PASS_WORDS + 1
     found = []
     for number in range(passes):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == number)
-        rows = sorted(map(tuple, part.collect()))
+        rows = sorted(map(tuple, part.collect()), key=lambda r: (r[0] is None, r[0] or "", r[1]))
         phrases = Phrases.of([(name, plain_words(text)) for name, text in rows], window)
         index = build_index(docs, phrases, window, slop)
         counts = {r.term: r.n for r in term_counts(index).collect()}
@@ -302,11 +303,11 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     """The rows of `docs` whose text holds no phrase of the benchmark, all columns kept.
 
     Rows go by the hash of their text beside the id, so that of several rows with one id only
-    those with a leak go. What is looked up are the leaking rows alone.
+    those with a leak go. Items with a null id count. What is looked up are the leaking rows alone.
     """
     keyed = docs.withColumn("__leak_key", F.xxhash64("text"))
     # The index keeps one number per document; here that is the text's hash.
     hashed = keyed.select(F.col("__leak_key").alias("doc_id"), "text")
-    found = find_leaks(hashed, benchmark, window).filter("n_hit > 0").select("doc_id").distinct()
+    found = find_leaks(hashed, benchmark, window, unnamed=True).filter("n_hit > 0").select("doc_id").distinct()
     leaking = materialize(found.select(F.col("doc_id").alias("__leak")), "leaking")
     return keyed.join(leaking, F.col("__leak_key") == F.col("__leak"), "left_anti").select(*docs.columns)

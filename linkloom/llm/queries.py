@@ -68,7 +68,7 @@ def top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), unnamed=True)
     return found.select(
         "doc_id",
         "n_words",

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linkloom.llm import common, decontaminate, katz, mixing, simhash, token_files
+from linkloom.llm import common, decontaminate, katz, mixing, queries, simhash, token_files
 from linkloom.llm.queries import tokenizer_path
 from tests.llm.cases import DOC_SCHEMA, collected, documents, odd_documents
 
@@ -154,6 +154,23 @@ def test_leaks(spark, monkeypatch, passes):
     assert collected(found.select("doc_id", "n_words", "n_hit", "item_ids")) == leaks_of(rows, ITEMS)
 
 
+def test_items_without_id(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(decontaminate, "PASS_WORDS", 60)
+    rows = odd_documents()
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    named = [(-1 if i is None else i, t) for i, t in ITEMS]
+    want = [(d, n, hit, [i for i in items if i != "-1"]) for d, n, hit, items in leaks_of(rows, named)]
+    found = decontaminate.find_leaks(documents(spark, rows), bench, unnamed=True)
+    assert collected(found.select("doc_id", "n_words", "n_hit", "item_ids")) == sorted(want, key=repr)
+    assert (None, 4, 4, []) in want
+    alone = bench.filter("item_id is null")
+    assert decontaminate.drop_leaks(documents(spark, rows), alone).count() == len(rows) - 1
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    alone.write.parquet(f"{tmp_path}/benchmark.parquet")
+    hits = [tuple(r) for r in queries.leaks(spark, str(tmp_path)).filter("contaminated").select("doc_id", "n_hit", "n_items").collect()]
+    assert hits == [(None, 4, 0)]
+
+
 def test_spans_and_proximity(spark):
     docs = documents(spark, [(1, "a b c x d e f", "en", "s", 1), (2, "a b c d e f", "en", "s", 1), (3, "a b c x x x d", "en", "s", 1)])
     bench = spark.createDataFrame([(1, "b c d e")], "item_id bigint, text string")
