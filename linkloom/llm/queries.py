@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import decontaminate, extract, katz, language, mixing, simhash, token_files, topk, toxicity, url_rules
+from linkloom.llm import (
+    decontaminate,
+    extract,
+    katz,
+    language,
+    mixing,
+    periods,
+    simhash,
+    sketches,
+    spelling,
+    token_files,
+    topk,
+    toxicity,
+    url_rules,
+)
 from linkloom.llm.common import fold
 
 # The rules of the URL query.
@@ -110,6 +124,39 @@ def main_texts(spark: SparkSession, folder: str) -> DataFrame:
     return extract.extract(_table(spark, folder, "pages")).withColumn("n_chars", extract.n_chars())
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.edited_words(_table(spark, folder, "documents"))
+    return spelling.variants(words.filter((F.char_length("word") >= 7) & (F.col("n") >= 2)))
+
+
+def word_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = periods.periodic_runs(_table(spark, folder, "documents"), seeded=True)
+    best = periods.strongest()
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periods.listed(), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = sketches.versions(_table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxic,
     "op2_mixing": mix_plan,
@@ -121,4 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": near_duplicates,
     "op9_language": languages,
     "op10_main_text": main_texts,
+    "op11_spelling": spelling_variants,
+    "op12_periods": word_periods,
+    "op13_fingerprints": document_fingerprints,
 }
