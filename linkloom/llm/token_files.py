@@ -41,7 +41,8 @@ SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32 * 1024
 LEVEL = 3
 SHARD_BYTES = 8 * 1024 * 1024
-MEMO_ATOMS = 1_000_000
+# Atoms that are kept, in bytes of theirs and of their ids.
+MEMO_BYTES = 32 * 1024 * 1024
 # A blank in a run of white space, or one at the end of a text after white space. White space is
 # all that some version of Unicode or Python counts as such.
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -58,8 +59,8 @@ _SHAPE = rf"\A(?P<word> (?:{_LETTERS}|[0-9]+))(?P<mark>{_MARKS})?(?P<line>\n)?(?
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHER = [b for b in range(256) if b not in _PLAIN]
 _BYTE_LETTERS = "".join(chr(256 + _OTHER.index(b) if b in _OTHER else b) for b in range(256))
-# Texts that are encoded together.
-BATCH_DOCS = 2048
+# Texts that are encoded together, in bytes; a longer text is encoded on its own.
+BATCH_BYTES = 4 * 1024 * 1024
 
 SHARD_SCHEMA = (
     "part int, shard int, dict_hash string, start bigint, doc_ids array<bigint>, "
@@ -143,7 +144,7 @@ class Encoder:
             texts = pa.array(texts, pa.large_string())
         if not len(texts):
             return []
-        if len(self.atoms) > MEMO_ATOMS:
+        if self.atoms.nbytes + self.ids.nbytes > MEMO_BYTES:
             self._forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = self._whole(texts)
@@ -172,6 +173,7 @@ def worker_encoder(path: str) -> Encoder:
 def release_encoders() -> None:
     """Give back the memory of this worker's encoders; the next one who needs them loads them."""
     sys.modules.pop("_worker_encoders", None)
+    pa.default_memory_pool().release_unused()
 
 
 def _sample(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -202,13 +204,25 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about BATCH_BYTES of text, of one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
+    ends, at = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = max(int(np.searchsorted(ends, before + BATCH_BYTES, "right")), at + 1)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end_id: int) -> Iterator[pa.RecordBatch]:
+    # Arrow keeps what it has freed; what other work has left in this worker is given back first.
+    pa.default_memory_pool().release_unused()
     enc = worker_encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
     for whole in batches:
-        for at in range(0, whole.num_rows, BATCH_DOCS):
-            batch = whole.slice(at, BATCH_DOCS)
+        for batch in _slices(whole):
             counts, frames = [], []
             for ids in enc.encode(batch.column(batch.schema.get_field_index("text"))):
                 counts.append((len(ids) + len(end)) // enc.width)
@@ -218,6 +232,7 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end
                 [ids.cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(frames, pa.binary())],
                 ["doc_id", "n_tokens", "frame"],
             )
+    pa.default_memory_pool().release_unused()
 
 
 def _pack(batches: Iterator[pa.RecordBatch], dict_hash: str) -> Iterator[pa.RecordBatch]:
