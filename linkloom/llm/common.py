@@ -36,6 +36,13 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def row_key(df: DataFrame) -> Column:
+    """A hash of all columns, which tells rows of one id apart. Maps, which have no hash, are left out."""
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    # A hash skips nulls; the flags tell in which columns they are.
+    return F.xxhash64(*[c for n in hashed for c in (F.col(f"`{n}`").isNull(), F.col(f"`{n}`"))])
+
+
 def running_total(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, name: str, kind: str
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import running_total
+from linkloom.llm.common import row_key, running_total
 from linkloom.operators.materialize import materialize
 from linkloom.operators.skew import lookup_join
 
@@ -94,17 +94,18 @@ def plan_mix(
     share: float = 1.5,
     cap: float = 2.0,
     seed: int = 42,
+    text_key: Column | None = None,
 ) -> DataFrame:
     """(doc_id, source, text) to (doc_id, source, size, source_size, target, copies, text_key).
 
     One row per input row, repeated rows included. Only ids, sizes and a hash of the text are
-    moved, never texts; `text_key` tells rows of the same id apart. A null or empty text has
+    moved, never texts; `text_key`, a hash of the text if it is not given, tells rows of the same
+    id apart. A null or empty text has
     size 0 and may be taken, which adds no words; a source without any words has target 0, and
     nothing of it is taken. A null source is a source of its own; a null id is an id.
     """
-    sized = materialize(
-        docs.select("doc_id", "source", word_count().alias("size"), F.xxhash64("text").alias("text_key")), "sizes"
-    )
+    text_key = F.xxhash64("text") if text_key is None else text_key
+    sized = materialize(docs.select("doc_id", "source", word_count().alias("size"), text_key.alias("text_key")), "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     targets = source_targets(materialize(sources, "sources"), weights, share, cap)
     # A join needs a key that is never null.
@@ -122,20 +123,18 @@ def plan_mix(
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each input row as often as it is taken, all columns kept.
 
-    Rows equal in id, source and text are numbered and dealt their copies one by one.
+    Rows are known by their id and a hash of all columns. Rows that share both are copies of each
+    other, and one of them is repeated as often as all of them are taken.
     """
-    plan = plan_mix(docs, **options).filter("copies > 0").groupBy("doc_id", "source", "text_key").agg(
+    key = row_key(docs)
+    plan = plan_mix(docs, text_key=key, **options).groupBy("doc_id", "text_key").agg(
         F.sum("copies").alias("__mix_copies"), F.count("*").alias("__mix_rows")
     )
-    keyed = docs.withColumn("__mix_key", F.xxhash64("text"))
-    same = (
-        keyed["doc_id"].eqNullSafe(plan["doc_id"])
-        & keyed["source"].eqNullSafe(plan["source"])
-        & keyed["__mix_key"].eqNullSafe(plan["text_key"])
-    )
-    joined = keyed.join(plan, same).select(*[keyed[c] for c in docs.columns], "__mix_copies", "__mix_rows")
-    # Equal rows: whichever of them is taken, the outcome is the same, so the first one stands for all.
-    single = joined.filter("__mix_rows = 1").drop("__mix_rows")
-    repeated = joined.filter("__mix_rows > 1").drop("__mix_rows").dropDuplicates(["doc_id", "source", "text"])
+    plan = plan.filter("__mix_copies > 0")
+    keyed = docs.withColumn("__mix_key", key)
+    same = keyed["doc_id"].eqNullSafe(plan["doc_id"]) & (keyed["__mix_key"] == plan["text_key"])
+    joined = keyed.join(plan, same).select(*[keyed[c] for c in docs.columns], "__mix_key", "__mix_copies", "__mix_rows")
+    single = joined.filter("__mix_rows = 1")
+    repeated = joined.filter("__mix_rows > 1").dropDuplicates(["doc_id", "__mix_key"])
     taken = single.unionByName(repeated)
     return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__mix_copies"))).alias("__mix_copy")).drop("__mix_copy")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import blank_words, column
+from linkloom.llm.common import blank_words, column, row_key
 from linkloom.operators.materialize import materialize
 from linkloom.operators.skew import lookup_join
 
@@ -229,10 +229,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     Rows are known by their id and that hash, so rows of one id and unlike texts are apart, and rows
     that share both are copies, of which one stays.
     """
-    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    # A hash skips nulls; the flags tell in which columns they are.
-    row_key = F.xxhash64(*[c for n in hashed for c in (F.col(n).isNull(), F.col(n))])
-    keyed = docs.withColumn("__row_key", row_key)
+    keyed = docs.withColumn("__row_key", row_key(docs))
     found = materialize(fingerprints(keyed, shingle, ("__row_key",)), "fingerprints")
     rooted = _rooted(found, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row_key")).alias("first"))
     first = rooted.groupBy("root").agg(F.min("first").alias("first"))

@@ -102,6 +102,23 @@ def test_mix_repeats_rows(spark):
     assert got == want
 
 
+def test_mix_keeps_the_columns_of_its_rows(spark):
+    """Rows equal in id, source and text keep their own other columns; equal rows are dealt copies together."""
+    rows = [(1, "a b c", lang, "s", 5) for lang in ("de", "en", "fr")] + [(2, "d e f g", "en", "s", 7)] * 4
+    rows += [(i, "x " * (i % 7 + 1), "en", "t", 1) for i in range(10, 40)]
+    for share in (0.4, 0.9, 1.5):
+        docs = documents(spark, rows)
+        planned = mixing.plan_mix(docs, text_key=common.row_key(docs), share=share)
+        want = Counter()
+        for r in planned.collect():
+            want[r.doc_id] += r.copies
+        mixed = [tuple(r) for r in mixing.mix(docs, share=share).collect()]
+        assert Counter(r[0] for r in mixed) == Counter({d: n for d, n in want.items() if n})
+        assert set(mixed) <= set(rows)
+        langs = Counter(r[2] for r in mixed if r[0] == 1)
+        assert all(abs(a - b) <= 1 for a in langs.values() for b in langs.values())
+
+
 def test_mix_of_nothing(spark):
     assert mixing.plan_mix(documents(spark, EMPTY)).count() == 0
     assert mixing.mix(documents(spark, EMPTY)).count() == 0
