@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from linkloom.operators.materialize import materialize
 
+# Texts that are handed to Python at a time.
+TEXT_ROWS = 500
+
 # Everything below 0x80 that is not a letter or a digit becomes a blank, capitals become small.
 _WORD_TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -72,6 +75,17 @@ def running_total(
     )
 
 
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    """From now on Spark hands at most so many rows at a time to Python in this session.
+
+    Its default of 10,000 rows is meant for numbers. Of whole texts, that is a copy of a task's
+    whole input in the executor's own memory and another one in the Python worker's.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of jobs that are done and whose results are written.
 

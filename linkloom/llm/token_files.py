@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from linkloom.llm.common import column
+from linkloom.llm.common import column, text_batches
 from linkloom.operators.materialize import materialize
 
 END_ID = 0
@@ -204,6 +204,19 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches put together up to BATCH_BYTES, so that a new word is met fewer times."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about BATCH_BYTES of text, of one row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
@@ -221,7 +234,7 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, dictionary: bytes, end
     enc = worker_encoder(path)
     end = end_id.to_bytes(enc.width, "little")
     compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary)).compress
-    for whole in batches:
+    for whole in _joined(batches):
         for batch in _slices(whole):
             counts, frames = [], []
             for ids in enc.encode(batch.column(batch.schema.get_field_index("text"))):
@@ -275,8 +288,9 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> tuple
     their frames. Frames are written once before they are sorted, so a lost executor costs no
     second encoding, and what is shuffled is compressed. No columns but doc_id and text are read.
     """
-    dict_hash, dictionary = train_dictionary(docs, path, end_id)
     spark = docs.sparkSession
+    text_batches(spark)
+    dict_hash, dictionary = train_dictionary(docs, path, end_id)
     width = Encoder(path).width
     table = materialize(
         spark.createDataFrame([(dict_hash, width, bytearray(dictionary))], "dict_hash string, width int, dictionary binary"),
