@@ -11,24 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import decontaminate, language, mixing, simhash, token_files
-from linkloom.llm.common import fold
+from linkloom.llm.common import fold, text_batches
 from linkloom.llm.queries import tokenizer_path
 from linkloom.operators.materialize import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: those without a letter."""
+    text_batches(spark)
     model = language.learn(language.training_fold(docs, fold("doc_id")))
     return language.keep_identified(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group, that with the least id."""
+    text_batches(spark)
     return simhash.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten consecutive words of a benchmark item, or a shorter item."""
+    text_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.drop_leaks(docs, benchmark)
 
