@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkloom.functions.stopwords import STOPWORDS
 from linkloom.functions.text import tokens
 from linkloom.operators.materialize import materialize
 from linkloom.operators.skew import block_join, lookup_join
@@ -132,6 +133,30 @@ def record_lines(spark: SparkSession, folder: str) -> DataFrame:
     return header.unionByName(parts.select(value.alias("value")))
 
 
+def csv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """`record_lines`, and lines with too few or too many fields for parts of some sizes."""
+    parts = spark.read.parquet(f"{folder}/part.parquet")
+    key, name = F.col("p_partkey").cast("string"), F.col("p_name")
+    broken = F.when(F.col("p_size") <= 2, F.format_string('"%s","%s"', key, name)).when(
+        F.col("p_size") <= 4, F.format_string('"%s","%s",,,1,2', key, name)
+    )
+    return record_lines(spark, folder).unionByName(parts.select(broken.alias("value")).filter("value is not null"))
+
+
+def stopword_lines(spark: SparkSession) -> DataFrame:
+    """The stopwords as the lines of a file."""
+    return spark.createDataFrame([(w,) for w in STOPWORDS], "value string")
+
+
+def thresholds(gold_sims: DataFrame) -> DataFrame:
+    """Thresholds on and off the grid: every similarity of a gold pair, and what lies beside it."""
+    spark = gold_sims.sparkSession
+    met = gold_sims.filter("sim > 0").select(F.col("sim").alias("threshold"))
+    beside = met.select(F.explode(F.array(F.col("threshold") / 7, (F.col("threshold") + 6) / 7)).alias("threshold"))
+    sevenths = spark.range(1, 8).select((F.col("id") / F.lit(7.0)).alias("threshold"))
+    return met.unionByName(beside).unionByName(sevenths).distinct()
+
+
 def gold_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The gold pairs of the feeds as mapping lines, a header, and broken lines for some."""
     pairs = feed_gold(spark, folder)

@@ -35,6 +35,16 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_lines(lines: DataFrame, name: str) -> str:
+    """Write a table of one string column as text files under the shared folder, one line a row; their path.
+
+    A value must not hold a line feed, which would make two lines of it.
+    """
+    path = f"{shared_folder(lines.sparkSession)}/{_current[-1]}/{name}-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return path
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[str]:
     """Delete, at the end, all tables that were written inside.

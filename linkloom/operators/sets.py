@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.sets import apply_hash, equal_positions, jaccard_bag, jaccard_set, merged_bags
+from linkloom.functions.sets import apply_hash, equal_positions, jaccard_bag, jaccard_set, merged_bags, token_number
 from linkloom.functions.stopwords import STOPWORDS
 from linkloom.functions.text import kept_tokens, with_bag
 from linkloom.operators.skew import lookup_join
@@ -101,6 +101,50 @@ def text_pair_jaccard(pairs: DataFrame, stopwords: Sequence[str] = STOPWORDS) ->
     )
 
 
+def text_pair_minhash(pairs: DataFrame, hashes: Hashes, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
+    """(pair_id, jaccard, n_equal, estimate, error): the MinHash estimate beside what it estimates.
+
+    Each distinct token of a pair is one row, which says in which of the texts it is. One aggregate
+    then gives both signatures and the exact overlap, so nothing but minima is shuffled. A pair
+    with a text without tokens has no estimate, as that text has no signature.
+    """
+    rows = (
+        bagged_pairs(pairs, stopwords)
+        .select("pair_id", F.explode_outer(merged_bags("bag_l", "bag_r")).alias("token", "n"))
+        .select(
+            "pair_id",
+            token_number("token").alias("element"),
+            (F.col("n.l") > 0).alias("in_l"),
+            (F.col("n.r") > 0).alias("in_r"),
+        )
+    )
+
+    def minima(side: str) -> list:
+        return [
+            F.min(F.when(F.col(f"in_{side}"), apply_hash(F.col("element"), m, b, p))).alias(f"{side}{i}")
+            for i, m, b, p in hashes
+        ]
+
+    sums = rows.groupBy("pair_id").agg(
+        F.count_if(F.col("in_l") & F.col("in_r")).alias("common"), F.count("element").alias("either"), *minima("l"), *minima("r")
+    )
+    signed = sums.select(
+        "pair_id",
+        F.try_divide(F.col("common").cast("double"), F.col("either").cast("double")).alias("jaccard"),
+        *[F.array(*[F.col(f"{s}{i}") for i, *_ in hashes]).alias(f"{s}_signature") for s in ("l", "r")],
+    )
+    signed = signed.withColumn("_both", F.get("l_signature", 0).isNotNull() & F.get("r_signature", 0).isNotNull())
+    compared = compare_signatures(signed)
+    estimate = F.when(F.col("_both"), F.col("estimate"))
+    return compared.select(
+        "pair_id",
+        "jaccard",
+        F.when(F.col("_both"), F.col("n_equal")).alias("n_equal"),
+        estimate.alias("estimate"),
+        F.abs(estimate - F.col("jaccard")).alias("error"),
+    )
+
+
 def text_pair_cosine(pairs: DataFrame, idf: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """Cosine similarity of the two texts of each row, weighed by a given IDF table.
 

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.stopwords import STOPWORDS
 from linkloom.functions.text import kept_tokens, with_bag
+from linkloom.operators.materialize import materialize
+from linkloom.operators.skew import lookup_join
+
+# A word takes some tens of bytes, so a broadcast of so many stays below some megabytes.
+BROADCAST_STOPWORDS = 100_000
 
 
 def records(df: DataFrame, src: str, id_col: str, text_col: str = "text") -> DataFrame:
@@ -40,9 +45,21 @@ def token_rows(tokenized: DataFrame) -> DataFrame:
     )
 
 
-def drop_stopword_rows(rows: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """The same filter for a stopword list that is itself a table."""
-    return rows.join(stopwords, "token", "left_anti")
+def drop_stopword_rows(rows: DataFrame, stopwords: DataFrame, spread_by: str = "id", limit: int = BROADCAST_STOPWORDS) -> DataFrame:
+    """The rows whose `token` is not in the table `stopwords`: the list form's filter for a list of any length.
+
+    A table of at most `limit` words is broadcast. A longer one is joined by token; the words with
+    the most rows, at most HOT_KEYS, are looked up in a broadcast table then, and the rows of hot
+    words are spread by a hash of `spread_by`.
+    """
+    words = stopwords.select("token").filter("token is not null").distinct()
+    if words.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(words), "token", "left_anti").select(*rows.columns)
+    words = materialize(words, "stopwords")
+    frequency = rows.groupBy("token").agg(F.count("*").alias("_rows"))
+    # A hot word that is no stopword must be found not to be one in its many tasks as well.
+    lookup = materialize(frequency.join(words.withColumn("_stop", F.lit(True)), "token", "left"), "stopword-rows")
+    return lookup_join(rows, lookup, ["token"], "_rows", spread_by).filter("_stop is null").select(*rows.columns)
 
 
 def token_total(tokenized: DataFrame) -> DataFrame:

@@ -83,6 +83,22 @@ ratios AS (SELECT *, CASE WHEN tp + fp <> 0 THEN tp::DOUBLE / (tp + fp) END AS p
 SELECT threshold, tp, fp, fn, round(p, 9) AS precision, round(r, 9) AS recall,
   round(CASE WHEN r + p <> 0 THEN 2 * r * p / (r + p) END, 9) AS f FROM ratios"""
 
+# The bins as the curve has them, the first one included; the lower edge of a bin counts.
+_RATES = """gold_sims AS (SELECT l_id, r_id, floor(coalesce(sim, 0.0) * 1e9 + 0.5) / 1e9 AS sim FROM gold LEFT JOIN sims USING (l_id, r_id)),
+met AS (SELECT sim AS threshold FROM gold_sims WHERE sim > 0),
+thresholds AS (SELECT threshold FROM met UNION SELECT threshold / 7 FROM met UNION SELECT (threshold + 6) / 7 FROM met
+  UNION SELECT range / 7.0::DOUBLE FROM range(1, 8)),
+bins AS (SELECT floor(sim * 100)::INTEGER AS bin, 1 AS n FROM every WHERE sim IS NOT NULL
+  UNION ALL SELECT floor(sim * 100)::INTEGER, -1 FROM gold_sims),
+tallies AS (SELECT threshold,
+    (SELECT coalesce(sum(n), 0) FROM bins WHERE bin::DOUBLE / 100 >= threshold)::BIGINT AS fp,
+    (SELECT count(*) FROM gold_sims WHERE sim < threshold) AS fn,
+    (SELECT count(*) FROM gold_sims WHERE sim >= threshold) AS tp FROM thresholds),
+ratios AS (SELECT *, CASE WHEN tp + fp <> 0 THEN tp::DOUBLE / (tp + fp) END AS p,
+    CASE WHEN tp + fn <> 0 THEN tp::DOUBLE / (tp + fn) END AS r FROM tallies)
+SELECT round(threshold, 9) AS threshold, tp, fp, fn, round(p, 9) AS precision, round(r, 9) AS recall,
+  round(CASE WHEN r + p <> 0 THEN 2 * r * p / (r + p) END, 9) AS f FROM ratios"""
+
 # Java and RE2 agree on these patterns; \z keeps a line with a trailing line break from passing.
 _RECORD = r"""'^(.+),"(.+)",(.*),(.*),(.*)\z'"""
 _GOLD_LINE = r"""'^(.+),"(.+)\z'"""
@@ -104,12 +120,15 @@ pair_counts AS (SELECT pair_id, token, count(*) FILTER (s = 'l') AS nl, count(*)
   FROM sides WHERE token NOT IN (SELECT token FROM stop) GROUP BY ALL),
 pair_lens AS (SELECT pair_id, sum(nl)::DOUBLE AS ll, sum(nr)::DOUBLE AS lr FROM pair_counts GROUP BY ALL)"""
 
+_HASHES = f"""hashes(hash_no, m, b, p) AS (VALUES {
+    ", ".join(f"({i}, {m}::BIGINT, {b}::BIGINT, {p}::BIGINT)" for i, m, b, p in HASHES)
+})"""
+
 _SIGNATURES = (
     f"""{_TOKENS},
-hashes(hash_no, m, b, p) AS (VALUES """
-    + ", ".join(f"({i}, {m}::BIGINT, {b}::BIGINT, {p}::BIGINT)" for i, m, b, p in HASHES)
-    + """),
-elements AS (SELECT src, id, ('0x' || substr(md5(token), 1, 15))::BIGINT % 2147483647 AS element FROM counts),
+{_HASHES},
+"""
+    + """elements AS (SELECT src, id, ('0x' || substr(md5(token), 1, 15))::BIGINT % 2147483647 AS element FROM counts),
 signatures AS (SELECT src, id, hash_no::INTEGER AS hash_no, min((m * element + b) % p) AS minhash
   FROM elements CROSS JOIN hashes GROUP BY ALL)"""
 )
@@ -138,6 +157,32 @@ WHERE regexp_matches(value, {_GOLD_LINE}) AND regexp_extract(value, {_GOLD_LINE}
   UNION ALL SELECT concat('"', l_id, '","', r_id, '"') FROM gold
   UNION ALL SELECT concat(l_id, ';', r_id) FROM gold WHERE l_id > r_id)""",
     ),
+    "scan_records": _sql(
+        f"""SELECT replace(regexp_extract(value, {_RECORD}, 1), '"', '') AS id,
+  concat(regexp_extract(value, {_RECORD}, 2), ' ', regexp_extract(value, {_RECORD}, 3), ' ',
+    regexp_extract(value, {_RECORD}, 4)) AS text FROM parsed WHERE status = 'ok'""",
+        _LINES,
+    ),
+    "scan_counts": _sql("SELECT status, count(*) AS n FROM parsed GROUP BY status", _LINES),
+    "scan_rejects": _sql("SELECT value FROM parsed WHERE status = 'failed'", _LINES),
+    "scan_gold": _sql(
+        f"""SELECT DISTINCT replace(regexp_extract(value, {_GOLD_LINE}, 1), '"', '') AS l_id,
+  replace(regexp_extract(value, {_GOLD_LINE}, 2), '"', '') AS r_id FROM lines
+WHERE regexp_matches(value, {_GOLD_LINE}) AND regexp_extract(value, {_GOLD_LINE}, 1) <> '"idAmazon"'""",
+        _FEEDS,
+        _FEED_GOLD,
+        """lines AS (SELECT '"idAmazon","idGoogleBase"' AS value
+  UNION ALL SELECT concat('"', l_id, '","', r_id, '"') FROM gold
+  UNION ALL SELECT concat(l_id, ';', r_id) FROM gold WHERE l_id > r_id)""",
+    ),
+    # What the fields are that the lines were made of, and the lines that were made with other numbers of them.
+    "csv_records": """SELECT p_partkey::VARCHAR AS id, CASE
+    WHEN p_size > 45 THEN concat(p_name, '  ', p_brand) WHEN p_size > 40 THEN concat(p_name, ' a, b, c ', p_brand)
+    WHEN p_size > 35 THEN concat(p_name, ' a ", x ', p_brand) WHEN p_size > 30 THEN concat('ti, ', p_name, ' desc m,', p_brand)
+    ELSE concat(p_name, '  ', p_brand) END AS text, NULL::VARCHAR AS value FROM part
+UNION ALL SELECT NULL, NULL, CASE WHEN p_size <= 2 THEN concat('"', p_partkey, '","', p_name, '"')
+    ELSE concat('"', p_partkey, '","', p_name, '",,,1,2') END FROM part WHERE p_size <= 4""",
+    "kept_postings": _sql("SELECT id, token, n FROM counts", _DOCUMENTS, _TOKENS),
     "stopword_hits": _sql(
         "SELECT token, count(*) AS n FROM words WHERE token IN (SELECT token FROM stop) GROUP BY token",
         _DOCUMENTS,
@@ -255,6 +300,7 @@ WHERE sim IS NOT NULL AND NOT EXISTS (SELECT 1 FROM gold g WHERE g.l_id = every.
         _PASSAGE_GOLD,
     ),
     "threshold_curve": "WITH " + ", ".join([_PASSAGES, _SIMS, _PASSAGE_GOLD, _PASSAGE_ROWS, _CURVE]),
+    "threshold_rates": "WITH " + ", ".join([_PASSAGES, _ALL_PAIRS, _PASSAGE_GOLD, _RATES]),
     "threshold_curve_feeds": "WITH " + ", ".join([_FEEDS, _SIMS, _FEED_GOLD, _EVERY_GOLD, _CURVE]),
     "jaccard_set": _sql(
         """SELECT pair_id, round(count(*) FILTER (nl > 0 AND nr > 0)::DOUBLE / nullif(count(token), 0), 9) AS jaccard
@@ -284,6 +330,20 @@ JOIN signatures r ON r.src = 'r' AND r.id = r_id AND r.hash_no = l.hash_no GROUP
         _SIGNATURES,
         _FEED_GOLD,
     ),
+    "minhash_error": _sql(
+        f"""SELECT pair_id, round(jaccard, 9) AS jaccard, n_equal, round(n_equal::DOUBLE / {len(HASHES)}, 9) AS estimate,
+  round(abs(n_equal::DOUBLE / {len(HASHES)} - jaccard), 9) AS error
+FROM (SELECT DISTINCT pair_id FROM turns) LEFT JOIN exact USING (pair_id) LEFT JOIN agreed USING (pair_id)""",
+        _STOP,
+        _PAIR_COUNTS,
+        _HASHES,
+        """exact AS (SELECT pair_id, count(*) FILTER (nl > 0 AND nr > 0)::DOUBLE / count(*) AS jaccard FROM pair_counts GROUP BY ALL),
+minima AS (SELECT pair_id, hash_no, min((m * element + b) % p) FILTER (nl > 0) AS hl, min((m * element + b) % p) FILTER (nr > 0) AS hr
+  FROM (SELECT pair_id, nl, nr, ('0x' || substr(md5(token), 1, 15))::BIGINT % 2147483647 AS element FROM pair_counts)
+  CROSS JOIN hashes GROUP BY ALL),
+agreed AS (SELECT pair_id, count(*) FILTER (hl = hr) AS n_equal FROM minima GROUP BY pair_id
+  HAVING count(hl) > 0 AND count(hr) > 0)""",
+    ),
     "indicator_to_set": _sql(
         """SELECT DISTINCT id, element FROM words JOIN (SELECT token, row_number() OVER () - 1 AS element FROM stop)
 USING (token)""",

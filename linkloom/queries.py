@@ -12,11 +12,12 @@ from linkloom.functions.sets import hash_family, signature, token_number
 from linkloom.functions.stopwords import STOPWORDS
 from linkloom.functions.text import tokens
 from linkloom.operators import evaluate, pairs, sets, weights
-from linkloom.operators.materialize import materialize
+from linkloom.operators.materialize import materialize, write_lines
 from linkloom.operators.tokens import (
     bags,
     biggest_record,
     corpus,
+    drop_stopword_rows,
     duplicate_ids,
     postings,
     token_rows,
@@ -77,9 +78,47 @@ def parse_gold_lines(spark, folder):
     return lines.accepted_gold(lines.parse_gold_lines(inputs.gold_lines(spark, folder)))
 
 
+def _record_feed(spark, folder) -> lines.Feed:
+    return lines.read_record_feed(spark, write_lines(inputs.record_lines(spark, folder), "record-lines"))
+
+
+def scan_records(spark, folder):
+    """Records out of text files."""
+    return _record_feed(spark, folder).accepted
+
+
+def scan_rejects(spark, folder):
+    return _record_feed(spark, folder).rejected
+
+
+def scan_counts(spark, folder):
+    """Lines by status, counted while the records were read."""
+    return lines.feed_counts(spark, _record_feed(spark, folder))
+
+
+def scan_gold(spark, folder):
+    """Gold pairs out of text files, each once."""
+    path = write_lines(inputs.gold_lines(spark, folder), "gold-lines")
+    return lines.read_gold_feed(spark, path).accepted.distinct()
+
+
+def csv_records(spark, folder):
+    """Records and rejected lines of the same files through the CSV reader."""
+    feed = lines.read_csv_feed(spark, write_lines(inputs.csv_lines(spark, folder), "csv-lines"))
+    kept = feed.rejected.select(F.lit(None).cast("string").alias("id"), F.lit(None).cast("string").alias("text"), "value")
+    return feed.accepted.select("id", "text", F.lit(None).cast("string").alias("value")).unionByName(kept)
+
+
 # Tokens
 
 
+def kept_postings(spark, folder):
+    """Tokens of documents that are not in a stopword file, with their numbers."""
+    stopwords = lines.read_stopwords(spark, write_lines(inputs.stopword_lines(spark), "stopword-lines"))
+    rows = postings(bags(tokenize(inputs.document_records(spark, folder), stopwords=())))
+    return drop_stopword_rows(rows, stopwords).select("id", "token", F.col("n").cast("bigint").alias("n"))
+
+
 def stopword_hits(spark, folder):
     rows = token_rows(tokenize(inputs.document_records(spark, folder), stopwords=()))
     return rows.filter(F.col("token").isin(*STOPWORDS)).groupBy("token").agg(F.count("*").alias("n"))
@@ -300,6 +339,16 @@ def threshold_curve_feeds(spark, folder):
     return _curve(_feeds(spark, folder), inputs.feed_gold(spark, folder))
 
 
+def threshold_rates(spark, folder):
+    """The curve at thresholds off the grid, some of them equal to similarities of gold pairs."""
+    link, gold = _passages(spark, folder), materialize(inputs.passage_gold(spark, folder), "gold")
+    sims = evaluate.gold_similarity(gold, linkage.requested(link, gold))
+    gold_sims = materialize(sims.withColumn("sim", _shown("sim")), "gold-sims")
+    rates = evaluate.rates_at(inputs.thresholds(gold_sims), _histogram(link), gold_sims)
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("tp", "fp", "fn")]
+    return rates.select(_rounded("threshold").alias("threshold"), *counts, *[_rounded(c).alias(c) for c in ("precision", "recall", "f")])
+
+
 # Sets and signatures
 
 
@@ -341,6 +390,12 @@ def minhash_estimate(spark, folder):
     return sets.compare_signatures(asked).withColumn("estimate", _rounded("estimate"))
 
 
+def minhash_error(spark, folder):
+    """Estimated beside exact Jaccard similarity of each conversation turn and the next."""
+    found = sets.text_pair_minhash(inputs.turn_pairs(spark, folder), HASHES)
+    return found.select("pair_id", "n_equal", *[_rounded(c).alias(c) for c in ("jaccard", "estimate", "error")])
+
+
 def indicator_to_set(spark, folder):
     """Which stopwords a document uses: a 0/1 vector per document, then the set positions."""
     recs = tokenize(inputs.document_records(spark, folder), stopwords=())
@@ -357,6 +412,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_status_counts": parse_status_counts,
     "parse_rejects": parse_rejects,
     "parse_gold_lines": parse_gold_lines,
+    "scan_records": scan_records,
+    "scan_rejects": scan_rejects,
+    "scan_counts": scan_counts,
+    "scan_gold": scan_gold,
+    "csv_records": csv_records,
+    "kept_postings": kept_postings,
     "stopword_hits": stopword_hits,
     "doc_token_counts": doc_token_counts,
     "token_total": corpus_token_total,
@@ -387,10 +448,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fp_bins": fp_bins,
     "threshold_curve": threshold_curve,
     "threshold_curve_feeds": threshold_curve_feeds,
+    "threshold_rates": threshold_rates,
     "jaccard_set": jaccard_set,
     "jaccard_bag": jaccard_bag,
     "minhash_signatures": minhash_signatures,
     "signature_rows": signature_rows,
     "minhash_estimate": minhash_estimate,
+    "minhash_error": minhash_error,
     "indicator_to_set": indicator_to_set,
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import strip_quotes
+from linkloom.operators.materialize import materialize
 
 # The two line formats and their header ids.
 RECORD_PATTERN = r'^(.+),"(.+)",(.*),(.*),(.*)\z'
@@ -14,6 +17,23 @@ RECORD_HEADER_ID = '"id"'
 GOLD_HEADER_ID = '"idAmazon"'
 
 
+STATUSES = ("ok", "header", "failed")
+
+
+@dataclass(frozen=True)
+class Feed:
+    """Files of lines that have been read once.
+
+    accepted  the fields of the lines that could be parsed (written table)
+    rejected  the lines that could not, as `value` (the same written table)
+    counts    status -> lines, counted while the table was written
+    """
+
+    accepted: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
@@ -88,6 +108,33 @@ def status_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def load(parsed: DataFrame, name: str) -> Feed:
+    """Read parsed lines once: accepted and rejected ones go to folders of one table by status, and
+    the statuses are counted in passing."""
+    seen = Observation(name)
+    counted = parsed.observe(seen, *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES])
+    # An accepted line is in its fields, so only the others are written as they came.
+    kept = counted.withColumn("value", F.when(F.col("status") != "ok", F.col("value")))
+    table = materialize(kept, name, partition_by="status")
+    fields = [c for c in parsed.columns if c not in ("value", "status")]
+    return Feed(table.filter(F.col("status") == "ok").select(*fields), rejects(table), dict(seen.get))
+
+
+def read_record_feed(spark: SparkSession, path: str) -> Feed:
+    return load(parse_record_lines(read_lines(spark, path)), "record-feed")
+
+
+def read_gold_feed(spark: SparkSession, path: str) -> Feed:
+    """A mapping file; `accepted` has every pair as often as the file has it."""
+    return load(parse_gold_lines(read_lines(spark, path)), "gold-feed")
+
+
+def feed_counts(spark: SparkSession, feed: Feed) -> DataFrame:
+    """(status, n) of the statuses that occur."""
+    rows = [(status, n) for status, n in feed.counts.items() if n]
+    return spark.createDataFrame(rows, "status string, n bigint")
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     return accepted_records(parse_record_lines(read_lines(spark, path)))
 
@@ -101,9 +148,33 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
     return read_lines(spark, path).select(F.col("value").alias("token")).distinct()
 
 
-def read_record_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The same record files through Spark's CSV reader, which honours quoted commas."""
-    schema = "id string, title string, description string, manufacturer string, price string"
-    rows = spark.read.csv(path, schema=schema, header=True, escape='"')
+# Fixed value: the columns of a record line.
+CSV_SCHEMA = "id string, title string, description string, manufacturer string, price string, value string"
+
+
+def parse_record_csv(spark: SparkSession, path: str) -> DataFrame:
+    """(value, status, id, text) of record files through Spark's CSV reader, which honours quoted commas.
+
+    `value` is the line where it does not hold five fields, else null. Header lines are known by
+    their id and not by their place, as every file of a folder may have one or none. Empty lines
+    are no rows to the reader.
+    """
+    # The reader counts the fields of a line only if it reads all of them.
+    reader = spark.read.option("columnPruning", False)
+    rows = reader.csv(path, schema=CSV_SCHEMA, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="value")
     parts = [F.coalesce(F.col(c), F.lit("")) for c in ("title", "description", "manufacturer")]
-    return rows.select("id", F.concat_ws(" ", *parts).alias("text"))
+    status = (
+        F.when(F.col("value").isNotNull(), "failed").when(F.col("id") == RECORD_HEADER_ID.strip('"'), "header").otherwise("ok")
+    )
+    ok = F.col("status") == "ok"
+    return rows.withColumn("status", status).select(
+        "value", "status", F.when(ok, F.col("id")).alias("id"), F.when(ok, F.concat_ws(" ", *parts)).alias("text")
+    )
+
+
+def read_csv_feed(spark: SparkSession, path: str) -> Feed:
+    return load(parse_record_csv(spark, path), "csv-feed")
+
+
+def read_record_csv(spark: SparkSession, path: str) -> DataFrame:
+    return accepted_records(parse_record_csv(spark, path))

@@ -1,4 +1,7 @@
-"""Small cases with known results."""
+"""Small cases with known results.
+
+Fixed values: the texts, lines, matrices and numbers below that must come out as they stand.
+"""
 
 import pytest
 from pyspark.sql import functions as F
