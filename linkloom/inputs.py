@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.stopwords import STOPWORDS
-from linkloom.functions.text import tokens
+from linkloom.functions.text import tokens, without_stopwords
+from linkloom.operators.kept import kept
 from linkloom.operators.materialize import materialize
 from linkloom.operators.skew import block_join, lookup_join
 from linkloom.operators.tokens import corpus, records
+from linkloom.plans import linkage
 from linkloom.sources.tables import read_table
 
 # Products of counts: 5e9 times 5e9 does not fit a bigint.
@@ -52,33 +54,55 @@ def feed_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def passage_paths(folder: str) -> list[str]:
+    return [f"{folder}/{t}.parquet" for t in ("benchmark", "documents")]
+
+
+def feed_paths(folder: str) -> list[str]:
+    return [f"{folder}/{t}.parquet" for t in ("documents", "labels")]
+
+
+def passage_link(spark: SparkSession, folder: str) -> linkage.Linkage:
+    return linkage.kept_link(spark, "passages", passage_paths(folder), lambda: passage_records(spark, folder))
+
+
+def feed_link(spark: SparkSession, folder: str) -> linkage.Linkage:
+    return linkage.kept_link(spark, "feeds", feed_paths(folder), lambda: feed_records(spark, folder))
+
+
 def passage_gold(spark: SparkSession, folder: str) -> DataFrame:
     """(l_id, r_id, n_pairs = 1): passages and the documents that hold all their words in a row.
 
-    Every word of a passage is then a word of the document, so only documents with the rarest of
-    them are searched for the passage. A passage without words has no pairs.
+    Found once for the tables as they are, and kept.
     """
-
-    def joined(df: DataFrame, key: str) -> DataFrame:
-        words = tokens(F.coalesce("text", F.lit("")))
-        return df.select(key, words.alias("words")).withColumn("line", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
-
-    docs = materialize(joined(documents(spark, folder), "doc_id"), "doc-words")
-    items = joined(passages(spark, folder), "item_id").filter(F.size("words") > 0)
-    doc_words = docs.select("doc_id", F.explode_outer(F.array_distinct("words")).alias("word"))
-    item_words = items.select("item_id", F.explode_outer(F.array_distinct("words")).alias("word"))
-    asked = item_words.select("word").distinct()
-    found = materialize(doc_words.join(asked, "word"), "passage-words")
-    counts = found.groupBy("word").agg(F.count("*").alias("df"))
-    anchors = item_words.join(counts, "word").groupBy("item_id").agg(F.min_by("word", F.struct("df", "word")).alias("word"))
-    # A passage with a word that no document has cannot be found.
-    missing = item_words.join(counts, "word", "left_anti").select("item_id").distinct()
-    anchors = anchors.join(missing, "item_id", "left_anti")
-    candidates = materialize(block_join(found, anchors, ["word"], "doc_id", "item_id").select("doc_id", "item_id"), "passage-candidates")
+    build = lambda: {"gold": _passage_gold(spark, folder)}
+    return kept(spark, "passage-gold", passage_paths(folder), build, {})["gold"]
+
+
+def _padded(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, words, name): the words, and all of them in a line with a blank on either side."""
+    words = tokens(F.coalesce("text", F.lit("")))
+    line = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    return df.select(key, words.alias("words")).withColumn(name, line)
+
+
+def _passage_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of a passage is a word of the documents that hold it, so only those with the rarest
+    of them are searched, and only their texts are looked at. The linkage says which they are; a passage
+    of stopwords alone, which it has no words of, is looked for by its rarest stopword. A passage
+    without words has no pairs."""
+    link = passage_link(spark, folder)
+    items = materialize(_padded(passages(spark, folder), "item_id", "passage").filter(F.size("words") > 0), "passage-words")
+    rare = _by_rarest_word(items, link)
+    plain = items.filter(F.size(without_stopwords(F.col("words"))) == 0)
+    if not plain.isEmpty():
+        rare = rare.unionByName(_by_rarest_stopword(plain, documents(spark, folder)))
+    candidates = materialize(rare, "passage-candidates")
     passage_rows = candidates.groupBy("item_id").agg(F.count("*").alias("_rows"))
-    passage_lines = items.select("item_id", F.col("line").alias("passage")).join(passage_rows, "item_id")
+    passage_lines = items.select("item_id", "passage").join(passage_rows, "item_id")
     doc_rows = candidates.groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    doc_lines = docs.select("doc_id", "line").join(doc_rows, "doc_id")
+    searched = documents(spark, folder).join(doc_rows, "doc_id")
+    doc_lines = _padded(searched, "doc_id", "line").drop("words").join(doc_rows, "doc_id")
     with_passage = lookup_join(candidates, passage_lines, ["item_id"], "_rows", "doc_id", "inner").drop("_rows")
     return (
         lookup_join(with_passage, doc_lines, ["doc_id"], "_rows", "item_id", "inner")
@@ -87,6 +111,40 @@ def passage_gold(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _by_rarest_word(items: DataFrame, link: linkage.Linkage) -> DataFrame:
+    """(item_id, doc_id): the documents with that word of a passage that the fewest have."""
+    words = items.select("item_id", F.explode_outer(F.array_distinct(without_stopwords(F.col("words")))).alias("token"))
+    words = materialize(words.filter("token is not null"), "passage-tokens")
+    # Each word of the passages once, with the numbers of passages and of documents' groups that have it.
+    asked = words.groupBy("token").agg(F.count("*").alias("_rows")).join(link.tokens.select("token", "n_right"), "token")
+    counted = lookup_join(words, materialize(asked, "asked-tokens"), ["token"], "_rows", "item_id", "inner")
+    anchors = counted.groupBy("item_id").agg(F.min(F.struct("n_right", "token")).alias("a"))
+    anchors = materialize(anchors.filter("a.n_right > 0").select("item_id", "a.token", "a.n_right"), "anchors")
+    # Documents of the rarer words are found bucket by bucket; those of hot ones in blocks.
+    cold = link.index.cold_r.select("rep", "token").join(anchors.select("item_id", "token"), "token")
+    hot_rows = link.index.hot.filter("src = 'r'").select("rep", "token")
+    hot = block_join(hot_rows, anchors.select("item_id", "token"), ["token"], "rep", "item_id")
+    groups = cold.select("item_id", "rep").unionByName(hot.select("item_id", "rep"))
+    members = linkage.members(link).filter("src = 'r'").select("rep", F.col("id").alias("doc_id"))
+    sizes = link.groups.filter("src = 'r'").select("rep", F.col("n_records").alias("rows"))
+    found = block_join(materialize(groups, "passage-groups"), members, ["rep"], "item_id", "doc_id", right_sizes=sizes)
+    return found.select("item_id", "doc_id")
+
+
+def _by_rarest_stopword(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item_id, doc_id): the documents with that word of a passage that the fewest have, among stopwords."""
+    stop = F.array(*[F.lit(w) for w in STOPWORDS])
+    used = F.array_intersect(tokens(F.coalesce("text", F.lit(""))), stop)
+    found = materialize(docs.select("doc_id", F.explode(used).alias("word")), "stopwords-used")
+    counts = found.groupBy("word").agg(F.count("*").alias("df"))
+    asked = items.select("item_id", F.explode(F.array_distinct("words")).alias("word"))
+    # At most as many words as there are stopwords.
+    counted = asked.join(F.broadcast(counts), "word", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+    anchors = counted.groupBy("item_id").agg(F.min(F.struct("df", "word")).alias("a")).filter("a.df > 0")
+    anchors = anchors.select("item_id", "a.word")
+    return block_join(found, anchors, ["word"], "doc_id", "item_id").select("item_id", "doc_id")
+
+
 def feed_gold(spark: SparkSession, folder: str) -> DataFrame:
     """(l_id, r_id, n_pairs): for each text on both sides the first document of either side, and
     how many pairs of documents have that text. Copies are counted, not listed."""

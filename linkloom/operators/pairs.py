@@ -13,12 +13,13 @@ pair. What a caller asks about them decides the plan:
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.operators.materialize import materialize
-from linkloom.operators.skew import block_join, lookup_join
+from linkloom.operators.skew import BLOCK_ROWS, block_join, lookup_join
 
 SIM_DIGITS = 12
 # Room for floating-point error where a bound decides whether a pair is looked at.
@@ -106,21 +107,29 @@ def candidate_pairs(units: DataFrame, min_sim: float) -> DataFrame:
     ever takes part. To keep the join itself from trying such rows, each tail is put into a
     band of powers of four, and left rows go only to the right bands that can reach `cut`.
     """
+    left, right, cut, slack = _banded(side(units, "l"), side(units, "r"), min_sim)
+    return _candidates(block_join(left, right, ["token", "band"], "l_rep", "r_rep"), min_sim, cut, slack)
+
+
+def _banded(left: DataFrame, right: DataFrame, min_sim: float) -> tuple[DataFrame, DataFrame, float, float]:
+    """Both sides' rows that can still matter, each with its band, and the cut and its slack."""
     # A share of the cut, so that it stays positive for however small a similarity.
     slack = min(SLACK, min_sim * CUT_SHARE / 2)
     cut = min_sim * CUT_SHARE - slack
     top = math.floor(-math.log(cut) / math.log(4) + SLACK)
     left, right = (
-        side(units, src).filter(F.col("tail") >= cut).withColumnRenamed("tail", f"{src}_tail")
-        for src in ("l", "r")
+        rows.filter(F.col("tail") >= cut).withColumnRenamed("tail", f"{src}_tail")
+        for src, rows in (("l", left), ("r", right))
     )
     left = left.withColumn(
         "band", F.explode(F.sequence(F.lit(0), F.greatest(top - _band(F.col("l_tail")), F.lit(0))))
     )
-    right = right.withColumn("band", _band(F.col("r_tail")))
+    return left, right.withColumn("band", _band(F.col("r_tail"))), cut, slack
+
+
+def _candidates(joined: DataFrame, min_sim: float, cut: float, slack: float) -> DataFrame:
     return (
-        block_join(left, right, ["token", "band"], "l_rep", "r_rep")
-        .filter(F.col("l_tail") * F.col("r_tail") >= cut)
+        joined.filter(F.col("l_tail") * F.col("r_tail") >= cut)
         .groupBy("l_rep", "r_rep")
         .agg(F.sum(F.col("l_u") * F.col("r_u")).alias("part"))
         .filter(F.col("part") >= min_sim - cut - 2 * slack)
@@ -128,6 +137,94 @@ def candidate_pairs(units: DataFrame, min_sim: float) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Index:
+    """Unit vectors as kept tables, by token and by record.
+
+    cold_l, cold_r  rep, token, u, tail of tokens with at most BLOCK_ROWS rows, bucketed by token
+    hot             src, rep, token, u, tail of the other tokens
+    vec_l, vec_r    rep, vec (array of token and u), bucketed by rep
+    """
+
+    cold_l: DataFrame
+    cold_r: DataFrame
+    hot: DataFrame
+    vec_l: DataFrame
+    vec_r: DataFrame
+
+
+def index_tables(units: DataFrame, tokens: DataFrame) -> dict[str, DataFrame]:
+    """The tables of an `Index`, of `tokens` with the number of rows of each."""
+    hot_tokens = materialize(tokens.filter(F.col("n_rows") > BLOCK_ROWS).select("token", "n_rows"), "hot-tokens")
+    marked = lookup_join(units, hot_tokens, ["token"], "n_rows", "rep")
+    cold, hot = marked.filter("n_rows is null").drop("n_rows"), marked.filter("n_rows is not null").drop("n_rows")
+    vectors = units.groupBy("src", "rep").agg(F.collect_list(F.struct("token", "u")).alias("vec"))
+    tables = {"hot": hot}
+    for src in ("l", "r"):
+        tables[f"cold_{src}"] = cold.filter(F.col("src") == src).drop("src")
+        tables[f"vec_{src}"] = vectors.filter(F.col("src") == src).drop("src")
+    return tables
+
+
+def indexed_candidates(index: Index, min_sim: float) -> DataFrame:
+    """As `candidate_pairs`. Tokens with few rows are joined bucket by bucket, without an exchange.
+
+    A row of theirs meets at most BLOCK_ROWS others, so they need no bands to keep such tries few;
+    making those would have the rows exchanged.
+    """
+
+    def named(rows: DataFrame, src: str) -> DataFrame:
+        return rows.select(F.col("rep").alias(f"{src}_rep"), "token", F.col("u").alias(f"{src}_u"), F.col("tail").alias(f"{src}_tail"))
+
+    hot_l, hot_r, cut, slack = _banded(side(index.hot, "l"), side(index.hot, "r"), min_sim)
+    left, right = (
+        named(rows, src).filter(F.col(f"{src}_tail") >= cut) for src, rows in (("l", index.cold_l), ("r", index.cold_r))
+    )
+    matters = F.col("l_tail") * F.col("r_tail") >= cut
+    joined = left.join(right.withColumnRenamed("token", "_token"), (F.col("token") == F.col("_token")) & matters)
+    hot = block_join(hot_l, hot_r, ["token", "band"], "l_rep", "r_rep")
+    columns = ["l_rep", "l_u", "l_tail", "r_rep", "r_u", "r_tail"]
+    return _candidates(joined.select(columns).unionByName(hot.select(columns)), min_sim, cut, slack)
+
+
+def attach_bucketed(rows: DataFrame, table: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join of rows with a table that is bucketed by `key` and has one row for each.
+
+    The table is not moved. Keys with more than BLOCK_ROWS rows are taken apart: their rows of
+    the table are repeated for every block of rows, and joined by key and block.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > BLOCK_ROWS)
+    hot = materialize(counts.withColumn("_blocks", F.ceil(F.col("_rows") / BLOCK_ROWS).cast("int")), "hot-keys")
+    if hot.isEmpty():
+        return rows.join(table, key)
+    marked = lookup_join(rows, hot, [key], "_rows", spread_by).drop("_rows")
+    cold = marked.filter("_blocks is null").drop("_blocks").join(table, key)
+    repeated = table.join(hot, key).withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_rows", "_blocks")
+    warm = marked.filter("_blocks is not null").withColumn("_block", F.pmod(F.xxhash64(spread_by), F.col("_blocks")).cast("int"))
+    return cold.unionByName(warm.drop("_blocks").join(repeated, [key, "_block"]).select(*cold.columns))
+
+
+def indexed_scores(pairs: DataFrame, index: Index) -> DataFrame:
+    """As `score_pairs`: whole vectors are looked up by record and multiplied inside the row."""
+    pairs = materialize(pairs.select("l_rep", "r_rep"), "asked-pairs")
+    left = index.vec_l.select(F.col("rep").alias("l_rep"), F.col("vec").alias("l_vec"))
+    right = index.vec_r.select(F.col("rep").alias("r_rep"), F.col("vec").alias("r_vec"))
+    both = attach_bucketed(attach_bucketed(pairs, left, "l_rep", "r_rep"), right, "r_rep", "l_rep")
+    products = F.map_values(
+        F.map_zip_with(F.map_from_entries("l_vec"), F.map_from_entries("r_vec"), lambda _, a, b: a * b)
+    )
+    return (
+        both.select("l_rep", "r_rep", F.filter(products, lambda x: x.isNotNull()).alias("_products"))
+        .select(
+            "l_rep",
+            "r_rep",
+            F.size("_products").cast("bigint").alias("n_common"),
+            F.round(F.aggregate("_products", F.lit(0.0), lambda a, x: a + x), SIM_DIGITS).alias("sim"),
+        )
+        .filter("n_common > 0")
+    )
+
+
 def score_pairs(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """Similarity of the given (l_rep, r_rep) pairs that share a token, each pair once."""
     left, right = side(units, "l").drop("tail"), side(units, "r").drop("tail")
@@ -147,6 +244,13 @@ def matching_pairs(units: DataFrame, min_sim: float) -> DataFrame:
     return score_pairs(candidates, units).filter(F.col("sim") >= min_sim)
 
 
+def indexed_matches(index: Index, min_sim: float) -> DataFrame:
+    """As `matching_pairs`."""
+    if not min_sim > 0:
+        raise ValueError("min_sim must be positive; use sharing_pairs for all pairs")
+    return indexed_scores(indexed_candidates(index, min_sim), index).filter(F.col("sim") >= min_sim)
+
+
 def centroid(units: DataFrame, groups: DataFrame, src: str) -> DataFrame:
     """Sum of the unit vectors of all records of a catalogue: (token, total)."""
     sizes = groups.filter(F.col("src") == src).select("rep", "n_records")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.stopwords import STOPWORDS
 from linkloom.operators import pairs
+from linkloom.operators.kept import Layout, kept
 from linkloom.operators.materialize import materialize
 from linkloom.operators.skew import block_join, lookup_join
 from linkloom.operators.tokens import bags, postings, tokenize
@@ -24,21 +25,24 @@ class Linkage:
 
     records  src, id, vec                      every record with its group key (written table)
     groups   src, vec, rep, n_records, len     one row per group (written table)
-    tokens   token, df, n_rows                 records and groups per token (written table)
+    tokens   token, df, n_rows, n_right        records, groups and right groups per token (written table)
     units    src, rep, token, u, tail          unit vectors, see `pairs` (written table)
+    index    the unit vectors once more, bucketed by token and by record, if the linkage is kept
     """
 
     records: DataFrame
     groups: DataFrame
     tokens: DataFrame
     units: DataFrame
+    index: pairs.Index | None = None
 
 
 def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
     """Prepare the records (src, id, text) of two catalogues, src `l` and `r`, for linkage."""
     bagged = bags(tokenize(recs, stopwords))
     entries = F.transform("bag", lambda e: F.concat_ws(" ", e["token"], e["n"]))
-    keyed = bagged.withColumn("vec", F.sha2(F.concat_ws(" ", entries), 256))
+    # Written with the bags, so that texts are cut into tokens once.
+    keyed = materialize(bagged.withColumn("vec", F.sha2(F.concat_ws(" ", entries), 256)), "bags")
     groups = materialize(
         keyed.groupBy("vec", "src").agg(
             F.min("id").alias("rep"),
@@ -50,7 +54,9 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
     )
     posted = postings(groups.drop("vec"))
     tokens = materialize(
-        posted.groupBy("token").agg(F.sum("n_records").alias("df"), F.count("*").alias("n_rows")),
+        posted.groupBy("token").agg(
+            F.sum("n_records").alias("df"), F.count("*").alias("n_rows"), F.count_if(F.col("src") == "r").alias("n_right")
+        ),
         "tokens",
     )
     n_records = groups.agg(F.sum("n_records").cast("double")).scalar()
@@ -58,7 +64,43 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
         "w", F.col("n") / F.col("len") * (n_records / F.col("df"))
     )
     units = materialize(pairs.unit_vectors(weights), "units", partition_by="src")
-    return Linkage(materialize(keyed.select("src", "id", "vec"), "records"), groups.drop("bag"), tokens, units)
+    return Linkage(keyed.select("src", "id", "vec"), groups.drop("bag"), tokens, units)
+
+
+_LAYOUTS = {
+    "cold_l": Layout("token"),
+    "cold_r": Layout("token"),
+    "vec_l": Layout("rep"),
+    "vec_r": Layout("rep"),
+}
+
+
+def kept_link(
+    spark: SparkSession, name: str, paths: Sequence[str], recs: Callable[[], DataFrame], stopwords: Sequence[str] = STOPWORDS
+) -> Linkage:
+    """A linkage of the records that come from the files at `paths`, opened again if it is there.
+
+    `name` says what the records are; another stopword list needs another name.
+    """
+
+    def build() -> dict[str, DataFrame]:
+        made = link(recs(), stopwords)
+        tables = {"records": made.records, "groups": made.groups, "tokens": made.tokens, "units": made.units}
+        return tables | pairs.index_tables(made.units, made.tokens)
+
+    tables = kept(spark, name, paths, build, _LAYOUTS)
+    index = pairs.Index(*(tables[c] for c in ("cold_l", "cold_r", "hot", "vec_l", "vec_r")))
+    return Linkage(tables["records"], tables["groups"], tables["tokens"], tables["units"], index)
+
+
+def _matches(linkage: Linkage, min_sim: float) -> DataFrame:
+    if linkage.index:
+        return pairs.indexed_matches(linkage.index, min_sim)
+    return pairs.matching_pairs(linkage.units, min_sim)
+
+
+def _scores(asked: DataFrame, linkage: Linkage) -> DataFrame:
+    return pairs.indexed_scores(asked, linkage.index) if linkage.index else pairs.score_pairs(asked, linkage.units)
 
 
 def members(linkage: Linkage) -> DataFrame:
@@ -85,7 +127,7 @@ def group_sharing(linkage: Linkage) -> DataFrame:
 
 def group_matches(linkage: Linkage, min_sim: float) -> DataFrame:
     """Matching groups (l_rep, r_rep, sim, n_pairs); n_pairs counts the pairs of records."""
-    found = pairs.matching_pairs(linkage.units, min_sim).select("l_rep", "r_rep", "sim")
+    found = _matches(linkage, min_sim).select("l_rep", "r_rep", "sim")
     return _counted(found, linkage)
 
 
@@ -112,7 +154,7 @@ def with_group_sizes(group_pairs: DataFrame, linkage: Linkage) -> DataFrame:
 
 def record_matches(linkage: Linkage, min_sim: float) -> DataFrame:
     """Matching records (l_id, r_id, sim)."""
-    found = pairs.matching_pairs(linkage.units, min_sim).select("l_rep", "r_rep", "sim")
+    found = _matches(linkage, min_sim).select("l_rep", "r_rep", "sim")
     return expand(found, linkage)
 
 
@@ -155,7 +197,7 @@ def requested(linkage: Linkage, requests: DataFrame) -> DataFrame:
         asked = lookup_join(asked, lookup, [f"{src}_id"], "_rows", other, "inner").drop("_rows")
     asked = materialize(asked, "requests")
     wanted = asked.groupBy("l_rep", "r_rep").agg(F.count("*").alias("_rows"))
-    scored = pairs.score_pairs(wanted.select("l_rep", "r_rep"), linkage.units)
+    scored = _scores(wanted.select("l_rep", "r_rep"), linkage)
     # Many requests may ask for the same two groups.
     lookup = materialize(wanted.join(scored, ["l_rep", "r_rep"], "left"), "scored")
     defined = (F.col("l_len") > 0) & (F.col("r_len") > 0)

@@ -52,11 +52,11 @@ def _idf(spark: SparkSession, folder: str, bagged: DataFrame | None = None) -> D
 
 
 def _passages(spark: SparkSession, folder: str) -> linkage.Linkage:
-    return linkage.link(inputs.passage_records(spark, folder))
+    return inputs.passage_link(spark, folder)
 
 
 def _feeds(spark: SparkSession, folder: str) -> linkage.Linkage:
-    return linkage.link(inputs.feed_records(spark, folder))
+    return inputs.feed_link(spark, folder)
 
 
 # Sources

@@ -19,14 +19,14 @@ def folder(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
 
     put("documents", DOCS, "doc_id bigint, text string")
-    put("benchmark", [(1, "whale"), (2, "blue whale"), (3, "..."), (4, None), (5, "blue text")], "item_id bigint, text string")
+    put("benchmark", [(1, "whale"), (2, "blue whale"), (3, "..."), (4, None), (5, "blue text"), (6, "the"), (7, "THE blue"), (8, "of the")], "item_id bigint, text string")
     put("labels", [(4,), (5,), (6,), (1,), (4,)], "doc_id bigint")
     return str(tmp_path)
 
 
 def test_passages_of_any_length(spark, folder):
     found = sorted((r.l_id, r.r_id, int(r.n_pairs)) for r in inputs.passage_gold(spark, folder).collect())
-    assert found == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 1, 1)]
+    assert found == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (2, 1, 1), (6, 1, 1), (7, 1, 1)]
 
 
 def test_equal_texts_are_counted_many_to_many(spark, folder):
