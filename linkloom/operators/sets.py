@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from linkloom.functions.sets import apply_hash, equal_positions, jaccard_bag, jaccard_set, merged_bags, token_number
 from linkloom.functions.stopwords import STOPWORDS
 from linkloom.functions.text import kept_tokens, with_bag
+from linkloom.operators.running import running_sums
 from linkloom.operators.skew import lookup_join
 
+# Columns of an element matrix that stand in one row.
+MATRIX_WIDTH = 64
+
 Hashes = Sequence[tuple[int, int, int, int]]
 
 
@@ -33,6 +37,39 @@ def matrix_to_vectors(matrix: DataFrame) -> DataFrame:
     )
 
 
+def matrix_columns(ids: DataFrame) -> DataFrame:
+    """(id, column): the ids, each once, numbered from 0 in their order; nulls are left out."""
+    one = ids.select("id").filter("id is not null").distinct().withColumn("one", F.lit(1).cast("bigint"))
+    return running_sums(one, ["id"], ["one"]).select("id", F.col("one_before").alias("column"))
+
+
+def element_matrix(sets: DataFrame, columns: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
+    """(id, elements array) to (element, block, v): one column a set, one row an element.
+
+    A whole row would have as many entries as there are sets, so it is cut into blocks of `width`
+    columns; `v` holds the 0 and 1 of one block. Blocks without a 1 are left out. An element in very
+    many sets fills many rows, none of them longer than others.
+    """
+    placed = sets.join(columns, "id").select("column", F.explode(F.array_distinct("elements")).alias("element"))
+    at = F.pmod("column", F.lit(width)).cast("int")
+    rows = placed.groupBy("element", F.floor(F.col("column") / width).cast("bigint").alias("block")).agg(F.collect_set(at).alias("_set"))
+    bits = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_contains("_set", i).cast("int"))
+    return rows.select("element", "block", bits.alias("v"))
+
+
+def matrix_sets(matrix: DataFrame, columns: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
+    """(element, block, v) back to (id, element), one row for each 1."""
+    bits = matrix.select("element", "block", F.posexplode("v").alias("at", "bit")).filter("bit = 1")
+    return bits.select((F.col("block") * width + F.col("at")).alias("column"), "element").join(columns, "column").select("id", "element")
+
+
+def matrix_minhash(matrix: DataFrame, hashes: Hashes, width: int = MATRIX_WIDTH) -> DataFrame:
+    """(element, block, v) to (column, signature): as `minhash`, for columns that have a 1."""
+    bits = matrix.select("element", "block", F.posexplode("v").alias("at", "bit")).filter("bit = 1")
+    cells = bits.select((F.col("block") * width + F.col("at")).alias("id"), "element")
+    return minhash(cells, hashes).withColumnRenamed("id", "column")
+
+
 def minhash(elements: DataFrame, hashes: Hashes) -> DataFrame:
     """(id, element) to (id, signature): per hash function the least value over the set.
 

@@ -315,6 +315,13 @@ FROM turns LEFT JOIN pair_counts USING (pair_id) GROUP BY pair_id""",
         _STOP,
         _PAIR_COUNTS,
     ),
+    "element_matrix": _sql(
+        """SELECT element, place // 64 AS block,
+  array_to_string(list_transform(range(64), lambda i: CASE WHEN list_contains(list(place % 64), i) THEN '1' ELSE '0' END), '') AS v
+FROM elements JOIN (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM recs) USING (id) GROUP BY ALL""",
+        _DOCUMENTS,
+        _SIGNATURES,
+    ),
     "minhash_signatures": _sql("SELECT id, hash_no, minhash FROM signatures", _DOCUMENTS, _SIGNATURES),
     "signature_rows": _sql(
         "SELECT id, string_agg(minhash, ' ' ORDER BY hash_no) AS signature FROM signatures GROUP BY id",

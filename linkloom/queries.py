@@ -371,6 +371,14 @@ def _elements(spark, folder) -> DataFrame:
     )
 
 
+def element_matrix(spark, folder):
+    """Which documents have an element, as rows of a 0/1 matrix with a column a document."""
+    bagged = bags(tokenize(inputs.document_records(spark, folder)))
+    words = bagged.select("id", F.transform("bag", lambda e: token_number(e["token"])).alias("elements"))
+    columns = sets.matrix_columns(inputs.document_records(spark, folder))
+    return sets.element_matrix(words, columns).withColumn("v", F.array_join("v", ""))
+
+
 def minhash_signatures(spark, folder):
     return sets.signature_values(sets.minhash(_elements(spark, folder), HASHES))
 
@@ -451,6 +459,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "threshold_rates": threshold_rates,
     "jaccard_set": jaccard_set,
     "jaccard_bag": jaccard_bag,
+    "element_matrix": element_matrix,
     "minhash_signatures": minhash_signatures,
     "signature_rows": signature_rows,
     "minhash_estimate": minhash_estimate,

@@ -146,3 +146,26 @@ def test_estimate_of_known_sets(spark):
     assert (got[2].jaccard, got[2].estimate, got[2].n_equal) == (1.0, 1.0, 400)
     assert (got[3].jaccard, got[3].estimate, got[4].jaccard, got[4].estimate) == (0.0, None, None, None)
     assert (got[5].jaccard, got[5].estimate) == (0.0, 0.0)
+
+
+def test_element_matrix_and_back(spark):
+    """More sets than a block has columns, an element in all of them, sets that are empty or repeat an element."""
+    rng = random.Random(8)
+    rows = [(3 * i, sorted(rng.sample(range(30), rng.randint(0, 6))) + [77, 77] * (i != 5)) for i in range(150)] + [(500, [])]
+    sets_of = spark.createDataFrame(rows, "id bigint, elements array<bigint>").repartition(4)
+    columns = sets.matrix_columns(sets_of)
+    assert {r.id: r.column for r in columns.collect()} == {d: i for i, (d, _) in enumerate(sorted(rows))}
+    matrix = sets.element_matrix(sets_of, columns)
+    got = {(r.element, r.block): r.v for r in matrix.collect()}
+    assert all(len(v) == 64 and 1 in v for v in got.values())
+    place = {d: i for i, (d, _) in enumerate(sorted(rows))}
+    want = {(e, place[d]) for d, es in rows for e in es}
+    assert {(e, b * 64 + i) for (e, b), v in got.items() for i, bit in enumerate(v) if bit} == want
+    back = Counter((r.id, r.element) for r in sets.matrix_sets(matrix, columns).collect())
+    assert back == Counter({(d, e) for d, es in rows for e in es})
+    hashes = hash_family(16)
+    long = sets_of.select("id", F.explode("elements").alias("element"))
+    by_set = {r.id: r.signature for r in sets.minhash(long, hashes).collect()}
+    by_matrix = {r.column: r.signature for r in sets.matrix_minhash(matrix, hashes).collect()}
+    assert by_matrix == {place[d]: s for d, s in by_set.items()}
+    assert sets.element_matrix(sets_of.limit(0), sets.matrix_columns(sets_of.limit(0))).count() == 0
