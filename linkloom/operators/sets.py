@@ -13,7 +13,7 @@ from linkloom.functions.text import kept_tokens, with_bag
 from linkloom.operators.running import running_sums
 from linkloom.operators.skew import lookup_join
 
-# Columns of an element matrix that stand in one row.
+# Columns of an element matrix that stand in one row: the bits of a bigint.
 MATRIX_WIDTH = 64
 
 Hashes = Sequence[tuple[int, int, int, int]]
@@ -43,31 +43,36 @@ def matrix_columns(ids: DataFrame) -> DataFrame:
     return running_sums(one, ["id"], ["one"]).select("id", F.col("one_before").alias("column"))
 
 
-def element_matrix(sets: DataFrame, columns: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
+def element_matrix(sets: DataFrame, columns: DataFrame) -> DataFrame:
     """(id, elements array) to (element, block, v): one column a set, one row an element.
 
-    A whole row would have as many entries as there are sets, so it is cut into blocks of `width`
-    columns; `v` holds the 0 and 1 of one block. Blocks without a 1 are left out. An element in very
-    many sets fills many rows, none of them longer than others.
+    A whole row would have as many entries as there are sets, so it is cut into blocks of
+    MATRIX_WIDTH columns; `v` holds the 0 and 1 of one block as a string. Blocks without a 1 are
+    left out. An element in very many sets fills many rows, none of them longer than others.
     """
-    placed = sets.join(columns, "id").select("column", F.explode(F.array_distinct("elements")).alias("element"))
-    at = F.pmod("column", F.lit(width)).cast("int")
-    rows = placed.groupBy("element", F.floor(F.col("column") / width).cast("bigint").alias("block")).agg(F.collect_set(at).alias("_set"))
-    bits = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_contains("_set", i).cast("int"))
-    return rows.select("element", "block", bits.alias("v"))
+    # The outer form, or else Spark tests the size of the arrays before, and makes them once more for that.
+    placed = sets.join(columns, "id").select("column", F.explode_outer("elements").alias("element")).filter("element is not null")
+    # A block's columns are the bits of one number while it is put together.
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("column", F.lit(MATRIX_WIDTH)).cast("int"))
+    block = F.floor(F.col("column") / MATRIX_WIDTH).cast("bigint").alias("block")
+    rows = placed.select("element", block, bit.alias("_bit")).groupBy("element", "block").agg(F.bit_or("_bit").alias("_bits"))
+    return rows.select("element", "block", F.reverse(F.lpad(F.bin("_bits"), MATRIX_WIDTH, "0")).alias("v"))
 
 
-def matrix_sets(matrix: DataFrame, columns: DataFrame, width: int = MATRIX_WIDTH) -> DataFrame:
+def _cells(matrix: DataFrame) -> DataFrame:
+    """(column, element) of the 1s."""
+    bits = matrix.select("element", "block", F.posexplode(F.split("v", "")).alias("at", "bit")).filter("bit = '1'")
+    return bits.select((F.col("block") * MATRIX_WIDTH + F.col("at")).alias("column"), "element")
+
+
+def matrix_sets(matrix: DataFrame, columns: DataFrame) -> DataFrame:
     """(element, block, v) back to (id, element), one row for each 1."""
-    bits = matrix.select("element", "block", F.posexplode("v").alias("at", "bit")).filter("bit = 1")
-    return bits.select((F.col("block") * width + F.col("at")).alias("column"), "element").join(columns, "column").select("id", "element")
+    return _cells(matrix).join(columns, "column").select("id", "element")
 
 
-def matrix_minhash(matrix: DataFrame, hashes: Hashes, width: int = MATRIX_WIDTH) -> DataFrame:
+def matrix_minhash(matrix: DataFrame, hashes: Hashes) -> DataFrame:
     """(element, block, v) to (column, signature): as `minhash`, for columns that have a 1."""
-    bits = matrix.select("element", "block", F.posexplode("v").alias("at", "bit")).filter("bit = 1")
-    cells = bits.select((F.col("block") * width + F.col("at")).alias("id"), "element")
-    return minhash(cells, hashes).withColumnRenamed("id", "column")
+    return minhash(_cells(matrix).withColumnRenamed("column", "id"), hashes).withColumnRenamed("id", "column")
 
 
 def minhash(elements: DataFrame, hashes: Hashes) -> DataFrame:
@@ -141,34 +146,18 @@ def text_pair_jaccard(pairs: DataFrame, stopwords: Sequence[str] = STOPWORDS) ->
 def text_pair_minhash(pairs: DataFrame, hashes: Hashes, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """(pair_id, jaccard, n_equal, estimate, error): the MinHash estimate beside what it estimates.
 
-    Each distinct token of a pair is one row, which says in which of the texts it is. One aggregate
-    then gives both signatures and the exact overlap, so nothing but minima is shuffled. A pair
-    with a text without tokens has no estimate, as that text has no signature.
+    The exact value is found inside the row and goes along with either text's signature, of which
+    nothing but minima is shuffled. A pair with a text without tokens has no estimate, as that text
+    has no signature.
     """
-    rows = (
-        bagged_pairs(pairs, stopwords)
-        .select("pair_id", F.explode_outer(merged_bags("bag_l", "bag_r")).alias("token", "n"))
-        .select(
-            "pair_id",
-            token_number("token").alias("element"),
-            (F.col("n.l") > 0).alias("in_l"),
-            (F.col("n.r") > 0).alias("in_r"),
-        )
-    )
-
-    def minima(side: str) -> list:
-        return [
-            F.min(F.when(F.col(f"in_{side}"), apply_hash(F.col("element"), m, b, p))).alias(f"{side}{i}")
-            for i, m, b, p in hashes
-        ]
-
-    sums = rows.groupBy("pair_id").agg(
-        F.count_if(F.col("in_l") & F.col("in_r")).alias("common"), F.count("element").alias("either"), *minima("l"), *minima("r")
-    )
-    signed = sums.select(
-        "pair_id",
-        F.try_divide(F.col("common").cast("double"), F.col("either").cast("double")).alias("jaccard"),
-        *[F.array(*[F.col(f"{s}{i}") for i, *_ in hashes]).alias(f"{s}_signature") for s in ("l", "r")],
+    bagged = bagged_pairs(pairs, stopwords)
+    words = {side: bagged[f"bag_{side}"]["token"] for side in ("l", "r")}
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), tokens.alias("tokens")) for side, tokens in words.items()])
+    sided = bagged.select("pair_id", jaccard_set(words["l"], words["r"]).alias("jaccard"), F.explode(sides).alias("s"))
+    rows = sided.select(F.struct("pair_id", "jaccard", "s.side").alias("id"), F.explode_outer("s.tokens").alias("token"))
+    signatures = minhash(rows.select("id", token_number("token").alias("element")), hashes)
+    signed = signatures.groupBy("id.pair_id", "id.jaccard").agg(
+        *[F.max(F.when(F.col("id.side") == side, F.col("signature"))).alias(f"{side}_signature") for side in words]
     )
     signed = signed.withColumn("_both", F.get("l_signature", 0).isNotNull() & F.get("r_signature", 0).isNotNull())
     compared = compare_signatures(signed)

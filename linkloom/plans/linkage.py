@@ -41,8 +41,7 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
     """Prepare the records (src, id, text) of two catalogues, src `l` and `r`, for linkage."""
     bagged = bags(tokenize(recs, stopwords))
     entries = F.transform("bag", lambda e: F.concat_ws(" ", e["token"], e["n"]))
-    # Written with the bags, so that texts are cut into tokens once.
-    keyed = materialize(bagged.withColumn("vec", F.sha2(F.concat_ws(" ", entries), 256)), "bags")
+    keyed = bagged.withColumn("vec", F.sha2(F.concat_ws(" ", entries), 256))
     groups = materialize(
         keyed.groupBy("vec", "src").agg(
             F.min("id").alias("rep"),
@@ -64,7 +63,8 @@ def link(recs: DataFrame, stopwords: Sequence[str] = STOPWORDS) -> Linkage:
         "w", F.col("n") / F.col("len") * (n_records / F.col("df"))
     )
     units = materialize(pairs.unit_vectors(weights), "units", partition_by="src")
-    return Linkage(keyed.select("src", "id", "vec"), groups.drop("bag"), tokens, units)
+    # Texts are cut into tokens a second time here; bags of all records would be another copy of the corpus.
+    return Linkage(materialize(keyed.select("src", "id", "vec"), "records"), groups.drop("bag"), tokens, units)
 
 
 _LAYOUTS = {

@@ -376,7 +376,7 @@ def element_matrix(spark, folder):
     bagged = bags(tokenize(inputs.document_records(spark, folder)))
     words = bagged.select("id", F.transform("bag", lambda e: token_number(e["token"])).alias("elements"))
     columns = sets.matrix_columns(inputs.document_records(spark, folder))
-    return sets.element_matrix(words, columns).withColumn("v", F.array_join("v", ""))
+    return sets.element_matrix(words, columns)
 
 
 def minhash_signatures(spark, folder):
