@@ -218,12 +218,15 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about BATCH_BYTES of text, of one row at least."""
+    """A batch in slices of at most twice BATCH_BYTES of text, of one row at least.
+
+    Joined batches are a little above BATCH_BYTES, and stay whole.
+    """
     lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
     ends, at = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)), 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        end = max(int(np.searchsorted(ends, before + BATCH_BYTES, "right")), at + 1)
+        end = max(int(np.searchsorted(ends, before + 2 * BATCH_BYTES, "right")), at + 1)
         yield batch.slice(at, end - at)
         at = end
 
