@@ -1,16 +1,20 @@
 """Exact top-k inner products by pivot-table elimination.
 
-Every vector gets a row of a written table: its distances to some pivots. For a query q and a
-vector x, the triangle inequality gives |q - x| >= | d(q, p) - d(x, p) | for each pivot p; the
-largest of these lower bounds, with the lengths of both, bounds the inner product from above:
-q.x = (|q|^2 + |x|^2 - |q - x|^2) / 2. Candidates are evaluated in the order of that bound until
-none that is left can reach the k-th best product, so the result is exact.
+Every vector gets a row of a written table: its distances to many pivots. They say where it stands
+among the pivots: the origin counts as one, so the distances give the inner products with the
+others, hence its coordinates in their span and the length of what stands out of it. Two vectors are
+at least as far apart as these positions, |q - x|^2 >= |Pq - Px|^2 + (|q'| - |x'|)^2, and as every
+pivot lies in the span this is no less than the triangle inequality's | d(q, p) - d(x, p) | for
+any of them: it is the largest lower bound that the table gives. With the lengths of both it
+bounds the inner product from above, q.x <= Pq.Px + |q'||x'|. Candidates are evaluated in the order
+of that bound until none that is left can reach the k-th best product, so the result is exact.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +25,18 @@ from linkloom.operators.materialize import materialize
 
 SCALE = 1024
 TOP = 10
-PIVOTS = 32
+PIVOTS = 56
+# They are chosen from so many vectors, whose products with a query also tell what its k-th best is at least.
+SAMPLE = 1024
+# A pivot stands out of the span of the others by at least this share of its length.
+LEAST_NEW = 0.05
 # Queries of one pass over the table; more queries take more passes.
 BLOCK_QUERIES = 4096
-# Rows that a task compares with the queries at a time.
-CHUNK = 4096
+# Rows that a task compares with the queries at a time, and components in them.
+CHUNK = 1 << 16
+CHUNK_COMPONENTS = 1 << 22
+# Queries whose bounds are formed together.
+TOGETHER = 32
 # Scaled components from here on do not fit a bigint.
 LARGEST = 1 << 63
 # Inner products below this are sure to fit a bigint; the others are formed as Python's integers.
@@ -74,22 +85,89 @@ def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
-def pivot_table(vectors: DataFrame, pivots: int = PIVOTS) -> tuple[DataFrame, np.ndarray]:
-    """(vec_id, components) to the written table with distances, and the pivots themselves.
+def _unit(width: int) -> float:
+    """What rounding can be to a sum of squares or products, in proportion."""
+    return 4 * (width + 8) * float(np.finfo(np.float64).eps)
 
-    Pivots are spread out: of a bounded sample chosen by hash of the id, each next one is the
-    vector farthest from those chosen.
+
+def choose_pivots(rows: np.ndarray, pivots: int) -> np.ndarray:
+    """Rows that span much: each next one is what stands farthest out of the span of those chosen."""
+    left = rows.astype(np.float64)
+    lengths = np.sqrt((left**2).sum(axis=1))
+    chosen: list[int] = []
+    while len(chosen) < min(pivots, rows.shape[1], len(rows)):
+        out = np.sqrt((left**2).sum(axis=1))
+        out[out < LEAST_NEW * np.maximum(lengths, 1.0)] = 0.0
+        at = int(out.argmax())
+        if out[at] == 0:
+            break
+        chosen.append(at)
+        axis = left[at] / out[at]
+        left = left - (left @ axis)[:, None] * axis
+    return rows[chosen]
+
+
+@dataclass
+class Places:
+    """Where vectors stand among the pivots: coordinates in their span, the length of the rest, and
+    by how much rounding may have moved the coordinates. `lengths` are the vectors' own."""
+
+    inside: np.ndarray
+    rest: np.ndarray
+    lengths: np.ndarray
+    moved: np.ndarray
+
+
+def places(rows: np.ndarray, distances: np.ndarray, pivots: np.ndarray) -> Places:
+    """From distances to pivots: p.x = (|x|^2 + |p|^2 - d(x, p)^2) / 2, taken to orthogonal axes."""
+    unit = _unit(rows.shape[1])
+    square = (rows.astype(np.float64) ** 2).sum(axis=1)
+    lengths = np.sqrt(square)
+    if not len(pivots):
+        return Places(np.zeros((len(rows), 0)), lengths * (1 + unit), lengths, np.zeros(len(rows)))
+    of_pivots = (pivots.astype(np.float64) ** 2).sum(axis=1)
+    inverse = np.linalg.inv(np.linalg.qr(pivots.astype(np.float64).T, mode="r"))
+    inside = (square[:, None] + of_pivots - distances**2) / 2 @ inverse
+    stretch = math.sqrt(len(pivots)) * float(np.linalg.norm(inverse, 2))
+    moved = 4 * unit * (square + of_pivots.max()) * stretch + unit * lengths
+    out = np.maximum(square - (inside**2).sum(axis=1), 0.0)
+    rest = np.sqrt(out + 2 * moved * (lengths + moved) + unit * square)
+    return Places(inside, rest, lengths, moved)
+
+
+def _bounds(queries: Places, rows: Places) -> np.ndarray:
+    """(queries, rows): what the inner products are at most, with room for all rounding."""
+    bound = queries.inside @ rows.inside.T
+    bound += queries.rest[:, None] * rows.rest
+    bound += queries.moved[:, None] * (rows.lengths + 2 * rows.moved)
+    bound += queries.lengths[:, None] * (rows.moved + _unit(2 * queries.inside.shape[1]) * rows.lengths)
+    bound += 1.0
+    return bound
+
+
+def _part(found: Places, some: slice) -> Places:
+    return Places(found.inside[some], found.rest[some], found.lengths[some], found.moved[some])
+
+
+@dataclass
+class Pivots:
+    """The pivots, and the sampled rows that they were chosen from."""
+
+    rows: np.ndarray
+    sample_ids: np.ndarray
+    sample: np.ndarray
+
+
+def pivot_table(vectors: DataFrame, pivots: int = PIVOTS) -> tuple[DataFrame, Pivots]:
+    """(vec_id, components) to the written table with distances, and the pivots.
+
+    Pivots come from a bounded sample chosen by hash of the id.
     """
     written = materialize(vectors, "vectors")
     width = written.agg(F.max(F.size("components"))).first()[0] or 0
-    sample = written.orderBy(F.xxhash64("vec_id"), "vec_id").limit(32 * pivots).collect()
+    sample = written.orderBy(F.xxhash64("vec_id"), "vec_id", "components").limit(SAMPLE).collect()
     rows = np.array([[*r.components, *[0] * (width - len(r.components))] for r in sample], np.int64).reshape(len(sample), width)
-    chosen: list[int] = [0] if len(rows) else []
-    nearest = _distances(rows, rows[:1])[:, 0] if chosen else np.empty(0)
-    while chosen and len(chosen) < min(pivots, len(rows)) and nearest.max() > 0:
-        chosen.append(int(nearest.argmax()))
-        nearest = np.minimum(nearest, _distances(rows, rows[chosen[-1:]])[:, 0])
-    table = rows[chosen]
+    table = choose_pivots(rows, pivots)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +175,22 @@ def pivot_table(vectors: DataFrame, pivots: int = PIVOTS) -> tuple[DataFrame, np
             lists = pa.array(list(found), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["vec_id", "components", "distances"])
 
-    return materialize(written.mapInArrow(measure, TABLE_SCHEMA), "pivot-table"), table
+    ids = np.array([r.vec_id for r in sample], np.int64)
+    return materialize(written.mapInArrow(measure, TABLE_SCHEMA), "pivot-table"), Pivots(table, ids, rows)
+
+
+def _at_least(queries: np.ndarray, own: np.ndarray, known: Pivots, top: int) -> np.ndarray:
+    """What each query's k-th best product is at least: the k-th best among the sampled rows."""
+    floor = np.full(len(queries), -math.inf)
+    unit = _unit(queries.shape[1])
+    sample = known.sample.astype(np.float64)
+    lengths = np.sqrt((sample**2).sum(axis=1))
+    for q, query in enumerate(queries.astype(np.float64)):
+        others = known.sample_ids != own[q]
+        if others.sum() >= top:
+            least = sample[others] @ query - unit * lengths[others] * math.sqrt(float(query @ query))
+            floor[q] = np.partition(least, len(least) - top)[len(least) - top]
+    return floor
 
 
 def _products(rows: np.ndarray, query: np.ndarray, sure: bool) -> np.ndarray:
@@ -121,34 +214,25 @@ def _longs(scores: np.ndarray) -> pa.Array:
 def best_of(
     queries: np.ndarray,
     own: np.ndarray,
-    to_pivots: np.ndarray,
+    asked: Places,
     ids: np.ndarray,
     rows: np.ndarray,
-    from_pivots: np.ndarray,
+    found: Places,
     top: int,
     floor: np.ndarray,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(query number, ids, scores, evaluated) of each query's best rows of one chunk.
 
-    `floor` holds the k-th best score of each query so far and is raised here. What lies below it
-    cannot enter; what equals it may, by its id.
+    `asked` and `found` are the places of queries and rows. `floor` holds what the k-th best score
+    of each query is at least so far, and is raised here. What lies below it cannot enter; what
+    equals it may, by its id.
     """
-    lengths = (rows.astype(np.float64) ** 2).sum(axis=1)
-    longest = math.sqrt(lengths.max()) if len(rows) else 0.0
-    # What rounding can be to a sum of squares, in proportion.
-    unit = 4 * (rows.shape[1] + 8) * float(np.finfo(np.float64).eps)
+    longest = float(found.lengths.max(initial=0.0))
     for q in range(len(queries)):
-        gap = np.abs(from_pivots - to_pivots[q]).max(axis=1) if from_pivots.shape[1] else np.zeros(len(rows))
-        query = queries[q].astype(np.float64)
-        # Room for rounding in the distances keeps the bound a bound.
-        gap = np.maximum(gap * (1 - 1e-9) - 1e-3, 0.0)
-        own_length = float(query @ query)
-        if own_length + float(to_pivots[q].max(initial=0.0)) ** 2 + longest**2 >= 2.0**50:
-            # Squares beyond 2**53 are rounded; distances, as roots of their differences, by more.
-            pivot = 2 * (math.sqrt(own_length) + float(to_pivots[q].max(initial=0.0)))
-            gap = np.maximum(gap - 2 * math.sqrt(unit) * (np.sqrt(lengths) + math.sqrt(own_length) + 2 * pivot), 0.0)
-        bound = (own_length + lengths - gap**2) / 2 + (1e-12 + unit) * (own_length + lengths) + 1.0
-        sure = longest * math.sqrt(own_length) < SURE
+        if q % TOGETHER == 0:
+            bounds = _bounds(_part(asked, slice(q, q + TOGETHER)), found)
+        bound = bounds[q % TOGETHER]
+        sure = longest * float(asked.lengths[q]) < SURE
         left = np.flatnonzero((bound >= floor[q]) & (ids != own[q]))
         if not len(left):
             continue
@@ -168,6 +252,23 @@ def best_of(
         yield q, ids[some][first], scores[first], seen
 
 
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, so many at a time."""
+    waiting: list[pa.RecordBatch] = []
+    for whole in batches:
+        at = 0
+        while at < whole.num_rows:
+            some = whole.slice(at, rows - sum(b.num_rows for b in waiting))
+            at += some.num_rows
+            waiting.append(some)
+            if sum(b.num_rows for b in waiting) == rows:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(i) for b in waiting]) for i in range(whole.num_columns)], schema=whole.schema)
+                waiting = []
+    if waiting:
+        first = waiting[0]
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(i) for b in waiting]) for i in range(first.num_columns)], schema=first.schema)
+
+
 def top_products(vectors: DataFrame, is_query, top: int = TOP, pivots: int = PIVOTS) -> DataFrame:
     """(vec_id, components) to (query_id, rank, vec_id, score): for each row that the condition
     `is_query` picks, its `top` largest inner products with the other rows, ties to smaller ids.
@@ -180,7 +281,8 @@ def top_products(vectors: DataFrame, is_query, top: int = TOP, pivots: int = PIV
     A pass broadcasts at most BLOCK_QUERIES queries, and its tasks read their own part of the
     pivot table and give at most `top` rows per query and task.
     """
-    table, chosen = pivot_table(vectors, pivots)
+    table, known = pivot_table(vectors, pivots)
+    chosen = known.rows
     width = chosen.shape[1]
     asked = table.filter(is_query).groupBy("vec_id").agg(F.min("components").alias("components"))
     asked = materialize(asked, "queries")
@@ -190,26 +292,23 @@ def top_products(vectors: DataFrame, is_query, top: int = TOP, pivots: int = PIV
         block = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == number).collect()
         own = np.array([r.vec_id for r in block], np.int64)
         queries = np.array([[*r.components, *[0] * (width - len(r.components))] for r in block], np.int64).reshape(len(block), width)
-        to_pivots = _distances(queries, chosen)
+        least = _at_least(queries, own, known, top)
 
-        def run(batches, own=own, queries=queries, to_pivots=to_pivots):
-            floor = np.full(len(own), -math.inf)
+        def run(batches, own=own, queries=queries, least=least):
+            floor = least.copy()
+            at = places(queries, _distances(queries, chosen), chosen)
             best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for whole in batches:
-                for at in range(0, whole.num_rows, CHUNK):
-                    batch = whole.slice(at, CHUNK)
-                    # Slices of list columns keep their offsets; a copy starts at zero.
-                    batch = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.columns], schema=batch.schema)
-                    rows = _matrix(batch.column(1), width)
-                    distances = _matrix(batch.column(2), len(chosen))
-                    ids = batch.column(0).to_numpy()
-                    for q, some, scores, _ in best_of(queries, own, to_pivots, ids, rows, distances, top, floor):
-                        if q in best:
-                            some, scores = np.append(best[q][0], some), np.append(best[q][1], scores)
-                        first = _best(some, scores, top)
-                        best[q] = some[first], scores[first]
-                        if len(first) == top:
-                            floor[q] = max(floor[q], float(best[q][1][-1]))
+            for batch in _chunks(batches, min(CHUNK, max(1, CHUNK_COMPONENTS // max(width, 1)))):
+                rows = _matrix(batch.column(1), width)
+                there = places(rows, _matrix(batch.column(2), len(chosen)), chosen)
+                ids = batch.column(0).to_numpy()
+                for q, some, scores, _ in best_of(queries, own, at, ids, rows, there, top, floor):
+                    if q in best:
+                        some, scores = np.append(best[q][0], some), np.append(best[q][1], scores)
+                    first = _best(some, scores, top)
+                    best[q] = some[first], scores[first]
+                    if len(first) == top:
+                        floor[q] = max(floor[q], float(best[q][1][-1]))
             for q, (some, scores) in best.items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), own[q])), pa.array(some), _longs(scores)], ["query_id", "vec_id", "score"]

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,7 +257,8 @@ def test_large_components_take_part(spark):
     # Python's integers, where a product passes 64 bits but is not among the best.
     vectors = np.array([[1 << 40], [-(1 << 40)], [3], [5]], np.int64)
     floor = np.full(1, -math.inf)
-    ((_, ids, scores, _),) = topk.best_of(vectors[:1], np.array([0]), np.empty((1, 0)), np.arange(4), vectors, np.empty((4, 0)), 2, floor)
+    at = topk.places(vectors, np.empty((4, 0)), vectors[:0])
+    ((_, ids, scores, _),) = topk.best_of(vectors[:1], np.array([0]), at, np.arange(4), vectors, at, 2, floor)
     assert ids.tolist() == [3, 2] and scores.tolist() == [5 << 40, 3 << 40]
     odd = spark.createDataFrame([(1, [math.nan]), (2, [math.inf]), (3, [None]), (4, None), (None, [1e30])], "vec_id bigint, embedding array<double>")
     assert topk.whole_components(odd, refuse=True).count() == 0
@@ -272,19 +274,56 @@ def test_top_products_of_nothing(spark):
     assert collected(topk.top_products(topk.whole_components(one), F.col("vec_id") == 0)) == [(0, 1, 1, 512 * 256)]
 
 
+def best_in_one_chunk(queries, own, rows, pivots, floor):
+    asked = topk.places(queries, topk._distances(queries, pivots), pivots)
+    there = topk.places(rows, topk._distances(rows, pivots), pivots)
+    return list(topk.best_of(queries, own, asked, np.arange(len(rows)), rows, there, 10, floor))
+
+
 def test_elimination_stops_early():
     rng = np.random.default_rng(8)
     centres = rng.integers(-900, 900, (20, 16))
     rows = np.concatenate([c + rng.integers(-20, 20, (200, 16)) for c in centres])
-    pivots = rows[::200]
-    queries = rows[[5]]
-    found = list(topk.best_of(queries, np.array([-1]), topk._distances(queries, pivots), np.arange(len(rows)), rows, topk._distances(rows, pivots), 10, np.full(1, -math.inf)))
-    ((_, ids, scores, seen),) = found
-    want = rows @ queries[0]
+    ((_, ids, scores, seen),) = best_in_one_chunk(rows[[5]], np.array([-1]), rows, topk.choose_pivots(rows[::200], 16), np.full(1, -math.inf))
+    want = rows @ rows[5]
     assert list(scores) == sorted(want, reverse=True)[:10]
     assert seen < len(rows) / 4
 
 
+@pytest.mark.parametrize("size", [1, 1000, 1 << 30])
+@pytest.mark.parametrize("pivots", [0, 1, 7, 16])
+def test_bounds_are_bounds_and_tighter_than_any_triangle(size, pivots):
+    rng = np.random.default_rng(size + pivots)
+    rows = np.concatenate([rng.integers(-size, size + 1, (60, 16)), rng.integers(-3, 4, (20, 16)), np.zeros((2, 16), np.int64)])
+    chosen = topk.choose_pivots(rows[:40], pivots)
+    distances = topk._distances(rows, chosen)
+    at = topk.places(rows, distances, chosen)
+    bounds = topk._bounds(at, at)
+    exact = rows.astype(object) @ rows.T.astype(object)
+    assert all(b >= e for b, e in zip(bounds.ravel().tolist(), exact.ravel().tolist()))
+    # Among lengths that differ by a billion the room for rounding outweighs the short ones.
+    if len(chosen) and size < 1 << 30:
+        square = (rows.astype(float) ** 2).sum(axis=1)
+        gap = np.abs(distances[:, None] - distances[None]).max(axis=2)
+        triangle = (square[:, None] + square - gap**2) / 2
+        assert (bounds <= triangle + 2 + 1e-5 * np.sqrt(square[:, None] * square + square.max())).all()
+
+
+def test_given_vectors_are_mostly_eliminated():
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["vec_id", "embedding"])
+    ids = table["vec_id"].to_numpy()
+    rows = np.array([scaled(v) for v in table["embedding"].to_pylist()], np.int64)
+    queries, own = rows[ids % 100 == 0], ids[ids % 100 == 0]
+    known = topk.Pivots(topk.choose_pivots(rows[: topk.SAMPLE], topk.PIVOTS), ids[: topk.SAMPLE], rows[: topk.SAMPLE])
+    floor = topk._at_least(queries, own, known, 10)
+    asked = topk.places(queries, topk._distances(queries, known.rows), known.rows)
+    there = topk.places(rows, topk._distances(rows, known.rows), known.rows)
+    seen = sum(n for *_, n in topk.best_of(queries, own, asked, ids, rows, there, 10, floor))
+    share = seen / (len(queries) * len(rows))
+    print("evaluated", share)
+    assert share < 0.3
+
+
 # Page texts
 
 
