@@ -2,6 +2,8 @@
 
 import math
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -399,3 +401,104 @@ def test_odd_pages(spark):
     assert extract.extract(pages.limit(0)).count() == 0
     deep = "<div>" * 5000 + "text" + "</div>" * 5000
     assert [b.text for b in extract.blocks(deep)] == ["text"]
+
+
+def page_tree(rng, deep=0):
+    """(tag, class, children), a child being a text or another tree."""
+    inner = [page_tree(rng, deep + 1) for _ in range(rng.randint(0, 2))] if deep < 3 else []
+    if rng.random() < 0.7 or not inner:
+        inner.insert(rng.randint(0, len(inner)), f"{rng.choice(['same', 'other', str(rng.random())])} text")
+    return rng.choice(["div", "section", "nav"] if deep else ["div"]), rng.choice(["", "a", "promo"]), inner
+
+
+def as_html(tree):
+    tag, name, inner = tree
+    inner = "".join(x if isinstance(x, str) else as_html(x) for x in inner)
+    return f"<{tag} class='{name}'>{inner}</{tag}>"
+
+
+def evenness(features):
+    counts = Counter(features)
+    seen = sum(counts.values())
+    return seen, (-sum(n / seen * math.log(n / seen) for n in counts.values()) / math.log(seen) if seen > 1 else 1.0)
+
+
+def brute_force_leaves(pages):
+    """(host, path, prior) to evidence, by walks over all pages."""
+    shown = {}
+
+    def walk(host, page, tree, path, prior):
+        tag, name, inner = tree
+        path, prior = (*path, (tag, name)), min(prior, -3.0 if tag == "nav" else 0.7, -1.5 if name == "promo" else 0.7)
+        shown.setdefault((host, path), set()).add((page, tuple("#" if isinstance(x, str) else x[:2] for x in inner)))
+        for x in inner:
+            if isinstance(x, str):
+                shown.setdefault((host, (*path, prior)), set()).add((page, x))
+            else:
+                walk(host, page, x, path, prior)
+
+    for page, (host, tree) in enumerate(pages):
+        walk(host, page, ("", "", [tree]), (), 0.7)
+    own, pages_of = {}, {}
+    for host, path in shown:
+        seen, even = evenness([f for _, f in shown[host, path]])
+        pages_of[path], everywhere = evenness([f for (_, p), s in shown.items() if p == path for _, f in s])
+        own[host, path] = seen, (seen * even + 20 * everywhere) / (seen + 20)
+    given = {}
+    for host, path in shown:
+        if isinstance(path[-1], float):
+            value = own[host, path][1]
+            for depth in range(len(path) - 1, 0, -1):
+                value = 0.1 * own[host, path[:depth]][1] + 0.9 * value
+                given.setdefault((host, path[:depth]), []).append((own[host, path][0], value, path))
+    trust = {path: n / (n + 40) for path, n in pages_of.items()}
+
+    def odds(p):
+        p = min(max(p, 0.018), 0.982)
+        return math.log(p / (1 - p))
+
+    out = {}
+    for host, path in shown:
+        if isinstance(path[-1], float):
+            told = 0.0
+            for depth in range(1, len(path)):
+                below = given[host, path[:depth]]
+                composite = sum(n * v for n, v, _ in below) / sum(n for n, _, _ in below)
+                told = trust[path[:depth]] * odds(composite) + (1 - trust[path[:depth]]) * told
+            value = next(v for _, v, p in given[host, path[:-1]] if p == path)
+            out[host, path] = trust[path] * odds(value) + (1 - trust[path]) * told
+    return out
+
+
+def test_style_tree_by_brute_force(spark):
+    rng = random.Random(4)
+    shapes = [page_tree(rng) for _ in range(6)]
+    trees = [(f"h{i % 3}", rng.choice(shapes) if rng.random() < 0.6 else page_tree(rng)) for i in range(90)]
+    df = spark.createDataFrame([(i, f"http://{h}/", as_html(t), h) for i, (h, t) in enumerate(trees)], "page_id bigint, url string, html string, host string")
+    got = extract.judged(extract.observations(df)).collect()
+    want = brute_force_leaves(trees)
+    assert sorted((r.host, r.prior, round(r.evidence, 6)) for r in got) == sorted((h, p[-1], round(e, 6)) for (h, p), e in want.items())
+
+    def kept(host, tree, path, prior):
+        tag, name, inner = tree
+        path, prior = (*path, (tag, name)), min(prior, -3.0 if tag == "nav" else 0.7, -1.5 if name == "promo" else 0.7)
+        for x in inner:
+            if not isinstance(x, str):
+                yield from kept(host, x, path, prior)
+            elif prior + want[host, (*path, prior)] >= 0:
+                yield x
+
+    texts = {r.page_id: r.text for r in extract.extract(df).collect()}
+    assert texts == {i: "\n".join(kept(h, ("", "", [t]), (), 0.7)) for i, (h, t) in enumerate(trees)}
+    assert 0 < sum(t.count("\n") + 1 for t in texts.values() if t) < sum(as_html(t).count(" text") for _, t in trees)
+
+
+def test_malformed_pages_take_linear_time():
+    pages = [
+        "<a " * 350_000 + '"', "<font>" * 170_000, "<div>" * 100_000 + "text", "<a x='" * 170_000, '<a x="y' * 150_000, "<!--" * 250_000,
+        "</x>" * 250_000, "<ul>" + "<li>x" * 100_000, "<a " + "= " * 500_000, "<b><p>" * 100_000, "<a class " * 110_000, "<div class=" * 100_000,
+    ]
+    for page in pages:
+        start = time.process_time()
+        extract.blocks(page)
+        assert time.process_time() - start < 5, page[:20]
