@@ -8,26 +8,31 @@
 c(h) counts h as a context; a context never seen leaves P(w). E is a small constant that keeps
 some mass for unseen words after a context whose counts are all too large to be discounted.
 
+`learn` counts and writes the model: the training bigrams with their counts, in buckets of the word,
+and the backoff weights, in buckets of the context. `apply` scores any documents, known or new, with
+the stored tables alone; `save` and `open_model` keep them beyond a session.
+
 The logarithm of a document's probability is a sum over its tokens, and each of its terms needs
 facts about one word, one bigram or one context. So texts never move: every task cuts its
 documents into blocks, numbers a block's documents, and sends each bucket of words the bigrams
-that end in them, with the numbers of the documents they are in. A bucket has all counts of its
-words and bigrams; it returns a sum per document. Words that fill more than a part of a bucket
-are split by their contexts, their counts being known to all tasks. What depends on the context
-of an unseen bigram, and the sums that the backoff weights are made of, go on to buckets of
-contexts. All of it travels as packed arrays, several bytes a bigram.
+that end in them, with the numbers of the documents they are in. There they meet the stored
+counts, which gives a sum per document. Bigrams that are not stored go on to the buckets of their
+contexts and back off there by the stored weights. Words that fill more than a part of a bucket
+are split by their contexts, their counts being known to all tasks. All of it travels as packed
+arrays, several bytes a bigram.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import blank_words, column, release_shuffles
@@ -39,10 +44,9 @@ E = 0.01
 BLOCK_TOKENS = 1_800_000
 BLOCK_DOCS = 1 << 16
 BUCKET_TOKENS = 2_000_000
-# Bigrams are counted in so many passes over the texts, each for its share of the buckets. More
-# passes read more and need less room for shuffled data at a time.
+# Texts are scored in so many passes, each for its share of the buckets. More passes read more and
+# need less room for shuffled data at a time.
 PASSES = 3
-MAX_BUCKETS = 1 << 16
 # Unseen bigrams of a frequent context are dealt to so many buckets.
 SALTS = 16
 # Words are known by 64 bits of hash, as contexts by 48 of them.
@@ -155,89 +159,110 @@ def _mixed(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Numbers, list[np.ndarray], list]]:
+    """Documents to blocks: (numbers of the words, each document's words with its end, ids)."""
+    numbers, tokens, ids, size = Numbers(), [], [], 0
+    numbers[b""]
+    for batch in batches:
+        for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
+            words = blank_words(text)
+            words.append(b"")
+            tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+            ids.append(doc_id)
+            size += len(words)
+            if size >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS - 1:
+                yield numbers, tokens, ids
+                numbers, tokens, ids, size = Numbers(), [], [], 0
+                numbers[b""]
+    if ids:
+        yield numbers, tokens, ids
+
+
+def _pairs(numbers: Numbers, tokens: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words, by bucket; per token one number that tells word and context). The last
+    context is the beginning of a text."""
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    hashes = word_hashes(list(numbers))
+    by_bucket = np.argsort(hashes % np.uint64(buckets), kind="stable")
+    rank = np.empty(len(hashes), np.int64)
+    rank[by_bucket] = np.arange(len(hashes))
+    word = rank[np.concatenate(tokens)]
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[np.cumsum(lengths) - lengths] = len(hashes)
+    word *= len(hashes) + 1
+    word += before
+    return hashes[by_bucket], word
+
+
+def _dealt(hashes: np.ndarray, pair: np.ndarray, buckets: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(word, context, order by bucket, where each bucket begins) of distinct bigrams."""
+    contexts = np.append(hashes & CONTEXT_BITS, np.uint64(BEGIN))[pair % (len(hashes) + 1)]
+    word = pair // (len(hashes) + 1)
+    bucket = (hashes[word] % np.uint64(buckets)).astype(np.int64)
+    split = np.isin(hashes[word], hot)
+    bucket[split] = (_mixed(hashes[word][split], contexts[split]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return word, contexts, order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _pack_contexts(contexts: np.ndarray) -> np.ndarray:
+    return contexts.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _bigrams(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Training documents to rows for the buckets: a block's distinct bigrams and their counts."""
+    for numbers, tokens, _ in _cut(batches):
+        hashes, pair = _pairs(numbers, tokens, buckets)
+        pair, n = np.unique(pair, return_counts=True)
+        word, contexts, order, bounds = _dealt(hashes, pair, buckets, hot)
+        rows = []
+        for b in range(buckets):
+            mine = order[bounds[b] : bounds[b + 1]]
+            if len(mine):
+                own, runs = np.unique(word[mine], return_counts=True)
+                data = [hashes[own].astype("<u8"), runs.astype("<u4"), _pack_contexts(contexts[mine]), n[mine].astype("<u4")]
+                rows.append(("bigrams", b, None, data))
+        yield _packed(rows)
+
+
 def _blocks(
     batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray, turn: int, turns: int
 ) -> Iterator[pa.RecordBatch]:
     """Documents to rows for the buckets of one pass; in the first, a row that lists a block's
     documents. Blocks and numbers are the same in every pass, as the rows of a task are."""
-    part, seq = TaskContext.get().partitionId(), 0
-    numbers, tokens, ids, train, size = Numbers(), [], [], [], 0
-    numbers[b""]
-
-    def flush() -> pa.RecordBatch:
+    part = TaskContext.get().partitionId()
+    for seq, (numbers, tokens, ids) in enumerate(_cut(batches)):
         block = (part << 20) + seq
-        # Training documents come first, so that a document's number tells.
-        order = np.argsort(~np.array(train, bool), kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
         lengths = np.array([len(t) for t in tokens], np.int64)
-        hashes = word_hashes(list(numbers))
-        by_bucket = np.argsort(hashes % np.uint64(buckets), kind="stable")
-        rank = np.empty(len(hashes), np.int64)
-        rank[by_bucket] = np.arange(len(hashes))
-        hashes, n_words = hashes[by_bucket], len(hashes)
-        word = rank[np.concatenate(tokens)]
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        before[np.cumsum(lengths) - lengths] = n_words
+        hashes, key = _pairs(numbers, tokens, buckets)
         # One number tells word, context and document: the more of one, the fewer of the other.
-        bits = len(order).bit_length()
-        word *= n_words + 1
-        word += before
-        word <<= bits
-        word |= np.repeat(place, lengths)
-        del before
-        key, n = np.unique(word, return_counts=True)
+        bits = len(ids).bit_length()
+        key <<= bits
+        key |= np.repeat(np.arange(len(ids)), lengths)
+        key, n = np.unique(key, return_counts=True)
         pair, first, in_docs = np.unique(key >> bits, return_index=True, return_counts=True)
-        contexts = np.append(hashes & CONTEXT_BITS, np.uint64(BEGIN))[pair % (n_words + 1)]
-        word = pair // (n_words + 1)
-        bucket = (hashes[word] % np.uint64(buckets)).astype(np.int64)
-        split = np.isin(hashes[word], hot)
-        bucket[split] = (_mixed(hashes[word][split], contexts[split]) % np.uint64(buckets)).astype(np.int64)
-        by_bucket = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-        n_train = int(sum(train))
-        listed = [np.array([-1 if ids[i] is None else ids[i] for i in order], "<i8"), lengths[order].astype("<i8"), bytes([ids[i] is None for i in order])]
-        rows = [("docs", block % buckets, block, listed)] if not turn else []
+        word, contexts, order, bounds = _dealt(hashes, pair, buckets, hot)
+        rows = []
+        if not turn:
+            listed = [np.array([-1 if i is None else i for i in ids], "<i8"), lengths.astype("<i8"), bytes([i is None for i in ids])]
+            rows.append(("docs", block % buckets, block, listed))
         for b in range(turn, buckets, turns):
-            mine = by_bucket[bounds[b] : bounds[b + 1]]
+            mine = order[bounds[b] : bounds[b + 1]]
             if not len(mine):
                 continue
             own, runs = np.unique(word[mine], return_counts=True)
             at = np.repeat(first[mine] - np.cumsum(in_docs[mine]) + in_docs[mine], in_docs[mine]) + np.arange(in_docs[mine].sum())
-            rows.append(
-                (
-                    "bigrams",
-                    b,
-                    block,
-                    [
-                        np.array([n_train], "<i8"),
-                        hashes[own].astype("<u8"),
-                        runs.astype("<u4"),
-                        contexts[mine].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6],
-                        in_docs[mine].astype("<u2"),
-                        (key[at] & ((1 << bits) - 1)).astype("<u2"),
-                        n[at].astype("<u4"),
-                    ],
-                )
-            )
-        return _packed(rows)
-
-    for batch in batches:
-        for doc_id, text, learn in zip(*(column(batch, c) for c in ("doc_id", "text", "train"))):
-            words = blank_words(text)
-            words.append(b"")
-            tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            ids.append(doc_id)
-            train.append(bool(learn))
-            size += len(words)
-            if size >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS - 1:
-                yield flush()
-                numbers, tokens, ids, train, size = Numbers(), [], [], [], 0
-                numbers[b""]
-                seq += 1
-    if ids:
-        yield flush()
+            data = [
+                hashes[own].astype("<u8"),
+                runs.astype("<u4"),
+                _pack_contexts(contexts[mine]),
+                in_docs[mine].astype("<u2"),
+                (key[at] & ((1 << bits) - 1)).astype("<u2"),
+                n[at].astype("<u4"),
+            ]
+            rows.append(("bigrams", b, block, data))
+        yield _packed(rows)
 
 
 def _unpack_contexts(data: bytes) -> np.ndarray:
@@ -273,8 +298,62 @@ def _by_context(kind: str, buckets: int, hot: np.ndarray, contexts: np.ndarray,
     return out
 
 
+def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Values of the asked keys, 0 for those that are not there. `keys` are sorted."""
+    if not len(keys):
+        return np.zeros(len(asked), values.dtype)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, values[at], 0)
+
+
 def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, hot_n: np.ndarray) -> pa.Table:
-    """One bucket of words: counts, sums per document, and what is for buckets of contexts."""
+    """One bucket of words: the training bigrams with their counts, and what each gives its context."""
+    rows = table.column("data").to_pylist()
+    bucket = table.column("bucket")[0].as_py()
+    columns = [(*_read(d, "<u8", "<u4"), _unpack_contexts(d[2]), np.frombuffer(d[3], "<u4")) for d in rows]
+    words = np.concatenate([np.repeat(own, runs) for own, runs, *_ in columns])
+    contexts = np.concatenate([c[2] for c in columns])
+    n = np.concatenate([c[3] for c in columns])
+    del rows, columns, table
+    _, first, pair = np.unique(_mixed(words, contexts), return_index=True, return_inverse=True)
+    n = np.bincount(pair, n, len(first)).astype(np.int64)
+    words, contexts = words[first], contexts[first]
+    del first, pair
+    order = np.argsort(words, kind="stable")
+    words, contexts, n = words[order], contexts[order], n[order]
+    own, starts, runs = np.unique(words, return_index=True, return_counts=True)
+    n_word = np.add.reduceat(n, starts)
+    # A word that is split has its other bigrams elsewhere; its count is known.
+    n_word = np.maximum(n_word, _found(hot, hot_n, own))
+    out = [("counts", bucket, None, [own, n_word.astype("<i8"), runs.astype("<u4"), _pack_contexts(contexts), n.astype("<i8")])]
+    named, at = np.unique(contexts, return_inverse=True)
+    mass = np.bincount(at, np.repeat(unigrams.probability(n_word), runs), len(named))
+    total = np.bincount(at, n, len(named)).astype("<u8")
+    low = np.stack([np.bincount(at, n == r, len(named)) for r in range(1, DISCOUNTED + 1)], axis=1).astype("<u4")
+    out += _by_context("contexts", buckets, hot, named, total, low, mass)
+    times = np.bincount(np.minimum(n, DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
+    out.append(("stats", bucket, None, [times.astype("<i8")]))
+    return _table(_packed(out))
+
+
+def _back_off(table: pa.Table, factors: np.ndarray) -> pa.Table:
+    """One bucket of contexts: their backoff weights and totals."""
+    columns = [_read(d, "<u8", "<i8", "<u4", "<f8") for d in table.column("data").to_pylist()]
+    contexts, total, low, mass = (np.concatenate(c) for c in zip(*columns))
+    named, at = np.unique(contexts, return_inverse=True)
+    total = np.bincount(at, total, len(named))
+    low = low.reshape(-1, DISCOUNTED)
+    freed = sum(np.bincount(at, low[:, r] * (1 - factors[r]) * (r + 1), len(named)) for r in range(DISCOUNTED))
+    left = 1.0 - np.bincount(at, mass, len(named))
+    weight = (freed + E) / (total + E) / left
+    return _table(_packed([("backoff", table.column("bucket")[0].as_py(), None, [named, weight, total])]))
+
+
+def _score_words(
+    table: pa.Table, stored: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, hot_n: np.ndarray, factors: np.ndarray
+) -> pa.Table:
+    """One bucket of words: documents' bigrams meet the stored counts. A row of sums per block, and
+    the bigrams that are not stored, for the buckets of their contexts."""
     rows = table.to_pylist()
     out = [("docs", r["bucket"], r["block"], r["data"]) for r in rows if r["kind"] == "docs"]
     rows = [r for r in rows if r["kind"] == "bigrams"]
@@ -282,112 +361,76 @@ def _count(table: pa.Table, buckets: int, unigrams: Unigrams, hot: np.ndarray, h
     if not rows:
         return _table(_packed(out))
     bucket = rows[0]["bucket"]
-    words, contexts, in_docs, docs, counts, learned = [], [], [], [], [], []
+    keys, n_keys = np.empty(0, np.uint64), np.empty(0, np.int64)
+    own, n_own = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for data in stored.column("data").to_pylist():
+        own, n_own, runs, n_keys = _read([*data[:3], data[4]], "<u8", "<i8", "<u4", "<i8")
+        keys = _mixed(np.repeat(own, runs), _unpack_contexts(data[3]))
+        order = np.argsort(keys)
+        keys, n_keys = keys[order], n_keys[order]
+    words, contexts, in_docs, docs, counts = [], [], [], [], []
     for r in rows:
-        sizes, own, runs = _read(r["data"], "<i8", "<u8", "<u4")
-        words.append(np.repeat(own, runs))
-        contexts.append(_unpack_contexts(r["data"][3]))
-        in_docs.append(np.frombuffer(r["data"][4], "<u2"))
-        number = np.frombuffer(r["data"][5], "<u2").astype(np.int32)
-        docs.append((r["block"] << 16) + number.astype(np.int64))
-        learned.append(number < sizes[0])
-        counts.append(np.frombuffer(r["data"][6], "<u4").astype(np.int32))
+        words.append(np.repeat(*_read(r["data"], "<u8", "<u4")))
+        contexts.append(_unpack_contexts(r["data"][2]))
+        in_docs.append(np.frombuffer(r["data"][3], "<u2"))
+        docs.append((r["block"] << 16) + np.frombuffer(r["data"][4], "<u2").astype(np.int64))
+        counts.append(np.frombuffer(r["data"][5], "<u4").astype(np.int32))
     del rows
-    words, contexts, in_docs = map(np.concatenate, (words, contexts, in_docs))
-    docs, counts, learned = map(np.concatenate, (docs, counts, learned))
-    _, first, pair_of = np.unique(_mixed(words, contexts), return_index=True, return_inverse=True)
-    word_of_pair, context_of_pair = words[first], contexts[first]
-    pair = np.repeat(pair_of.astype(np.int32), in_docs)
-    del words, contexts, pair_of
-    n_pair = np.bincount(pair[learned], counts[learned], len(first)).astype(np.int64)
-    distinct, word_of_pair = np.unique(word_of_pair, return_inverse=True)
-    n_word = np.bincount(word_of_pair, n_pair, len(distinct)).astype(np.int64)
-    if len(hot):
-        # A word that is split has its other bigrams elsewhere; its count is known.
-        at = np.minimum(np.searchsorted(hot, distinct), len(hot) - 1)
-        n_word = np.where(hot[at] == distinct, hot_n[at], n_word)
-    p_word = unigrams.probability(n_word)
+    words, contexts, in_docs, docs, counts = map(np.concatenate, (words, contexts, in_docs, docs, counts))
+    n_pair = _found(keys, n_keys, _mixed(words, contexts))
+    n_word = np.maximum(_found(own, n_own, words), _found(hot, hot_n, words))
+    factor = np.append(1.0, factors)[np.minimum(n_pair, DISCOUNTED)]
+    factor[n_pair > DISCOUNTED] = 1.0
+    # Per occurrence: the bigram's part of the score, and the word's as the context of the next.
+    each = np.where(n_pair > 0, np.log10(factor * np.maximum(n_pair, 1)), np.log10(unigrams.probability(n_word)))
+    each -= np.where((n_word > 0) & (words != END), np.log10(n_word + E), 0.0)
     # Only documents with a word in this bucket are numbered, so that it grows with its words alone.
     present, docs = np.unique(docs, return_inverse=True)
-    # Per occurrence: the bigram's part of the score, and the word's as the context of the next.
-    seen = n_pair > 0
-    as_bigram = np.where(seen, np.log10(np.maximum(n_pair, 1)), np.log10(p_word)[word_of_pair])
-    as_context = np.where((n_word > 0) & (distinct != END), -np.log10(n_word + E), 0.0)
     n_docs = len(present)
-    score = np.bincount(docs, counts * (as_bigram + as_context[word_of_pair])[pair], n_docs)
-    plain = np.bincount(docs, counts * unigrams.base(n_word)[word_of_pair][pair], n_docs)
-    known = np.bincount(docs, counts * (n_word > 0)[word_of_pair][pair], n_docs)
-    discounted = np.stack([np.bincount(docs, counts * (n_pair == r)[pair], n_docs) for r in range(1, DISCOUNTED + 1)], axis=1)
+    score = np.bincount(docs, counts * np.repeat(each, in_docs), n_docs)
+    plain = np.bincount(docs, counts * np.repeat(unigrams.base(n_word), in_docs), n_docs)
+    known = np.bincount(docs, counts * np.repeat(n_word > 0, in_docs), n_docs)
     # References are in order, so those of a block are next to each other.
     blocks, starts = np.unique(present >> 16, return_index=True)
     for block, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), n_docs]):
         part = slice(start, end)
-        at = (present[part] & 0xFFFF).astype("<u2")
-        out.append(("sums", bucket, block, [at, plain[part], score[part].astype("<f4"), known[part].astype("<u4"), discounted[part].astype("<u4")]))
-    # Unseen bigrams wait for their context's backoff weight.
-    late = ~seen[pair]
-    reference = present[docs[late]]
-    out += _by_context("unseen", buckets, hot, context_of_pair[pair[late]], reference, counts[late].astype("<u4"))
-    # The training bigrams, and what each gives its context.
-    have = np.flatnonzero(seen)
-    own, runs = np.unique(word_of_pair[have], return_counts=True)
-    have = have[np.argsort(word_of_pair[have], kind="stable")]
-    packed = context_of_pair[have].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    out.append(("counts", bucket, None, [distinct[own], runs.astype("<u4"), packed, n_pair[have].astype("<u4")]))
-    named, context = np.unique(context_of_pair[have], return_inverse=True)
-    mass = np.bincount(context, p_word[word_of_pair[have]], len(named))
-    total = np.bincount(context, n_pair[have], len(named)).astype("<u8")
-    low = np.stack([np.bincount(context, n_pair[have] == r, len(named)) for r in range(1, DISCOUNTED + 1)], axis=1).astype("<u4")
-    out += _by_context("contexts", buckets, hot, named, total, low, mass)
-    times = np.bincount(np.minimum(n_pair[have], DISCOUNTED + 2), minlength=DISCOUNTED + 3)[1 : DISCOUNTED + 2]
-    out.append(("stats", bucket, None, [times.astype("<i8")]))
+        out.append(("sums", bucket, block, [(present[part] & 0xFFFF).astype("<u2"), plain[part], score[part], known[part].astype("<u4")]))
+    late = np.repeat(n_pair == 0, in_docs)
+    out += _by_context("unseen", buckets, hot, np.repeat(contexts, in_docs)[late], present[docs[late]], counts[late].astype("<u4"))
     return _table(_packed(out))
 
 
-def _back_off(table: pa.Table, factors: np.ndarray, buckets: int, hot: np.ndarray) -> pa.Table:
-    """One bucket of contexts: the backoff weights, and what they add to documents' scores."""
-    rows = table.to_pylist()
-    columns = [_read(r["data"], "<u8", "<i8", "<u4", "<f8") for r in rows if r["kind"] == "contexts"]
+def _score_unseen(table: pa.Table, stored: pa.Table) -> pa.Table:
+    """One bucket of contexts: what the stored weights add for bigrams that are not stored."""
     out = []
-    if columns:
-        contexts, total, low, mass = (np.concatenate(c) for c in zip(*columns))
-        named, at = np.unique(contexts, return_inverse=True)
-        total = np.bincount(at, total, len(named))
-        low = low.reshape(-1, DISCOUNTED)
-        freed = sum(np.bincount(at, low[:, r] * (1 - factors[r]) * (r + 1), len(named)) for r in range(DISCOUNTED))
-        left = 1.0 - np.bincount(at, mass, len(named))
-        weight = (freed + E) / (total + E) / left
-        # A context with several buckets is listed in its first.
-        own = _context_buckets(buckets, hot, named)[0] == rows[0]["bucket"]
-        out.append(("backoff", rows[0]["bucket"], None, [named[own], weight[own]]))
-        columns = [_read(r["data"], "<u8", "<i8", "<u4") for r in rows if r["kind"] == "unseen"]
-        if columns:
-            contexts, reference, n = (np.concatenate(c) for c in zip(*columns))
-            at = np.minimum(np.searchsorted(named, contexts), len(named) - 1)
-            fits = named[at] == contexts
-            # The context was subtracted as if the bigram were seen; that is taken back.
-            more = (np.log10(weight) + np.log10(total + E))[at]
-            doc, at_doc = np.unique(reference[fits], return_inverse=True)
-            sums = np.bincount(at_doc, (n * more)[fits], len(doc))
-            block = doc >> 16
-            for b in np.unique(block).tolist():
-                some = block == b
-                out.append(("late", rows[0]["bucket"], b, [(doc[some] & 0xFFFF).astype("<u2"), sums[some]]))
+    weights = [_read(d, "<u8", "<f8", "<f8") for d in stored.column("data").to_pylist()]
+    if weights and table.num_rows:
+        ((named, weight, total),) = weights
+        contexts, reference, n = (np.concatenate(c) for c in zip(*(_read(d, "<u8", "<i8", "<u4") for d in table.column("data").to_pylist())))
+        # The context was subtracted as if the bigram were seen; that is taken back. A context that was
+        # never seen gave nothing, and leaves the word's own probability.
+        more = _found(named, np.log10(weight) + np.log10(total + E), contexts)
+        doc, at_doc = np.unique(reference, return_inverse=True)
+        sums = np.bincount(at_doc, n * more, len(doc))
+        block = doc >> 16
+        blocks, starts = np.unique(block, return_index=True)
+        for b, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), len(doc)]):
+            out.append(("late", table.column("bucket")[0].as_py(), b, [(doc[start:end] & 0xFFFF).astype("<u2"), sums[start:end]]))
     return _table(_packed(out))
 
 
-def _documents(table: pa.Table, factors: np.ndarray, begin: float) -> pa.Table:
+def _documents(table: pa.Table, begin: float) -> pa.Table:
     """One block: its documents with the sums of all buckets."""
     rows = table.to_pylist()
     ids, lengths, none = _read(next(r["data"] for r in rows if r["kind"] == "docs"), "<i8", "<i8", "u1")
     plain, score, known = np.zeros(len(ids)), np.full(len(ids), -begin), np.zeros(len(ids), np.int64)
     for r in sorted((r for r in rows if r["kind"] != "docs"), key=lambda r: (r["kind"], r["bucket"])):
+        # A document is in a row once.
         if r["kind"] == "sums":
-            at, p, s, k, low = _read(r["data"], "<u2", "<f8", "<f4", "<u4", "<u4")
-            # A document is in a row once.
+            at, p, s, k = _read(r["data"], "<u2", "<f8", "<f8", "<u4")
             plain[at] += p
             known[at] += k
-            score[at] += s + low.reshape(-1, DISCOUNTED) @ np.log10(factors)
+            score[at] += s
         else:
             at, more = _read(r["data"], "<u2", "<f8")
             score[at] += more
@@ -396,23 +439,33 @@ def _documents(table: pa.Table, factors: np.ndarray, begin: float) -> pa.Table:
     return pa.Table.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
 
-def _pass(docs: DataFrame, turn: int, buckets: int, unigrams: Unigrams, hot: np.ndarray, hot_n: np.ndarray) -> DataFrame:
-    sent = docs.mapInArrow(lambda batches: _blocks(batches, buckets, hot, turn, PASSES), PACKED)
-    return sent.groupBy("bucket").applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED)
-
-
-def score(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(doc_id, text, train boolean) to ((doc_id, n_tokens, n_known, base_score, score), N).
-
-    The model is learned from the rows where `train` is true and every row is scored, whole.
-    `score` is its log10 probability of the text with its end, `base_score` that of unigrams with
-    half a count added. A null or empty text is its end alone. Repeated rows and null ids are
-    rows of their own; other columns are not read. With nothing to learn from, every token is
-    unknown. The written tables hold the model: unigram counts, bigram counts by bucket of the
-    word (kind `counts`), backoff weights by bucket of the context (kind `backoff`).
-    """
-    docs = docs.select("doc_id", "text", F.coalesce("train", F.lit(False)).alias("train"))
-    words = unigram_counts(docs.filter("train"))
+@dataclass
+class Model:
+    """What was learned. `counts` holds the training bigrams and their counts, a row for each bucket of
+    words; `backoff` the weights and totals, a row for each bucket of contexts. `hot` words, at most
+    four for each bucket, are split by context."""
+
+    buckets: int
+    n_docs: int
+    total: int
+    distinct: int
+    times: list[int]
+    factors: list[float]
+    hot: np.ndarray
+    hot_n: np.ndarray
+    counts: DataFrame
+    backoff: DataFrame
+
+    @property
+    def unigrams(self) -> Unigrams:
+        return Unigrams(self.total, self.distinct, self.times)
+
+
+def learn(docs: DataFrame, scored_bytes: int = 0) -> Model:
+    """(text) to a model of all texts. `scored_bytes` is how much text will be scored at a time, where
+    that is more than is learned from: there are buckets for that much."""
+    docs = docs.select(F.lit(None).cast("bigint").alias("doc_id"), "text")
+    words = unigram_counts(docs)
     levels = [F.count_if(F.col("n") == r) for r in range(1, DISCOUNTED + 2)]
     n_docs, total, distinct, *times = words.agg(
         F.coalesce(F.sum(F.when(F.col("word") == END, F.col("n"))), F.lit(0)),
@@ -420,29 +473,77 @@ def score(docs: DataFrame) -> tuple[DataFrame, int]:
         F.count("*"),
         *levels,
     ).first()
-    buckets = min(MAX_BUCKETS, max(8, math.ceil(total / BUCKET_TOKENS)))
+    buckets = max(8, math.ceil(max(total, scored_bytes / 8) / BUCKET_TOKENS))
     # At most four times as many words as buckets can be that frequent.
-    frequent = words.filter(F.col("n") > max(1000, total // (4 * buckets))).orderBy("word").collect()
+    frequent = words.filter(F.col("n") > max(1000, total // (4 * buckets))).collect()
     hot = np.array([r.word for r in frequent], np.int64).view(np.uint64)
     order = np.argsort(hot)
     hot, hot_n = hot[order], np.array([r.n for r in frequent], np.int64)[order]
     unigrams = Unigrams(total, distinct, times)
-    counted = None
-    for turn in range(PASSES):
-        part = materialize(_pass(docs, turn, buckets, unigrams, hot, hot_n), "katz-counts", partition_by="kind")
-        counted = part if counted is None else counted.unionByName(part)
-        release_shuffles(docs.sparkSession)
+    counted = docs.mapInArrow(lambda batches: _bigrams(batches, buckets, hot), PACKED).groupBy("bucket")
+    counted = materialize(counted.applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED), "katz-counts", partition_by="kind")
+    release_shuffles(docs.sparkSession)
     stats = np.zeros(DISCOUNTED + 1, np.int64)
-    for r in counted.filter("kind = 'stats'").select("data").collect():
+    for r in counted.filter("kind = 'stats'").select("data").toLocalIterator():
         stats += np.frombuffer(r.data[0], "<i8")
     factors = np.array(discounts(stats.tolist()))
-    backed = counted.filter("kind in ('contexts', 'unseen')").groupBy("bucket")
-    backed = materialize(backed.applyInArrow(lambda t: _back_off(t, factors, buckets, hot), PACKED), "katz-backoff", partition_by="kind")
+    backoff = counted.filter("kind = 'contexts'").groupBy("bucket").applyInArrow(lambda t: _back_off(t, factors), PACKED)
+    backoff = materialize(backoff, "katz-backoff")
     release_shuffles(docs.sparkSession)
-    begin = math.log10(n_docs + E) if n_docs else 0.0
-    parts = counted.filter("kind in ('docs', 'sums')").unionByName(backed.filter("kind = 'late'"))
-    scored = parts.groupBy("block").applyInArrow(
-        lambda t: _documents(t, factors, begin),
+    return Model(buckets, n_docs, total, distinct, times, factors.tolist(), hot, hot_n, counted.filter("kind = 'counts'"), backoff)
+
+
+def apply(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, text) to (doc_id, n_tokens, n_known, base_score, score), one row per row of `docs`.
+
+    `score` is the model's log10 probability of the text with its end, `base_score` that of unigrams
+    with half a count added. A null or empty text is its end alone. Repeated rows and null ids are
+    rows of their own; other columns are not read. Without anything learned, every token is unknown.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    buckets, hot, hot_n, unigrams, factors = model.buckets, model.hot, model.hot_n, model.unigrams, np.array(model.factors)
+    met = None
+    for turn in range(PASSES):
+        sent = docs.mapInArrow(lambda batches, turn=turn: _blocks(batches, buckets, hot, turn, PASSES), PACKED)
+        stored = model.counts.filter(F.pmod("bucket", F.lit(PASSES)) == turn)
+        part = sent.groupBy("bucket").cogroup(stored.groupBy("bucket"))
+        part = part.applyInArrow(lambda t, m: _score_words(t, m, buckets, unigrams, hot, hot_n, factors), PACKED)
+        part = materialize(part, "katz-sums", partition_by="kind")
+        met = part if met is None else met.unionByName(part)
+        release_shuffles(docs.sparkSession)
+    late = met.filter("kind = 'unseen'").groupBy("bucket").cogroup(model.backoff.groupBy("bucket"))
+    late = materialize(late.applyInArrow(_score_unseen, PACKED), "katz-late")
+    release_shuffles(docs.sparkSession)
+    begin = math.log10(model.n_docs + E) if model.n_docs else 0.0
+    return met.filter("kind in ('docs', 'sums')").unionByName(late).groupBy("block").applyInArrow(
+        lambda t: _documents(t, begin),
         "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double",
     )
-    return scored, total
+
+
+def score(docs: DataFrame) -> tuple[DataFrame, int]:
+    """(doc_id, text, train boolean) to (what `apply` gives, number of training tokens). The model is
+    learned from the rows where `train` is true, and every row is scored with its stored tables."""
+    docs = docs.select("doc_id", "text", F.coalesce("train", F.lit(False)).alias("train"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    model = learn(docs.filter("train"), size)
+    return apply(docs, model), model.total
+
+
+FACTS = "buckets int, n_docs bigint, total bigint, distinct bigint, times array<bigint>, factors array<double>, hot array<bigint>, hot_n array<bigint>"
+
+
+def save(model: Model, folder: str) -> None:
+    """Write the model to a folder that all machines share."""
+    facts = (model.buckets, model.n_docs, model.total, model.distinct, model.times, model.factors)
+    row = (*facts, model.hot.view(np.int64).tolist(), model.hot_n.tolist())
+    model.counts.write.parquet(f"{folder}/counts")
+    model.backoff.write.parquet(f"{folder}/backoff")
+    model.counts.sparkSession.createDataFrame([row], FACTS).coalesce(1).write.parquet(f"{folder}/facts")
+
+
+def open_model(spark: SparkSession, folder: str) -> Model:
+    """A model that was saved."""
+    facts = spark.read.parquet(f"{folder}/facts").first().asDict()
+    facts["hot"], facts["hot_n"] = np.array(facts["hot"], np.int64).view(np.uint64), np.array(facts["hot_n"], np.int64)
+    return Model(**facts, counts=spark.read.parquet(f"{folder}/counts"), backoff=spark.read.parquet(f"{folder}/backoff"))
