@@ -46,6 +46,32 @@ def row_key(df: DataFrame) -> Column:
     return F.xxhash64(*[c for n in hashed for c in (F.col(f"`{n}`").isNull(), F.col(f"`{n}`"))])
 
 
+def with_row_hash(rows: DataFrame) -> DataFrame:
+    """Add `_row`, a hash of all columns but the id."""
+    return rows.withColumn("_row", F.xxhash64(*[c for c in rows.columns if c != "doc_id"]))
+
+
+def first_rows(keys: DataFrame, most: int, most_chars: int) -> DataFrame:
+    """(doc_id, _row, _chars) to a broadcast table of at most `most` distinct (doc_id, _row), the smallest
+    by hash of the id, then id and hash of the row; without those whose text would bring the sample
+    over `most_chars`. Rows that are repeated count once, rows without id not at all."""
+    distinct = keys.filter(F.col("doc_id").isNotNull()).select("doc_id", "_row", "_chars").distinct()
+    found, chars = [], 0
+    for r in distinct.orderBy(F.xxhash64("doc_id"), "doc_id", "_row").limit(most).collect():
+        if chars + r["_chars"] <= most_chars:
+            chars += r["_chars"]
+            found.append((r["doc_id"], r["_row"]))
+    kind = keys.schema["doc_id"].dataType.simpleString()
+    return F.broadcast(keys.sparkSession.createDataFrame(found, f"doc_id {kind}, _row bigint"))
+
+
+def of_sample(rows: DataFrame, sample: DataFrame) -> DataFrame:
+    """The rows with `_row` that are in the sample, each once. Repeated ones meet in their own tasks first."""
+    others = [c for c in rows.columns if c not in ("doc_id", "_row")]
+    picked = rows.join(sample, ["doc_id", "_row"])
+    return picked.groupBy("doc_id", "_row").agg(*[F.min(c).alias(c) for c in others]).drop("_row")
+
+
 def running_total(
     df: DataFrame, groups: Sequence[str], order: Sequence[Column], value: str, name: str, kind: str
 ) -> DataFrame:

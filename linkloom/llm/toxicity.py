@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import column
+from linkloom.llm.common import column, first_rows, of_sample, with_row_hash
 from linkloom.operators.materialize import materialize
 
-# The model is fitted on at most so many labelled documents, the smallest by hash of the id.
+# The model is fitted on at most so many labelled rows, the smallest by hash of the id, and so many
+# characters of them.
 SAMPLE_DOCS = 8_000
+SAMPLE_CHARS = 64_000_000
 # It knows so many character n-grams: those whose presence tells most about the label.
 FEATURES = 512
 GRAMS = (4, 5, 6)
@@ -117,26 +119,27 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str = "toxic") ->
     return docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(document_labels(labels, label), "doc_id")
 
 
-def _first_by_hash(ids: DataFrame, sample_docs: int) -> DataFrame:
-    return F.broadcast(ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
+def _keys(texts: DataFrame) -> DataFrame:
+    return texts.select("doc_id", "_row", F.length("text").alias("_chars"))
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """(doc_id, text, label) to a model; without documents of both labels, one that scores low.
 
-    The sample is bounded and chosen by hash of the id. What the driver gets of it is, per
-    document, its distinct sets of known n-grams.
+    The sample is bounded in rows and characters and chosen by hash of the id; a repeated row teaches
+    once. What the driver gets of it is, per document, its distinct sets of known n-grams.
     """
-    chosen = _first_by_hash(labelled.select("doc_id"), sample_docs)
-    return _learn(labelled.join(chosen, "doc_id"))
+    hashed = with_row_hash(labelled.select("doc_id", "text", "label"))
+    return _learn(of_sample(hashed, first_rows(_keys(hashed), sample_docs, SAMPLE_CHARS)))
 
 
 def learn_from_labels(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """The model of `learn(labelled_texts(docs, labels, label))`. The sample is chosen from ids
-    alone and goes to the texts with its labels, so no text is shuffled."""
-    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
-    chosen = _first_by_hash(texts.select("doc_id").join(document_labels(labels, label), "doc_id"), sample_docs)
-    return _learn(texts.join(chosen, "doc_id"))
+    """The model of `learn(labelled_texts(docs, labels, label))`. The sample is chosen from ids and
+    hashes and goes to the texts with its labels, so only texts of the sample are shuffled."""
+    texts = with_row_hash(docs.select("doc_id", "text").filter(F.col("text").isNotNull()))
+    known = document_labels(labels, label)
+    sample = first_rows(_keys(texts).join(known, "doc_id"), sample_docs, SAMPLE_CHARS)
+    return _learn(of_sample(texts, sample).join(known, "doc_id"))
 
 
 def _learn(sampled: DataFrame) -> Model:

@@ -2,6 +2,8 @@
 
 import math
 import random
+import subprocess
+import sys
 import time
 from collections import Counter
 
@@ -10,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.llm import extract, language, topk, toxicity, url_rules
+from linkloom.llm import common, extract, language, topk, toxicity, url_rules
 from linkloom.llm.common import fold
 from linkloom.llm.queries import RULES
 from tests.llm import cases
@@ -207,6 +209,50 @@ def test_automaton_against_backtracking():
         assert [bool(x) for x in got[:, globs.index(g)]] == [fits(g, t) for t in texts], g
 
 
+# Bounded samples and long texts
+
+
+def test_samples_are_bounded_in_rows(spark):
+    rows = [(5, f"one id {i}", i % 2) for i in range(20_000)] + [(6, "same", 1)] * 50 + [(None, "none", 0), (7, "x" * 900, 0)]
+    df = common.with_row_hash(spark.createDataFrame(rows, "doc_id bigint, text string, label int").repartition(7))
+    keys = df.select("doc_id", "_row", F.length("text").alias("_chars"))
+    assert common.of_sample(df, common.first_rows(keys, 800, 10**6)).count() == 800
+    every = common.of_sample(df, common.first_rows(keys, 10**5, 10**6)).collect()
+    assert len(every) == 20_002 and sum(r.doc_id == 6 for r in every) == 1
+    few = common.of_sample(df, common.first_rows(keys, 10**5, 800)).collect()
+    assert sum(len(r.text) for r in few) <= 800 and few and all(r.doc_id != 7 for r in few)
+    first = sorted(map(tuple, common.first_rows(keys, 300, 10**6).collect()))
+    assert first == sorted(map(tuple, common.first_rows(keys.repartition(3), 300, 10**6).collect()))
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(2)
+    logs = np.log(rng.dirichlet(np.ones(language.CELLS), 3).T)
+    model = language.Model(["a", "b", "c"], logs)
+    text = " ".join("".join(rng.choice(list("abcdeé"), rng.integers(1, 9))) for _ in range(3000)) + "," + "z" * 200
+    whole, words = language.identify(text, model), language.likelihoods(text, model)
+    monkeypatch.setattr(language, "PIECE", 300)
+    monkeypatch.setattr(language, "WORDS", 100)
+    assert "".join(language.pieces(text)) == text and max(map(len, language.pieces(text))) <= 600
+    assert np.allclose(language.likelihoods(text, model), words, rtol=1e-12)
+    cut = language.identify(text, model)
+    assert list(cut) == list(whole) and list(cut.values()) == pytest.approx(list(whole.values()))
+
+
+def test_long_text_in_bounded_memory():
+    code = """
+import resource, numpy as np
+from linkloom.llm import language
+logs = np.log(np.random.default_rng(2).dirichlet(np.ones(language.CELLS), 4).T)
+text = "the quick brown fox jumps over " * (50_000_000 // 31) + "語" * 1_000_000
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert language.identify(text, language.Model(list("abcd"), logs))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert grown < 1_000_000
+
+
 # Nearest vectors
 
 
