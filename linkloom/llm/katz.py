@@ -25,7 +25,7 @@ arrays, several bytes a bigram.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -159,9 +159,10 @@ def _mixed(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Numbers, list[np.ndarray], list]]:
-    """Documents to blocks: (numbers of the words, each document's words with its end, ids)."""
-    numbers, tokens, ids, size = Numbers(), [], [], 0
+def _cut(batches: Iterator[pa.RecordBatch], packed: Callable[..., pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents in blocks: what `packed` makes of (number of the block, numbers of the words, each
+    document's words with its end, ids). Nothing of a block is left when the next one begins."""
+    seq, numbers, tokens, ids, size = 0, Numbers(), [], [], 0
     numbers[b""]
     for batch in batches:
         for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
@@ -171,11 +172,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Numbers, list[np.n
             ids.append(doc_id)
             size += len(words)
             if size >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS - 1:
-                yield numbers, tokens, ids
-                numbers, tokens, ids, size = Numbers(), [], [], 0
+                words = None
+                yield packed(seq, numbers, tokens, ids)
+                pa.default_memory_pool().release_unused()
+                seq, numbers, tokens, ids, size = seq + 1, Numbers(), [], [], 0
                 numbers[b""]
     if ids:
-        yield numbers, tokens, ids
+        yield packed(seq, numbers, tokens, ids)
 
 
 def _pairs(numbers: Numbers, tokens: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,7 +215,8 @@ def _pack_contexts(contexts: np.ndarray) -> np.ndarray:
 
 def _bigrams(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Training documents to rows for the buckets: a block's distinct bigrams and their counts."""
-    for numbers, tokens, _ in _cut(batches):
+
+    def packed(seq: int, numbers: Numbers, tokens: list[np.ndarray], ids: list) -> pa.RecordBatch:
         hashes, pair = _pairs(numbers, tokens, buckets)
         pair, n = np.unique(pair, return_counts=True)
         word, contexts, order, bounds = _dealt(hashes, pair, buckets, hot)
@@ -223,7 +227,9 @@ def _bigrams(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -
                 own, runs = np.unique(word[mine], return_counts=True)
                 data = [hashes[own].astype("<u8"), runs.astype("<u4"), _pack_contexts(contexts[mine]), n[mine].astype("<u4")]
                 rows.append(("bigrams", b, None, data))
-        yield _packed(rows)
+        return _packed(rows)
+
+    return _cut(batches, packed)
 
 
 def _blocks(
@@ -232,7 +238,8 @@ def _blocks(
     """Documents to rows for the buckets of one pass; in the first, a row that lists a block's
     documents. Blocks and numbers are the same in every pass, as the rows of a task are."""
     part = TaskContext.get().partitionId()
-    for seq, (numbers, tokens, ids) in enumerate(_cut(batches)):
+
+    def packed(seq: int, numbers: Numbers, tokens: list[np.ndarray], ids: list) -> pa.RecordBatch:
         block = (part << 20) + seq
         lengths = np.array([len(t) for t in tokens], np.int64)
         hashes, key = _pairs(numbers, tokens, buckets)
@@ -262,7 +269,9 @@ def _blocks(
                 n[at].astype("<u4"),
             ]
             rows.append(("bigrams", b, block, data))
-        yield _packed(rows)
+        return _packed(rows)
+
+    return _cut(batches, packed)
 
 
 def _unpack_contexts(data: bytes) -> np.ndarray:

@@ -22,7 +22,7 @@ from linkloom.llm import (
     toxicity,
     url_rules,
 )
-from linkloom.llm.common import fold
+from linkloom.llm.common import fold, text_batches
 
 # The rules of the URL query.
 RULES = (
@@ -64,6 +64,7 @@ def mix_plan(spark: SparkSession, folder: str) -> DataFrame:
 
 def katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", (fold("doc_id") != 1).alias("train"))
+    text_batches(spark)
     scored, total = katz.score(docs)
     return scored.select(
         "doc_id",
