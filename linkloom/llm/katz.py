@@ -43,7 +43,9 @@ DISCOUNTED = 5
 E = 0.01
 BLOCK_TOKENS = 1_800_000
 BLOCK_DOCS = 1 << 16
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
+# Blocks' rows of a bucket are unpacked so many bytes at a time.
+SLICE_BYTES = 4 << 20
 # Texts are scored in so many passes, each for its share of the buckets. More passes read more and
 # need less room for shuffled data at a time.
 PASSES = 3
@@ -274,6 +276,13 @@ def _blocks(
     return _cut(batches, packed)
 
 
+def _slices(table: pa.Table) -> Iterator[list[dict]]:
+    """The rows of a bucket, some SLICE_BYTES at a time, at least one row."""
+    some = max(1, table.num_rows * SLICE_BYTES // max(1, table.nbytes))
+    for start in range(0, table.num_rows, some):
+        yield table.slice(start, some).to_pylist()
+
+
 def _unpack_contexts(data: bytes) -> np.ndarray:
     wide = np.zeros((len(data) // 6, 8), np.uint8)
     wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
@@ -363,13 +372,7 @@ def _score_words(
 ) -> pa.Table:
     """One bucket of words: documents' bigrams meet the stored counts. A row of sums per block, and
     the bigrams that are not stored, for the buckets of their contexts."""
-    rows = table.to_pylist()
-    out = [("docs", r["bucket"], r["block"], r["data"]) for r in rows if r["kind"] == "docs"]
-    rows = [r for r in rows if r["kind"] == "bigrams"]
-    del table
-    if not rows:
-        return _table(_packed(out))
-    bucket = rows[0]["bucket"]
+    out, late = [], []
     keys, n_keys = np.empty(0, np.uint64), np.empty(0, np.int64)
     own, n_own = np.empty(0, np.uint64), np.empty(0, np.int64)
     for data in stored.column("data").to_pylist():
@@ -377,35 +380,41 @@ def _score_words(
         keys = _mixed(np.repeat(own, runs), _unpack_contexts(data[3]))
         order = np.argsort(keys)
         keys, n_keys = keys[order], n_keys[order]
-    words, contexts, in_docs, docs, counts = [], [], [], [], []
-    for r in rows:
-        words.append(np.repeat(*_read(r["data"], "<u8", "<u4")))
-        contexts.append(_unpack_contexts(r["data"][2]))
-        in_docs.append(np.frombuffer(r["data"][3], "<u2"))
-        docs.append((r["block"] << 16) + np.frombuffer(r["data"][4], "<u2").astype(np.int64))
-        counts.append(np.frombuffer(r["data"][5], "<u4").astype(np.int32))
-    del rows
-    words, contexts, in_docs, docs, counts = map(np.concatenate, (words, contexts, in_docs, docs, counts))
-    n_pair = _found(keys, n_keys, _mixed(words, contexts))
-    n_word = np.maximum(_found(own, n_own, words), _found(hot, hot_n, words))
-    factor = np.append(1.0, factors)[np.minimum(n_pair, DISCOUNTED)]
-    factor[n_pair > DISCOUNTED] = 1.0
-    # Per occurrence: the bigram's part of the score, and the word's as the context of the next.
-    each = np.where(n_pair > 0, np.log10(factor * np.maximum(n_pair, 1)), np.log10(unigrams.probability(n_word)))
-    each -= np.where((n_word > 0) & (words != END), np.log10(n_word + E), 0.0)
-    # Only documents with a word in this bucket are numbered, so that it grows with its words alone.
-    present, docs = np.unique(docs, return_inverse=True)
-    n_docs = len(present)
-    score = np.bincount(docs, counts * np.repeat(each, in_docs), n_docs)
-    plain = np.bincount(docs, counts * np.repeat(unigrams.base(n_word), in_docs), n_docs)
-    known = np.bincount(docs, counts * np.repeat(n_word > 0, in_docs), n_docs)
-    # References are in order, so those of a block are next to each other.
-    blocks, starts = np.unique(present >> 16, return_index=True)
-    for block, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), n_docs]):
-        part = slice(start, end)
-        out.append(("sums", bucket, block, [(present[part] & 0xFFFF).astype("<u2"), plain[part], score[part], known[part].astype("<u4")]))
-    late = np.repeat(n_pair == 0, in_docs)
-    out += _by_context("unseen", buckets, hot, np.repeat(contexts, in_docs)[late], present[docs[late]], counts[late].astype("<u4"))
+    each_factor = np.append(1.0, factors)
+    for rows in _slices(table):
+        out += [("docs", r["bucket"], r["block"], r["data"]) for r in rows if r["kind"] == "docs"]
+        rows = [r for r in rows if r["kind"] == "bigrams"]
+        if not rows:
+            continue
+        bucket = rows[0]["bucket"]
+        words = np.concatenate([np.repeat(*_read(r["data"], "<u8", "<u4")) for r in rows])
+        contexts = np.concatenate([_unpack_contexts(r["data"][2]) for r in rows])
+        in_docs = np.concatenate([np.frombuffer(r["data"][3], "<u2") for r in rows])
+        docs = np.concatenate([(r["block"] << 16) + np.frombuffer(r["data"][4], "<u2").astype(np.int64) for r in rows])
+        counts = np.concatenate([np.frombuffer(r["data"][5], "<u4").astype(np.int32) for r in rows])
+        n_pair = _found(keys, n_keys, _mixed(words, contexts))
+        n_word = np.maximum(_found(own, n_own, words), _found(hot, hot_n, words))
+        factor = each_factor[np.minimum(n_pair, DISCOUNTED)]
+        factor[n_pair > DISCOUNTED] = 1.0
+        # Per occurrence: the bigram's part of the score, and the word's as the context of the next.
+        each = np.where(n_pair > 0, np.log10(factor * np.maximum(n_pair, 1)), np.log10(unigrams.probability(n_word)))
+        each -= np.where((n_word > 0) & (words != END), np.log10(n_word + E), 0.0)
+        # Only documents with a word in this bucket are numbered, so that it grows with its words alone.
+        # All that a bucket has of a block is in one row.
+        present, at_doc = np.unique(docs, return_inverse=True)
+        n_docs = len(present)
+        score = np.bincount(at_doc, counts * np.repeat(each, in_docs), n_docs)
+        plain = np.bincount(at_doc, counts * np.repeat(unigrams.base(n_word), in_docs), n_docs)
+        known = np.bincount(at_doc, counts * np.repeat(n_word > 0, in_docs), n_docs)
+        # References are in order, so those of a block are next to each other.
+        blocks, starts = np.unique(present >> 16, return_index=True)
+        for block, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), n_docs]):
+            part = slice(start, end)
+            out.append(("sums", bucket, block, [(present[part] & 0xFFFF).astype("<u2"), plain[part], score[part], known[part].astype("<u4")]))
+        unseen = np.repeat(n_pair == 0, in_docs)
+        late.append((np.repeat(contexts, in_docs)[unseen], docs[unseen], counts[unseen].astype("<u4")))
+    if late:
+        out += _by_context("unseen", buckets, hot, *map(np.concatenate, zip(*late)))
     return _table(_packed(out))
 
 
@@ -415,12 +424,17 @@ def _score_unseen(table: pa.Table, stored: pa.Table) -> pa.Table:
     weights = [_read(d, "<u8", "<f8", "<f8") for d in stored.column("data").to_pylist()]
     if weights and table.num_rows:
         ((named, weight, total),) = weights
-        contexts, reference, n = (np.concatenate(c) for c in zip(*(_read(d, "<u8", "<i8", "<u4") for d in table.column("data").to_pylist())))
-        # The context was subtracted as if the bigram were seen; that is taken back. A context that was
-        # never seen gave nothing, and leaves the word's own probability.
-        more = _found(named, np.log10(weight) + np.log10(total + E), contexts)
-        doc, at_doc = np.unique(reference, return_inverse=True)
-        sums = np.bincount(at_doc, n * more, len(doc))
+        gives = np.log10(weight) + np.log10(total + E)
+        references, parts = [], []
+        for rows in _slices(table):
+            contexts, reference, n = (np.concatenate(c) for c in zip(*(_read(r["data"], "<u8", "<i8", "<u4") for r in rows)))
+            # The context was subtracted as if the bigram were seen; that is taken back. A context that was
+            # never seen gave nothing, and leaves the word's own probability.
+            doc, at_doc = np.unique(reference, return_inverse=True)
+            references.append(doc)
+            parts.append(np.bincount(at_doc, n * _found(named, gives, contexts), len(doc)))
+        doc, at_doc = np.unique(np.concatenate(references), return_inverse=True)
+        sums = np.bincount(at_doc, np.concatenate(parts), len(doc))
         block = doc >> 16
         blocks, starts = np.unique(block, return_index=True)
         for b, start, end in zip(blocks.tolist(), starts.tolist(), [*starts[1:].tolist(), len(doc)]):
