@@ -19,9 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_written"
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write `df` as Parquet under the shared folder and return a scan of it.
 
+    `codec` compresses it otherwise than the session does, such as `zstd` for what is large.
+
     The lineage ends at the files, so a lost executor costs no recomputation of what came
     before, and Spark knows the size of the table when it chooses a join. The files stay until
     the `scope` around the call ends, or else until the folder is cleaned.
@@ -31,6 +33,8 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
+    if codec:
+        writer = writer.option("compression", codec)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
