@@ -25,6 +25,7 @@ arrays, several bytes a bigram.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import blank_words, column, release_shuffles
+from linkloom.llm.common import column, release_shuffles
 from linkloom.operators.materialize import materialize
 
 # Counts up to this are discounted.
@@ -43,6 +44,7 @@ DISCOUNTED = 5
 E = 0.01
 BLOCK_TOKENS = 1_800_000
 BLOCK_DOCS = 1 << 16
+PIECE_DOCS = 1 << 12
 BUCKET_TOKENS = 1_000_000
 # Blocks' rows of a bucket are unpacked so many bytes at a time.
 SLICE_BYTES = 4 << 20
@@ -58,17 +60,87 @@ END, BEGIN = 1, 2
 PACKED = "kind string, bucket int, block bigint, data array<binary>"
 
 
-class Numbers(dict):
-    """Word to the number it got when it was first asked for."""
+# Texts are hashed so many bytes at a time.
+PIECE_BYTES = 1 << 19
+BASE = 0x9E3779B97F4A7C15
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+
+class Tables:
+    """What `_hashed_words` looks up: blanks, a number for each byte, powers of BASE and of its inverse."""
+
+    def __init__(self):
+        self.blank = np.zeros(256, bool)
+        self.blank[[0x20, *range(0x09, 0x0E)]] = True
+        self.number = np.array([xxhash.xxh64_intdigest(bytes([b])) for b in range(256)], np.uint64)
+        self.power = self.inverse = np.empty(0, np.uint64)
+
+    def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.power):
+            self.power, self.inverse = (
+                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]))
+                for x in (BASE, pow(BASE, -1, 1 << 64))
+            )
+        return self.power[:n], self.inverse
+
+
+def _hashed_words(data: bytes, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of each word of a byte string that ends in a blank.
+
+    A word's hash is a polynomial in BASE with its bytes' numbers, a difference of running sums, and
+    its length, mixed.
+    """
+    codes = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(codes) + 1, bool)
+    inside[1:] = ~tables.blank[codes]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = tables.powers(len(codes))
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(tables.number[codes] * power, out=sums[1:])
+    h = (sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33)), starts
+
+
+def token_hashes(texts: list[bytes], tables: Tables) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words of texts, END after each text; tokens of each text, with its end)."""
+    data = b" ".join(texts) + b" "
+    hashes, places, at = [], [], 0
+    while at < len(data):
+        # A piece ends after a blank, and so does the last one.
+        end = len(data) if at + PIECE_BYTES >= len(data) else _BLANK.search(data, at + PIECE_BYTES).end()
+        h, starts = _hashed_words(data[at:end], tables)
+        hashes.append(h)
+        places.append(starts + at)
+        at = end
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    n = np.diff(np.searchsorted(np.concatenate(places), ends), prepend=0)
+    out = np.full(n.sum() + len(texts), END, np.uint64)
+    out[np.arange(n.sum()) + np.repeat(np.arange(len(texts)), n)] = np.concatenate(hashes)
+    return out, n + 1
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((END if not w else digest(w) for w in words), np.uint64, len(words))
+    """Hashes of single words."""
+    return token_hashes(words, Tables())[0][::2]
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(ids, hashes, lengths) of some documents at a time."""
+    tables, ids, texts, size = Tables(), [], [], 0
+    for batch in batches:
+        named = batch.schema.get_field_index("doc_id") >= 0
+        for doc_id, text in zip(column(batch, "doc_id") if named else [None] * batch.num_rows, column(batch, "text")):
+            ids.append(doc_id)
+            texts.append((text or "").encode("utf-8", "surrogatepass").lower())
+            size += len(texts[-1]) + 1
+            if size >= min(PIECE_BYTES, BLOCK_TOKENS) or len(ids) >= PIECE_DOCS:
+                yield ids, *token_hashes(texts, tables)
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, *token_hashes(texts, tables)
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -93,23 +165,18 @@ def unigram_counts(docs: DataFrame) -> DataFrame:
     """(text) to the written table (word, n), the end of each text counted as a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, parts, size = Numbers(), [], 0
+        parts, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            counts = np.bincount(np.concatenate(parts), minlength=len(numbers))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word_hashes(list(numbers)).view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"]
-            )
-
-        for batch in batches:
-            for text in column(batch, "text"):
-                words = blank_words(text)
-                words.append(b"")
-                parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                size += len(words)
-                if size >= BLOCK_TOKENS:
-                    yield flush()
-                    numbers, parts, size = Numbers(), [], 0
+            words, counts = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64))], ["word", "n"])
+
+        for _, hashes, _ in _tokens(batches):
+            parts.append(hashes)
+            size += len(hashes)
+            if size >= BLOCK_TOKENS:
+                yield flush()
+                parts, size = [], 0
         if parts:
             yield flush()
 
@@ -162,36 +229,31 @@ def _mixed(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
 
 
 def _cut(batches: Iterator[pa.RecordBatch], packed: Callable[..., pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in blocks: what `packed` makes of (number of the block, numbers of the words, each
-    document's words with its end, ids). Nothing of a block is left when the next one begins."""
-    seq, numbers, tokens, ids, size = 0, Numbers(), [], [], 0
-    numbers[b""]
-    for batch in batches:
-        for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
-            words = blank_words(text)
-            words.append(b"")
-            tokens.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            ids.append(doc_id)
-            size += len(words)
-            if size >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS - 1:
-                words = None
-                yield packed(seq, numbers, tokens, ids)
-                pa.default_memory_pool().release_unused()
-                seq, numbers, tokens, ids, size = seq + 1, Numbers(), [], [], 0
-                numbers[b""]
+    """Documents in blocks: what `packed` makes of (number of the block, hashes of its tokens,
+    documents' lengths, ids). Nothing of a block is left when the next one begins."""
+    seq, tokens, lengths, ids, size = 0, [], [], [], 0
+    for some, hashes, n in _tokens(batches):
+        ids += some
+        tokens.append(hashes)
+        lengths.append(n)
+        size += len(hashes)
+        if size >= BLOCK_TOKENS or len(ids) + PIECE_DOCS >= BLOCK_DOCS:
+            hashes = some = n = None
+            yield packed(seq, tokens, np.concatenate(lengths).astype(np.int64), ids)
+            pa.default_memory_pool().release_unused()
+            seq, tokens, lengths, ids, size = seq + 1, [], [], [], 0
     if ids:
-        yield packed(seq, numbers, tokens, ids)
+        yield packed(seq, tokens, np.concatenate(lengths).astype(np.int64), ids)
 
 
-def _pairs(numbers: Numbers, tokens: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(tokens: list[np.ndarray], lengths: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of the words, by bucket; per token one number that tells word and context). The last
     context is the beginning of a text."""
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    hashes = word_hashes(list(numbers))
+    hashes, word = np.unique(np.concatenate(tokens), return_inverse=True)
     by_bucket = np.argsort(hashes % np.uint64(buckets), kind="stable")
     rank = np.empty(len(hashes), np.int64)
     rank[by_bucket] = np.arange(len(hashes))
-    word = rank[np.concatenate(tokens)]
+    word = rank[word]
     before = np.empty_like(word)
     before[1:] = word[:-1]
     before[np.cumsum(lengths) - lengths] = len(hashes)
@@ -218,8 +280,8 @@ def _pack_contexts(contexts: np.ndarray) -> np.ndarray:
 def _bigrams(batches: Iterator[pa.RecordBatch], buckets: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Training documents to rows for the buckets: a block's distinct bigrams and their counts."""
 
-    def packed(seq: int, numbers: Numbers, tokens: list[np.ndarray], ids: list) -> pa.RecordBatch:
-        hashes, pair = _pairs(numbers, tokens, buckets)
+    def packed(seq: int, tokens: list[np.ndarray], lengths: np.ndarray, ids: list) -> pa.RecordBatch:
+        hashes, pair = _pairs(tokens, lengths, buckets)
         pair, n = np.unique(pair, return_counts=True)
         word, contexts, order, bounds = _dealt(hashes, pair, buckets, hot)
         rows = []
@@ -241,10 +303,9 @@ def _blocks(
     documents. Blocks and numbers are the same in every pass, as the rows of a task are."""
     part = TaskContext.get().partitionId()
 
-    def packed(seq: int, numbers: Numbers, tokens: list[np.ndarray], ids: list) -> pa.RecordBatch:
+    def packed(seq: int, tokens: list[np.ndarray], lengths: np.ndarray, ids: list) -> pa.RecordBatch:
         block = (part << 20) + seq
-        lengths = np.array([len(t) for t in tokens], np.int64)
-        hashes, key = _pairs(numbers, tokens, buckets)
+        hashes, key = _pairs(tokens, lengths, buckets)
         # One number tells word, context and document: the more of one, the fewer of the other.
         bits = len(ids).bit_length()
         key <<= bits
@@ -504,14 +565,14 @@ def learn(docs: DataFrame, scored_bytes: int = 0) -> Model:
     hot, hot_n = hot[order], np.array([r.n for r in frequent], np.int64)[order]
     unigrams = Unigrams(total, distinct, times)
     counted = docs.mapInArrow(lambda batches: _bigrams(batches, buckets, hot), PACKED).groupBy("bucket")
-    counted = materialize(counted.applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED), "katz-counts", partition_by="kind")
+    counted = materialize(counted.applyInArrow(lambda t: _count(t, buckets, unigrams, hot, hot_n), PACKED), "katz-counts", partition_by="kind", codec="zstd")
     release_shuffles(docs.sparkSession)
     stats = np.zeros(DISCOUNTED + 1, np.int64)
     for r in counted.filter("kind = 'stats'").select("data").toLocalIterator():
         stats += np.frombuffer(r.data[0], "<i8")
     factors = np.array(discounts(stats.tolist()))
     backoff = counted.filter("kind = 'contexts'").groupBy("bucket").applyInArrow(lambda t: _back_off(t, factors), PACKED)
-    backoff = materialize(backoff, "katz-backoff")
+    backoff = materialize(backoff, "katz-backoff", codec="zstd")
     release_shuffles(docs.sparkSession)
     return Model(buckets, n_docs, total, distinct, times, factors.tolist(), hot, hot_n, counted.filter("kind = 'counts'"), backoff)
 
@@ -531,11 +592,11 @@ def apply(docs: DataFrame, model: Model) -> DataFrame:
         stored = model.counts.filter(F.pmod("bucket", F.lit(PASSES)) == turn)
         part = sent.groupBy("bucket").cogroup(stored.groupBy("bucket"))
         part = part.applyInArrow(lambda t, m: _score_words(t, m, buckets, unigrams, hot, hot_n, factors), PACKED)
-        part = materialize(part, "katz-sums", partition_by="kind")
+        part = materialize(part, "katz-sums", partition_by="kind", codec="zstd")
         met = part if met is None else met.unionByName(part)
         release_shuffles(docs.sparkSession)
     late = met.filter("kind = 'unseen'").groupBy("bucket").cogroup(model.backoff.groupBy("bucket"))
-    late = materialize(late.applyInArrow(_score_unseen, PACKED), "katz-late")
+    late = materialize(late.applyInArrow(_score_unseen, PACKED), "katz-late", codec="zstd")
     release_shuffles(docs.sparkSession)
     begin = math.log10(model.n_docs + E) if model.n_docs else 0.0
     return met.filter("kind in ('docs', 'sums')").unionByName(late).groupBy("block").applyInArrow(

@@ -333,6 +333,20 @@ def test_katz(spark, monkeypatch, small):
     assert len(got) == len(want)
 
 
+def test_words_are_hashed_in_pieces(monkeypatch):
+    monkeypatch.setattr(katz, "PIECE_BYTES", 64)
+    rng = random.Random(4)
+    texts = ["", " ", "a", "  The the\tTHE\v\n", "é x " * 5, "\u00a0 \x1f", "x" * 1000 + " end", "a b", "b a", "ab"]
+    texts += [" ".join(str(rng.randrange(900)) for _ in range(2000)), ""]
+    hashes, lengths = katz.token_hashes([t.encode().lower() for t in texts], katz.Tables())
+    assert lengths.tolist() == [len(common.blank_words(t)) + 1 for t in texts]
+    hash_of = {}
+    for word, h in zip([w for t in texts for w in [*common.blank_words(t), b""]], hashes.tolist()):
+        assert hash_of.setdefault(word, h) == h
+    assert len(set(hash_of.values())) == len(hash_of) and hash_of[b""] == katz.END
+    assert katz.word_hashes([b"the", b"end"]).tolist() == [hash_of[b"the"], hash_of[b"end"]]
+
+
 def test_bucket_grows_with_its_words():
     # A bucket lists the documents with a word in it, not all of the blocks that it hears of.
     def bigrams(block, doc):
