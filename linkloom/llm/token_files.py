@@ -40,8 +40,9 @@ DICTIONARY_BYTES = 64 * 1024
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 32 * 1024
 LEVEL = 3
-SHARD_BYTES = 8 * 1024 * 1024
-# Atoms that are kept, in bytes of theirs and of their ids.
+SHARD_BYTES = 2 * 1024 * 1024
+# Atoms that are kept: how many, and in bytes of theirs and of their ids.
+MEMO_ATOMS = 400_000
 MEMO_BYTES = 32 * 1024 * 1024
 # A blank in a run of white space, or one at the end of a text after white space. White space is
 # all that some version of Unicode or Python counts as such.
@@ -60,7 +61,7 @@ _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _OTHER = [b for b in range(256) if b not in _PLAIN]
 _BYTE_LETTERS = "".join(chr(256 + _OTHER.index(b) if b in _OTHER else b) for b in range(256))
 # Texts that are encoded together, in bytes; a longer text is encoded on its own.
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 
 SHARD_SCHEMA = (
     "part int, shard int, dict_hash string, start bigint, doc_ids array<bigint>, "
@@ -144,7 +145,7 @@ class Encoder:
             texts = pa.array(texts, pa.large_string())
         if not len(texts):
             return []
-        if self.atoms.nbytes + self.ids.nbytes > MEMO_BYTES:
+        if len(self.atoms) > MEMO_ATOMS or self.atoms.nbytes + self.ids.nbytes > MEMO_BYTES:
             self._forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         whole = self._whole(texts)
