@@ -1,6 +1,7 @@
 """Work and space that must not grow faster than the tables, on rows of the tests' own."""
 
 import os
+import random
 import re
 from collections import Counter
 
@@ -8,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from linkloom.functions.sets import hash_family, indicator, signature, token_number
-from linkloom.operators import pairs, sets
+from linkloom.operators import evaluate, pairs, sets
 from linkloom.operators.materialize import shared_folder
 from linkloom.operators.skew import frequent_join
 from linkloom.operators.tokens import bags, tokenize
@@ -126,3 +127,51 @@ def test_vectors_are_dealt_by_their_entries(spark, tmp_path, monkeypatch):
     # From common to rare the tails grow up to the whole vector.
     assert all(v[0][1] < v[2][1] < v[1][1] and 1 <= v[1][1] < 1.00001 for v in got.values())
     assert linkage.record_matches(link, 0.0001).count() == 400
+
+
+def binned_rows():
+    """Records with words of all degrees of rarity, so that similarities lie in many bins, some on an edge."""
+    dealt = random.Random(6)
+    words = [f"w{int(200 * dealt.random() ** 3)}" for _ in range(4000)]
+    texts = [" ".join(dealt.sample(words, dealt.randint(1, 14))) for _ in range(120)]
+    return [("l" if i % 3 else "r", i, t) for i, t in enumerate(texts)] + [("l", 200, texts[0]), ("r", 201, texts[1]), ("r", 202, texts[1])]
+
+
+def histogram_of(link, found):
+    bins = found.groupBy("bin").agg(F.sum("n_pairs").cast("int").alias("n"), F.count("*").alias("groups"))
+    return {r.bin: (r.n, r.groups) for r in bins.collect()}
+
+
+def counting_scores(monkeypatch):
+    asked, score = [], pairs.indexed_scores
+    monkeypatch.setattr(pairs, "indexed_scores", lambda rows, index: asked.append(rows.count()) or score(rows, index))
+    return asked
+
+
+def test_curve_scores_pairs_at_bin_edges_alone(spark, tmp_path, monkeypatch):
+    from linkloom import queries
+
+    link = make_link(spark, tmp_path, binned_rows(), "growbins")
+    matches = linkage.group_matches(link, queries.LOWEST)
+    want = histogram_of(link, matches.withColumn("bin", evaluate.similarity_bin("sim")))
+    assert len(want) > 10 and 100 in want
+    gold = spark.createDataFrame([(200, 0, 1), (1, 201, 2)], "l_id bigint, r_id bigint, n_pairs bigint")
+    asked = counting_scores(monkeypatch)
+    curve = {round(r.threshold * 100): (r.tp, r.fp, r.fn) for r in queries._curve(link, gold).collect()}
+    # The gold pairs first, then what the bounds leave open.
+    assert asked[0] == 2 and sum(asked[1:]) < matches.count() / 2
+    for step in (1, 2, 7, 50, 100):
+        above = sum(n for b, (n, _) in want.items() if b >= step)
+        assert curve[step] == (3, above - 3, 0)
+    assert histogram_of(link, linkage.group_bins(link, queries.LOWEST, evaluate.similarity_bin)) == want
+
+
+def test_bins_where_hashes_are_the_same(spark, tmp_path, monkeypatch):
+    """Words of one hash seem common to records that do not share them; no bin is taken for known then."""
+    link = make_link(spark, tmp_path, binned_rows(), "growhash")
+    want = histogram_of(link, linkage.group_matches(link, 0.05).withColumn("bin", evaluate.similarity_bin("sim")))
+    monkeypatch.setattr(pairs, "token_hash", lambda token: F.pmod(F.xxhash64(token), F.lit(20)))
+    path = [f"{tmp_path}/growhash"]
+    same = linkage.kept_link(spark, "growhash-20", path, lambda: spark.read.parquet(*path), ())
+    assert not pairs.hashes_differ(same.tokens)
+    assert histogram_of(same, linkage.group_bins(same, 0.05, evaluate.similarity_bin)) == want
