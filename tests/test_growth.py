@@ -175,3 +175,13 @@ def test_bins_where_hashes_are_the_same(spark, tmp_path, monkeypatch):
     same = linkage.kept_link(spark, "growhash-20", path, lambda: spark.read.parquet(*path), ())
     assert not pairs.hashes_differ(same.tokens)
     assert histogram_of(same, linkage.group_bins(same, 0.05, evaluate.similarity_bin)) == want
+
+
+def test_bins_where_an_id_has_several_texts(spark, tmp_path, monkeypatch):
+    """Its vector may hold a word twice; no bin is taken for known then."""
+    rows = [("l", 1, "alpha beta"), ("l", 1, "alpha gamma"), ("l", 2, "delta beta"), ("r", 3, "delta zeta eta"), ("r", 4, "eta theta")]
+    link = make_link(spark, tmp_path, rows, "growtwice")
+    assert not pairs.words_differ(link.index.vec_l) and pairs.words_differ(link.index.vec_r)
+    asked = counting_scores(monkeypatch)
+    assert linkage.group_bins(link, 0.01, evaluate.similarity_bin).count() == linkage.group_matches(link, 0.01).count() == 1
+    assert asked == [1, 1]
